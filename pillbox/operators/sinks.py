@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -123,29 +123,42 @@ def upsert(
     """Incremental merge on ``key``: matched keys replaced, new keys
     inserted, all other rows kept.
 
-    Only touched days are rewritten (dynamic partition overwrite): the days
-    of the incoming rows and the old days of keys that move.  A day left
-    without rows is deleted.  Duplicate keys in ``updates`` are refused.
+    The update set is written once to the shared checkpoint folder (it is
+    read four times below and may be an expensive plan).  Only touched days
+    are rewritten (dynamic partition overwrite): the days of the incoming
+    rows and the old days of keys that move.  A touched day left without
+    rows is deleted.  Duplicate keys in ``updates`` are refused.
     """
-    updates = with_partition(updates)
+    from pillbox.session import scratch_path
+
+    staged_path = scratch_path(spark, "upsert-batch")
+    with_partition(updates).write.mode("overwrite").parquet(staged_path)
+    batch = spark.read.parquet(staged_path)
     if not path_exists(spark, path):
-        overwrite(clustered(updates, cluster_cols), path, [PARTITION_COL])
+        overwrite(clustered(batch, cluster_cols), path, [PARTITION_COL])
         return
     existing = spark.read.parquet(path)
-    check_schema(updates.schema, existing.schema)
-    if updates.groupBy(key).count().filter(F.col("count") > 1).limit(1).count():
+    check_schema(batch.schema, existing.schema)
+    if batch.groupBy(key).count().filter(F.col("count") > 1).limit(1).count():
         raise ValueError(f"duplicate {key} values in the update set")
 
-    upd_keys = updates.select(key)
-    old_days = existing.select(key, PARTITION_COL).join(upd_keys, key, "left_semi").select(PARTITION_COL)
+    batch_keys = batch.select(key)
+    old_days = existing.select(key, PARTITION_COL).join(batch_keys, key, "left_semi").select(PARTITION_COL)
     # a set of calendar days: bounded by the calendar, not by the data
-    touched = [r[0] for r in updates.select(PARTITION_COL).union(old_days).distinct().collect()]
+    touched = {r[0] for r in batch.select(PARTITION_COL).union(old_days).distinct().collect()}
     in_touched = F.col(PARTITION_COL).isin([d for d in touched if d is not None])
     if None in touched:
         in_touched = in_touched | F.col(PARTITION_COL).isNull()
-    kept = existing.filter(in_touched).join(upd_keys, key, "left_anti")
-    merged = kept.unionByName(updates.select(*existing.columns))
-    surviving_days = {r[0] for r in merged.select(PARTITION_COL).distinct().collect()}
+    kept = existing.filter(in_touched).join(batch_keys, key, "left_anti")
+    merged = kept.unionByName(batch.select(*existing.columns))
+    # the days actually written, observed during the write (a set union,
+    # so a re-executed task cannot distort it)
+    seen = Observation("upsert_days")
+    merged = merged.observe(
+        seen,
+        F.collect_set(F.col(PARTITION_COL).cast("string")).alias("days"),
+        F.max(F.col(PARTITION_COL).isNull().cast("int")).alias("null_day"),
+    )
     (
         clustered(merged, cluster_cols)
         .write.mode("overwrite")
@@ -153,5 +166,9 @@ def upsert(
         .partitionBy(PARTITION_COL)
         .parquet(path)
     )
-    for day in set(touched) - surviving_days:
-        _delete(spark, _partition_dir(path, day))
+    metrics = seen.get
+    written = set(metrics["days"] or [])
+    for day in touched:
+        emptied = (metrics["null_day"] != 1) if day is None else (str(day) not in written)
+        if emptied:
+            _delete(spark, _partition_dir(path, day))

@@ -27,6 +27,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # The cleaning plans carry long CASE chains over many columns; inferring
     # constraints across them costs seconds of optimizer time per query and
     # buys nothing here (all filters are explicit and pushed down anyway).
