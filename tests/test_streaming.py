@@ -1,0 +1,28 @@
+"""Available-now incremental cleaning: each landed file is processed once."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from pillbox.streaming.landing import clean_landed
+from tests import fixtures_csv as FX
+
+
+def test_landed_files_processed_once(spark, tmp_dir):
+    base = tmp_dir.replace("file:", "")
+    landing = os.path.join(base, "landing")
+    os.makedirs(landing)
+    header, *rows = FX.ORGANIZATIONS.strip().splitlines()
+    with open(os.path.join(landing, "a.csv"), "w") as f:
+        f.write("\n".join([header] + rows[:4]) + "\n")
+    out, audit, ckpt = (os.path.join(base, x) for x in ("out", "audit", "ckpt"))
+    clean_landed(spark, landing, "organizations", out, audit, ckpt)
+    assert spark.read.parquet(out).count() == 4
+    with open(os.path.join(landing, "b.csv"), "w") as f:
+        f.write("\n".join([header] + rows[4:]) + "\n")
+    clean_landed(spark, landing, "organizations", out, audit, ckpt)  # only b.csv is new
+    res = spark.read.parquet(out)
+    assert res.count() == 8
+    keep = sorted(r.Id for r in res.filter(F.col("outcome") == "keep").collect())
+    assert keep == ["o1", "o2", "o7"]
+    assert spark.read.parquet(audit).select("batch_id").distinct().count() == 2
