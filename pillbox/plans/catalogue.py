@@ -53,16 +53,16 @@ def _model(spark, sf_dir, **kw):
 for _t in TABLES:
 
     def _clean(spark, sf_dir, t=_t):
-        return apply_rules(raw_table(spark, sf_dir, t), SPECS[t], level=0).clean
+        return _model(spark, sf_dir).cleaned[t].clean
 
     def _audit(spark, sf_dir, t=_t):
-        return apply_rules(raw_table(spark, sf_dir, t), SPECS[t], level=1).audit
+        return _model(spark, sf_dir).cleaned[t].audit
 
     def _rejects(spark, sf_dir, t=_t):
-        return apply_rules(raw_table(spark, sf_dir, t), SPECS[t], level=2).rejects
+        return _model(spark, sf_dir).cleaned[t].rejects
 
     def _stage(spark, sf_dir, t=_t):
-        return _model(spark, sf_dir, level=0).staged[t]
+        return _model(spark, sf_dir).staged[t]
 
     register(f"clean_{_t}", O.with_all(f"SELECT * FROM {_t}_clean", tables=[_t]))(_clean)
     register(f"audit_{_t}", O.with_all(O.audit_select(_t), tables=[_t]))(_audit)
@@ -72,10 +72,8 @@ for _t in TABLES:
 
 @register("summary_all", O.with_all(" UNION ALL ".join(O.summary_select(t) for t in TABLES)))
 def summary_all(spark, sf_dir):
-    return reduce(
-        DataFrame.unionByName,
-        [apply_rules(raw_table(spark, sf_dir, t), SPECS[t], level=1).summary for t in TABLES],
-    )
+    cleaned = _model(spark, sf_dir).cleaned
+    return reduce(DataFrame.unionByName, [cleaned[t].summary for t in TABLES])
 
 
 # ------------------------------------------------------- keys, dedupe, joins
@@ -109,7 +107,7 @@ def q_dedupe_lineitem(spark, sf_dir):
 
 @register("join_enc_org", O.with_all("SELECT * FROM enc_org", fact=True))
 def q_join_enc_org(spark, sf_dir):
-    return _model(spark, sf_dir, level=0).enc_org
+    return _model(spark, sf_dir).enc_org
 
 
 @register(
@@ -121,7 +119,7 @@ def q_join_enc_org(spark, sf_dir):
     ),
 )
 def q_join_med_patient(spark, sf_dir):
-    st = _model(spark, sf_dir, level=0).staged
+    st = _model(spark, sf_dir).staged
     m, p = st["medications"].alias("m"), st["patients"].alias("p")
     return m.join(p, F.col("m.patient_id") == F.col("p.patient_id"), "left").select(
         F.col("m.medication_id"),
@@ -136,7 +134,7 @@ def q_join_med_patient(spark, sf_dir):
 
 @register("fact_full", O.with_all("SELECT * FROM fact", fact=True))
 def q_fact_full(spark, sf_dir):
-    return _model(spark, sf_dir, level=0).fact
+    return _model(spark, sf_dir).fact
 
 
 _ORPHANS_SQL = (
@@ -151,7 +149,7 @@ _ORPHANS_SQL = (
 
 @register("fact_orphans", O.with_all(_ORPHANS_SQL, fact=True))
 def q_fact_orphans(spark, sf_dir):
-    f = _model(spark, sf_dir, level=0).fact
+    f = _model(spark, sf_dir).fact
     return f.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("patient_id").alias("n_with_patient"),
@@ -189,9 +187,10 @@ def _dq_query(kinds: set[str], cleaned: bool) -> Query:
         out = []
         for t in TABLES:
             spec = SPECS[t]
-            raw = raw_table(spark, sf_dir, t)
-            src = apply_rules(raw, spec, level=0).clean if cleaned else prepare(raw, spec)
-            staged = stage(src, spec)
+            if cleaned:
+                staged = _model(spark, sf_dir).staged[t]
+            else:
+                staged = stage(prepare(raw_table(spark, sf_dir, t), spec), spec)
             tested = run_tests(staged, spec)
             out.append(tested)
         res = reduce(DataFrame.unionByName, out)
@@ -322,7 +321,7 @@ RENAMES = {
     ),
 )
 def q_rename_columns(spark, sf_dir):
-    e = apply_rules(raw_table(spark, sf_dir, "encounters"), SPECS["encounters"], level=0).clean
+    e = _model(spark, sf_dir).cleaned["encounters"].clean
     return rename(e, RENAMES)
 
 
@@ -337,7 +336,7 @@ def q_rename_columns(spark, sf_dir):
 )
 def q_append_tables(spark, sf_dir):
     """CTAS of the cleaned rows, then INSERT INTO with the rejected survivors."""
-    out = apply_rules(raw_table(spark, sf_dir, "organizations"), SPECS["organizations"], level=0).outcomes
+    out = _model(spark, sf_dir).cleaned["organizations"].outcomes
     path = scratch_path(spark, "append")
     overwrite(out.filter(F.col("outcome") == "keep").drop("outcome"), path)
     append(out.filter(F.col("outcome") != "keep").drop("outcome"), path)
@@ -346,7 +345,7 @@ def q_append_tables(spark, sf_dir):
 
 @register("ctas_copy", O.with_all("SELECT * FROM stg_patients", staged=True))
 def q_ctas_copy(spark, sf_dir):
-    staged = _model(spark, sf_dir, level=0).staged["patients"]
+    staged = _model(spark, sf_dir).staged["patients"]
     src = scratch_path(spark, "ctas-src")
     overwrite(staged, src)
     return copy_table(spark, src, scratch_path(spark, "ctas-dst"))
@@ -381,7 +380,7 @@ def q_upsert_merge(spark, sf_dir):
     """First load: the whole fact.  Second load: every row from the cutoff
     on, revised and moved one day later; matched keys are replaced (and
     leave their old day), the rest is kept."""
-    fact = _model(spark, sf_dir, level=0).fact
+    fact = _model(spark, sf_dir).fact
     path = scratch_path(spark, "fact-upsert")
     upsert(spark, path, fact)
     late = fact.filter(F.col("start_timestamp") >= F.lit(UPSERT_CUTOFF).cast("timestamp")).withColumns(
@@ -406,7 +405,7 @@ PRUNE_START, PRUNE_END = "1996-01-01", "1997-01-01"
     ),
 )
 def q_partition_pruned_read(spark, sf_dir):
-    fact = _model(spark, sf_dir, level=0).fact
+    fact = _model(spark, sf_dir).fact
     path = scratch_path(spark, "fact-pruned")
     write_fact(fact, path)
     return read_fact(spark, path, PRUNE_START, PRUNE_END)
@@ -462,7 +461,7 @@ _M_SQL = {
 for _name, _fn in analytics.ANALYSES.items():
 
     def _run(spark, sf_dir, fn=_fn):
-        return fn(_model(spark, sf_dir, level=0).fact)
+        return fn(_model(spark, sf_dir).fact)
 
     register(_name, O.with_all(_M_SQL[_name], fact=True))(_run)
 
@@ -471,4 +470,4 @@ for _name, _fn in analytics.ANALYSES.items():
 def q_limit_smoke(spark, sf_dir):
     """Smoke mode: every staging model and the fact keep their first 100
     rows in key order (the row cap is the feature under test)."""
-    return _model(spark, sf_dir, test_run=True, level=0).fact
+    return _model(spark, sf_dir, test_run=True).fact
