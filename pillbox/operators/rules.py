@@ -5,14 +5,17 @@ each filter (about 30 full re-reads per table).  Here every row gets the
 name of the *first* rule it fails, computed in one projection:
 
 * rules before the dedupe rule and the required-field check tag the input;
-* the dedupe rule keeps one row per key among rows that passed so far
-  (map-side combined aggregation, see ``dedupe``);
+* the dedupe rule keeps one row per key among rows that passed so far,
+  as one aggregation grouped by (key, status) that also counts the rows it
+  stands for (map-side combined, so a hot key is reduced before the
+  shuffle; the survivor is the smallest row, as in ``dedupe``);
 * rules after it tag the survivors.
 
-Survivors tagged ``keep`` are the clean table.  Audit counts come from two
-small aggregations (one over the input, one over the survivors); they are
-exact, because a row is counted under the first rule it fails, which is
-what the sequential filters remove.  Rule order still matters for dedupe:
+Survivors tagged ``keep`` are the clean table.  Every audit count is one
+more aggregation over the same grouped rows, so clean rows and audit share
+one scan and one shuffle.  Counts are exact, because a row is counted
+under the first rule it fails, which is what the sequential filters
+remove.  Rule order still matters for dedupe:
 a duplicate whose survivor fails a later rule is lost even if its twin
 would pass, as in the source.
 """
@@ -26,7 +29,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pillbox.functions.strings import normalise_strings
-from pillbox.operators.dedupe import dedupe
 from pillbox.plans.spec import Rule, TableSpec
 
 STATUS = "_pb_status"
@@ -82,18 +84,39 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
     base = df if prepared else prepare(df, spec)
     cols = base.columns
     pre, dd, post = spec.split_rules()
+    status = F.col(STATUS)
 
     tagged = base.withColumn(STATUS, _status(spec, pre))
-    eligible = tagged.filter(F.col(STATUS).isNull()).drop(STATUS)
-    survivors = dedupe(eligible, dd.unique_key) if dd else eligible
-    outcomes = survivors.withColumn(OUTCOME, F.coalesce(first_failure(post), F.lit(KEEP)))
+    eligible = tagged.filter(status.isNull()).drop(STATUS)
+    if dd is None:
+        # every row once: outcome of the post rules for rows that passed so far
+        per_row = tagged.withColumn("_n", F.lit(1)).withColumn(
+            OUTCOME, F.when(status.isNull(), F.coalesce(first_failure(post), F.lit(KEEP)))
+        )
+        survivors = eligible
+    else:
+        # one aggregation serves the dedupe and the audit: group by key and
+        # pre-status, count the rows, and keep the smallest eligible row
+        # (map-side combined, so hot keys are reduced before the shuffle)
+        key = list(dd.unique_key)
+        rest = [c for c in cols if c not in key]
+        grouped = tagged.groupBy(*key, STATUS).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min(F.when(status.isNull(), F.struct(*[F.col(c) for c in rest]))).alias("_row"),
+        )
+        unpacked = grouped.select(*key, STATUS, "_n", *[F.col(f"_row.{c}").alias(c) for c in rest])
+        per_row = unpacked.withColumn(
+            OUTCOME, F.when(status.isNull(), F.coalesce(first_failure(post), F.lit(KEEP)))
+        )
+        survivors = per_row.filter(status.isNull()).select(*cols)
+    outcomes = per_row.filter(status.isNull()).select(*cols, OUTCOME)
     clean = outcomes.filter(F.col(OUTCOME) == KEEP).drop(OUTCOME)
     result = Cleaned(clean=clean, outcomes=outcomes, tagged=tagged)
     if level >= 1:
-        result.audit, result.summary = audit_frames(spec, tagged, outcomes)
+        result.audit, result.summary = _audit_summary(spec, _one_pass_counts(spec, per_row))
     if level >= 2:
         parts = [
-            tagged.filter(F.col(STATUS).isNotNull()).select(F.col(STATUS).alias("rule"), *cols),
+            tagged.filter(status.isNotNull()).select(status.alias("rule"), *cols),
             outcomes.filter(F.col(OUTCOME) != KEEP).select(F.col(OUTCOME).alias("rule"), *cols),
         ]
         if dd is not None:
@@ -102,12 +125,37 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
     return result
 
 
+def _one_pass_counts(spec: TableSpec, per_row: DataFrame) -> DataFrame:
+    """All audit metrics in one aggregation over the tagged / deduped rows.
+
+    ``per_row`` has STATUS (pre-dedupe), ``_n`` (input rows represented) and
+    OUTCOME (post-dedupe, NULL when STATUS is set).
+    """
+    pre, _, post = spec.split_rules()
+    status, outcome, n = F.col(STATUS), F.col(OUTCOME), F.col("_n")
+    order = {r.name: i + 1 for i, r in enumerate(spec.rules)}
+
+    def total(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
+
+    return per_row.agg(
+        total(F.lit(True)).alias("original"),
+        total(status == NULL_STEP).alias("null_removed"),
+        total(status.isNull()).alias("eligible"),
+        F.count_if(status.isNull()).alias("survivors"),
+        F.count_if(outcome == KEEP).alias("final"),
+        *[total(status == r.name).alias(_metric(order[r.name])) for r in pre],
+        *[F.count_if(outcome == r.name).alias(_metric(order[r.name])) for r in post],
+    )
+
+
 def _metric(i: int) -> str:
     return f"r{i}"
 
 
 def audit_frames(spec: TableSpec, tagged: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per-rule removed counts and the four-number summary, as small DataFrames."""
+    """Audit from the input (pre-dedupe counts) and a written outcome table
+    (post-dedupe counts, read from its partition column)."""
     pre, dd, post = spec.split_rules()
     status, outcome = F.col(STATUS), F.col(OUTCOME)
     order = {r.name: i + 1 for i, r in enumerate(spec.rules)}
@@ -137,6 +185,12 @@ def audit_frames(spec: TableSpec, tagged: DataFrame, outcomes: DataFrame) -> tup
         .pivot("metric", metrics)
         .agg(F.sum("value"))
     )
+    return _audit_summary(spec, wide)
+
+
+def _audit_summary(spec: TableSpec, wide: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per-rule rows and the summary row from the one-row metric table."""
+    order = {r.name: i + 1 for i, r in enumerate(spec.rules)}
 
     def removed(r: Rule) -> Column:
         if r.is_dedupe:
