@@ -29,9 +29,3 @@ def dedupe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         return df.dropDuplicates(keys)
     packed = F.min(F.struct(*[F.col(c) for c in rest])).alias(_PACKED)
     return df.groupBy(*keys).agg(packed).select(*[F.col(k) for k in keys], *[F.col(f"{_PACKED}.{c}").alias(c) for c in rest]).select(*cols)
-
-
-def count_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows removed by ``dedupe``: total rows minus distinct keys (one row)."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))

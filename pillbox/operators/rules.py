@@ -42,6 +42,7 @@ class Cleaned:
     clean: DataFrame
     outcomes: DataFrame  # deduped rows that passed required fields, tagged OUTCOME
     tagged: DataFrame  # every input row with STATUS (required / pre-dedupe rules)
+    per_row: DataFrame | None = None  # grouped rows: columns, STATUS, _n (rows represented), OUTCOME
     audit: DataFrame | None = None  # table_name, rule_order, rule, removed
     summary: DataFrame | None = None  # table_name, original, null_removed, malformed_removed, final
     rejects: DataFrame | None = None  # rule, <input columns>; distinct rows per rule
@@ -111,7 +112,7 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
         survivors = per_row.filter(status.isNull()).select(*cols)
     outcomes = per_row.filter(status.isNull()).select(*cols, OUTCOME)
     clean = outcomes.filter(F.col(OUTCOME) == KEEP).drop(OUTCOME)
-    result = Cleaned(clean=clean, outcomes=outcomes, tagged=tagged)
+    result = Cleaned(clean=clean, outcomes=outcomes, tagged=tagged, per_row=per_row)
     if level >= 1:
         result.audit, result.summary = _audit_summary(spec, _one_pass_counts(spec, per_row))
     if level >= 2:
@@ -153,37 +154,41 @@ def _metric(i: int) -> str:
     return f"r{i}"
 
 
-def audit_frames(spec: TableSpec, tagged: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Audit from the input (pre-dedupe counts) and a written outcome table
-    (post-dedupe counts, read from its partition column)."""
-    pre, dd, post = spec.split_rules()
-    status, outcome = F.col(STATUS), F.col(OUTCOME)
-    order = {r.name: i + 1 for i, r in enumerate(spec.rules)}
+WRITTEN_COUNT = "rows_represented"
 
-    pre_row = tagged.agg(
-        F.count(F.lit(1)).alias("original"),
-        F.count_if(status == NULL_STEP).alias("null_removed"),
-        F.count_if(status.isNull()).alias("eligible"),
-        *[F.count_if(status == r.name).alias(_metric(order[r.name])) for r in pre],
-    )
-    post_row = outcomes.agg(
-        F.count(F.lit(1)).alias("survivors"),
-        F.count_if(outcome == KEEP).alias("final"),
-        *[F.count_if(outcome == r.name).alias(_metric(order[r.name])) for r in post],
+
+def outcome_table(cleaned: Cleaned) -> DataFrame:
+    """What the materialised run writes: every survivor with its outcome
+    ('keep' or the first failed rule) plus, for input rows rejected before
+    the dedupe, one narrow row per (key, reason) carrying how many input rows
+    it stands for.  Partitioned by outcome, the cleaned table is the
+    ``outcome=keep`` partition and every audit number is a sum over this
+    table, so the input is scanned once."""
+    cols = [c for c in cleaned.tagged.columns if c != STATUS]
+    return cleaned.per_row.select(
+        *cols,
+        F.coalesce(F.col(STATUS), F.col(OUTCOME)).alias(OUTCOME),
+        F.col("_n").cast("bigint").alias(WRITTEN_COUNT),
     )
 
-    def longform(row: DataFrame) -> DataFrame:
-        return row.unpivot([], row.columns, "metric", "value")
 
-    metrics = ["original", "null_removed", "eligible", "survivors", "final"] + [
-        _metric(order[r.name]) for r in pre + post
-    ]
-    wide = (
-        longform(pre_row)
-        .unionByName(longform(post_row))
-        .groupBy()
-        .pivot("metric", metrics)
-        .agg(F.sum("value"))
+def audit_from_outcome_table(spec: TableSpec, written: DataFrame) -> tuple[DataFrame, DataFrame]:
+    pre, _, post = spec.split_rules()
+    outcome, n = F.col(OUTCOME), F.col(WRITTEN_COUNT)
+    order = {r.name: i + 1 for i, r in enumerate(spec.rules)}
+    early = [NULL_STEP] + [r.name for r in pre]
+
+    def total(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
+
+    wide = written.agg(
+        total(F.lit(True)).alias("original"),
+        total(outcome == NULL_STEP).alias("null_removed"),
+        total(~outcome.isin(early)).alias("eligible"),
+        F.count_if(~outcome.isin(early)).alias("survivors"),
+        F.count_if(outcome == KEEP).alias("final"),
+        *[total(outcome == r.name).alias(_metric(order[r.name])) for r in pre],
+        *[F.count_if(outcome == r.name).alias(_metric(order[r.name])) for r in post],
     )
     return _audit_summary(spec, wide)
 

@@ -1,12 +1,11 @@
 """End-to-end flow: clean -> stage -> test -> star join -> upsert.
 
 ``build_model`` wires the lazy DataFrames (what the queries use);
-``run_pipeline`` materialises them.  In the written run every table is
-scanned once for its cleaned output, which is stored partitioned by
-``outcome`` (``keep`` plus one partition per rule that rejected
-survivors), so the cleaned table is a partition-pruned read and the
-post-dedupe audit counts come from the written table without another
-pass over the input.  Written tables also cut the lineage: a lost
+``run_pipeline`` materialises them.  In the written run every input is
+scanned once: the outcome table (see ``rules.outcome_table``) is stored
+partitioned by ``outcome``, the cleaned table is its partition-pruned
+``keep`` part, and the audit is a small aggregation over the written
+table.  Written tables also cut the lineage: a lost
 executor later recomputes from Parquet, not from the CSV.
 """
 
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pillbox.operators.fact import build_fact, enc_org
 from pillbox.operators.quality import run_tests
-from pillbox.operators.rules import OUTCOME, Cleaned, apply_rules, audit_frames
+from pillbox.operators.rules import OUTCOME, Cleaned, apply_rules, audit_from_outcome_table, outcome_table
 from pillbox.operators.sinks import overwrite, upsert
 from pillbox.operators.stage import cleaned_key_unique, stage
 from pillbox.plans.specs import SPECS
@@ -75,9 +74,8 @@ def clean_to(spark: SparkSession, raw: DataFrame, table: str, path: str) -> tupl
     """Write one cleaned outcome table; return its (audit, summary)."""
     spec = SPECS[table]
     cleaned = apply_rules(raw, spec, level=0)
-    overwrite(cleaned.outcomes, path, partition_by=[OUTCOME])
-    written = spark.read.parquet(path)
-    return audit_frames(spec, cleaned.tagged, written)
+    overwrite(outcome_table(cleaned), path, partition_by=[OUTCOME])
+    return audit_from_outcome_table(spec, spark.read.parquet(path))
 
 
 def run_pipeline(

@@ -7,13 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pillbox.operators.rules import KEEP, OUTCOME
+from pillbox.operators.rules import KEEP, OUTCOME, WRITTEN_COUNT
 from pillbox.operators.sinks import PARTITION_COL
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """The cleaned table: the ``outcome=keep`` partition of an outcome table."""
-    return spark.read.parquet(path).filter(F.col(OUTCOME) == KEEP).drop(OUTCOME)
+    return spark.read.parquet(path).filter(F.col(OUTCOME) == KEEP).drop(OUTCOME, WRITTEN_COUNT)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
