@@ -19,7 +19,7 @@ from pillbox.functions.strings import first_phone, normalise
 from pillbox.operators import analytics
 from pillbox.operators.dedupe import dedupe
 from pillbox.operators.quality import run_tests
-from pillbox.operators.rules import apply_rules, prepare
+from pillbox.operators.rules import apply_rules, prepare, rejects_sample
 from pillbox.operators.sinks import append, copy_table, overwrite, upsert, write_fact
 from pillbox.operators.stage import stage
 from pillbox.plans import oracle as O
@@ -70,6 +70,29 @@ for _t in TABLES:
     register(f"stage_{_t}", O.with_all(f"SELECT * FROM stg_{_t}", staged=True))(_stage)
 
 
+# H-L3: the first rejected rows per rule (the level-2 display; the row
+# limit is the feature), in a total order so the sample is deterministic
+REJECTS_SAMPLE_ROWS = 5
+
+
+def _rejects_sample_sql(t: str) -> str:
+    cols = ", ".join(O.q(c) for c in SPECS[t].columns)
+    order = O._order_all(SPECS[t].columns)
+    return O.with_all(
+        f"SELECT rule, {cols} FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY {order}) AS _rn "
+        f"FROM ({O.rejects_select(t)})) WHERE _rn <= {REJECTS_SAMPLE_ROWS}",
+        tables=[t],
+    )
+
+
+for _t in TABLES:
+
+    def _sample(spark, sf_dir, t=_t):
+        return rejects_sample(_model(spark, sf_dir).cleaned[t], REJECTS_SAMPLE_ROWS)
+
+    register(f"rejects_sample_{_t}", _rejects_sample_sql(_t))(_sample)
+
+
 @register("summary_all", O.with_all(" UNION ALL ".join(O.summary_select(t) for t in TABLES)))
 def summary_all(spark, sf_dir):
     cleaned = _model(spark, sf_dir).cleaned
