@@ -87,6 +87,22 @@ FACT_COLUMNS = [
 ]
 FACT_NAMES = [name for _, _, name in FACT_COLUMNS]
 
+_SIDE_SOURCE = {
+    "m": "staged medications",
+    "p": "staged patients",
+    "eo": "staged encounters joined with staged organizations",
+}
+
+
+def fact_docs() -> dict[str, str]:
+    """Column descriptions persisted with the fact: where each column comes from."""
+    docs = {name: f"{src} from {_SIDE_SOURCE[side]}" for side, src, name in FACT_COLUMNS}
+    docs["medication_id"] = "md5 surrogate key of (PATIENT, CODE, ENCOUNTER); unique per fact row"
+    docs["patient_id"] = "patient id from the patients side; NULL when the patient was unknown or rejected"
+    docs["encounter_id"] = "encounter id from the encounters side; NULL when the encounter was unknown or rejected"
+    docs["organization_id"] = "organization id recorded on the encounter (kept even if the organization was rejected)"
+    return docs
+
 
 def enc_org(encounters: DataFrame, organizations: DataFrame) -> DataFrame:
     """Encounters LEFT JOIN organizations; organization_id comes from the encounter."""

@@ -29,6 +29,7 @@ def test_run_pipeline_on_csv(spark, tmp_dir):
     assert read_clean(spark, f"{out}/raw/encounters").count() == 2
     fact = spark.read.parquet(f"{out}/fact")
     assert fact.count() == 3
+    assert "surrogate key" in fact.schema["medication_id"].metadata["comment"]
     assert fact.filter(F.col("medication_code") == "m8").collect()[0].patient_id is None
     # re-running merges the same keys: still 3 rows
     run_pipeline(spark, in_dir, out, source="csv")
