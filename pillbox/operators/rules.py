@@ -116,13 +116,19 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
     if level >= 1:
         result.audit, result.summary = _audit_summary(spec, _one_pass_counts(spec, per_row))
     if level >= 2:
-        parts = [
-            tagged.filter(status.isNotNull()).select(status.alias("rule"), *cols),
-            outcomes.filter(F.col(OUTCOME) != KEEP).select(F.col(OUTCOME).alias("rule"), *cols),
-        ]
-        if dd is not None:
-            parts.append(eligible.subtract(survivors).select(F.lit(dd.name).alias("rule"), *cols))
-        result.rejects = reduce(DataFrame.unionByName, parts).distinct()
+        if dd is None:
+            # every input row is in per_row with its reason: one scan
+            reason = F.coalesce(status, F.col(OUTCOME))
+            rejected = per_row.filter(reason != KEEP).select(reason.alias("rule"), *cols)
+        else:
+            parts = [
+                tagged.filter(status.isNotNull()).select(status.alias("rule"), *cols),
+                outcomes.filter(F.col(OUTCOME) != KEEP).select(F.col(OUTCOME).alias("rule"), *cols),
+                # EXCEPT DISTINCT: an exact copy of its survivor shows nothing
+                eligible.subtract(survivors).select(F.lit(dd.name).alias("rule"), *cols),
+            ]
+            rejected = reduce(DataFrame.unionByName, parts)
+        result.rejects = rejected.distinct()
     return result
 
 
