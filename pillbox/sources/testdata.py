@@ -46,10 +46,11 @@ def _spread(df: DataFrame) -> DataFrame:
 
     The test files are single-row-group Parquet files, so a scan is one
     task and every narrow step after it would run on one core.  Real inputs
-    arrive as many splits and are left alone (round-robin, so no key skew).
+    arrive as many splits and are left alone.  Hashing on every column is
+    deterministic on retry without a sort and has no hot key.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def _id(prefix: str, key: Column) -> Column:
