@@ -24,7 +24,7 @@ from pillbox.operators.rules import OUTCOME, Cleaned, apply_rules, audit_from_ou
 from pillbox.operators.sinks import overwrite, upsert, with_docs
 from pillbox.operators.stage import cleaned_key_unique, stage
 from pillbox.plans.specs import SPECS
-from pillbox.sources.csv import input_path, read_raw
+from pillbox.sources.csv import locate_input, read_raw
 from pillbox.sources.tables import read_clean
 
 TABLES = ("encounters", "medications", "organizations", "patients")
@@ -96,7 +96,7 @@ def run_pipeline(
     """
     out = out_dir.rstrip("/")
     if source == "csv":
-        raws = {t: read_raw(spark, input_path(in_dir, t), SPECS[t]) for t in TABLES}
+        raws = {t: read_raw(spark, locate_input(spark, in_dir, t), SPECS[t]) for t in TABLES}
     else:
         from pillbox.sources.testdata import raw_tables
 

@@ -77,6 +77,9 @@ def get_session(
     conf = dict(BASE_CONF)
     for side in ("driver", "executor"):
         conf[f"spark.{side}.extraJavaOptions"] = JIT_FLAG
+    if (master or "").startswith("local"):
+        # local mode: the driver JVM is the whole cluster
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in (extra or {}).items():

@@ -33,6 +33,19 @@ def input_path(in_dir: str, table: str) -> str:
     return f"{in_dir.rstrip('/')}/{table}.csv"
 
 
+def locate_input(spark: SparkSession, in_dir: str, table: str, pattern: str = "{table}*.csv") -> str:
+    """Find a table's input by name pattern; the first match in name order
+    wins and a missing input is an error.  Uses the cluster file system's
+    glob (works for any Hadoop-compatible store)."""
+    sc = spark.sparkContext
+    glob = sc._jvm.org.apache.hadoop.fs.Path(f"{in_dir.rstrip('/')}/{pattern.format(table=table)}")
+    statuses = glob.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(glob)
+    paths = sorted(str(st.getPath().toString()) for st in (statuses or []))
+    if not paths:
+        raise FileNotFoundError(f"no input for {table} under {in_dir}")
+    return paths[0]
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a raw table as header CSV in the format ``read_raw`` expects."""
     from pillbox.plans.specs import DATE_FORMAT, TS_FORMAT

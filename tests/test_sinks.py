@@ -88,3 +88,17 @@ def test_docs_and_land(spark, tmp_dir):
     assert back.schema["v"].metadata.get("comment") == "a value"
     land(df.withColumn("v", F.lit(5)), tmp_dir, force=True)
     assert spark.read.parquet(tmp_dir).collect()[0].v == 5
+
+
+def test_locate_input_first_match_and_missing(spark, tmp_dir):
+    import os
+
+    from pillbox.sources.csv import locate_input
+
+    base = tmp_dir.replace("file:", "")
+    os.makedirs(base)
+    for name in ("patients_2.csv", "patients_1.csv", "other.csv"):
+        open(os.path.join(base, name), "w").close()
+    assert locate_input(spark, base, "patients").endswith("patients_1.csv")
+    with pytest.raises(FileNotFoundError):
+        locate_input(spark, base, "encounters")
