@@ -4,8 +4,9 @@ The source flow lands each CSV once ("skip when it exists") and re-runs
 the cleaning job on a schedule.  The Spark form of that is a file stream
 with an available-now trigger: every run picks up only files that arrived
 since the last run (tracked in the stream checkpoint, exactly once), cleans
-each micro-batch with the same single-pass rules and appends the outcome
-rows and the audit counts.  The batch job (``plans.etl``) stays the way to
+each micro-batch with the same single-pass rules and writes the outcome
+rows and the audit counts under the batch id (a replayed batch overwrites
+its own partitions, so the sink is idempotent).  The batch job (``plans.etl``) stays the way to
 rebuild everything from scratch.
 
 Dedupe inside a micro-batch follows the table's rule; a key that arrives
@@ -41,16 +42,27 @@ def clean_landed(
 ):
     """Process every not-yet-seen file in ``landing_dir`` and stop.
 
-    Outcome rows go to ``out_path`` (partitioned by ``outcome``), per-batch
+    Outcome rows go to ``out_path`` (partitioned by batch id and outcome), per-batch
     rule counts to ``audit_path`` (with the batch id).  Returns the
     finished StreamingQuery.
     """
     spec = SPECS[table]
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        # A micro-batch replayed after a failure rewrites exactly its own
+        # batch_id partitions (dynamic overwrite), so replays are idempotent.
         cleaned = apply_rules(batch, spec, level=1)
-        cleaned.outcomes.write.mode("append").partitionBy(OUTCOME).parquet(out_path)
-        cleaned.audit.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(audit_path)
+        for frame, path, parts in (
+            (cleaned.outcomes, out_path, ["batch_id", OUTCOME]),
+            (cleaned.audit, audit_path, ["batch_id"]),
+        ):
+            (
+                frame.withColumn("batch_id", F.lit(batch_id))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*parts)
+                .parquet(path)
+            )
 
     query = (
         landed_stream(spark, landing_dir, table)
