@@ -40,34 +40,33 @@ def m2_geo(fact: DataFrame) -> DataFrame:
 
 
 def m3_provider(fact: DataFrame) -> DataFrame:
-    """Organization revenue, utilization and payer coverage by state."""
-    rows = fact.filter(F.col("organization_id").isNotNull())
-    orgs = (
-        rows.select("organization_state", "organization_id", "revenue", "utilization")
-        .dropDuplicates(["organization_id"])
-        .groupBy("organization_state")
+    """Organization revenue, utilization and payer coverage by state.
+
+    Two-level aggregation over one scan: per organization first (revenue
+    and utilization are attributes of the organization, constant within
+    it), then per state.  No self-join, and both levels combine map-side.
+    """
+    per_org = (
+        fact.filter(F.col("organization_id").isNotNull())
+        .groupBy("organization_state", "organization_id")
         .agg(
-            F.count(F.lit(1)).alias("n_organizations"),
-            F.sum("revenue").cast(MONEY_SUM).alias("revenue_sum"),
-            F.sum("utilization").cast("bigint").alias("utilization_sum"),
+            F.max("revenue").alias("revenue"),
+            F.max("utilization").alias("utilization"),
+            F.count(F.lit(1)).alias("n_prescriptions"),
+            F.sum("payer_coverage").alias("payer_coverage_sum"),
+            F.sum("total_cost").alias("total_cost_sum"),
         )
     )
-    cover = rows.groupBy("organization_state").agg(
-        F.count(F.lit(1)).alias("n_prescriptions"),
-        F.sum("payer_coverage").cast(MONEY_SUM).alias("payer_coverage_sum"),
-        F.sum("total_cost").cast(MONEY_SUM).alias("total_cost_sum"),
+    per_state = per_org.groupBy("organization_state").agg(
+        F.count(F.lit(1)).alias("n_organizations"),
+        F.sum("revenue").cast(MONEY_SUM).alias("revenue_sum"),
+        F.sum("utilization").cast("bigint").alias("utilization_sum"),
+        F.sum("n_prescriptions").cast("bigint").alias("n_prescriptions"),
+        F.sum("payer_coverage_sum").cast(MONEY_SUM).alias("payer_coverage_sum"),
+        F.sum("total_cost_sum").cast(MONEY_SUM).alias("total_cost_sum"),
     )
-    # both sides hold one row per state: a bounded, tiny join
-    out = orgs.join(cover, orgs.organization_state.eqNullSafe(cover.organization_state), "inner")
-    return out.select(
-        orgs.organization_state,
-        "n_organizations",
-        "revenue_sum",
-        "utilization_sum",
-        "n_prescriptions",
-        "payer_coverage_sum",
-        "total_cost_sum",
-        _ratio(F.col("payer_coverage_sum"), F.col("total_cost_sum")).alias("coverage_ratio"),
+    return per_state.withColumn(
+        "coverage_ratio", _ratio(F.col("payer_coverage_sum"), F.col("total_cost_sum"))
     )
 
 
