@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pillbox.functions.strings import normalise_strings
+from pillbox.operators.dedupe import dedupe
 from pillbox.plans.spec import Rule, TableSpec
 
 STATUS = "_pb_status"
@@ -109,8 +110,15 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
         per_row = unpacked.withColumn(
             OUTCOME, F.when(status.isNull(), F.coalesce(first_failure(post), F.lit(KEEP)))
         )
-        survivors = per_row.filter(status.isNull()).select(*cols)
-    outcomes = per_row.filter(status.isNull()).select(*cols, OUTCOME)
+        # The clean rows come from the key-only dedupe (the same smallest
+        # row): grouped by the key alone, Catalyst can prove the key unique
+        # and drop joins whose dimension columns a query never uses.  Each
+        # query runs one of the two aggregations, never both.
+        survivors = dedupe(eligible, key)
+    if dd is None:
+        outcomes = per_row.filter(status.isNull()).select(*cols, OUTCOME)
+    else:
+        outcomes = survivors.withColumn(OUTCOME, F.coalesce(first_failure(post), F.lit(KEEP)))
     clean = outcomes.filter(F.col(OUTCOME) == KEEP).drop(OUTCOME)
     result = Cleaned(clean=clean, outcomes=outcomes, tagged=tagged, per_row=per_row)
     if level >= 1:
