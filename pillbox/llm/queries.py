@@ -4,25 +4,68 @@ from __future__ import annotations
 
 from pillbox.llm.common import LOWER, UPPER, read
 from pillbox.llm.exact_dedup import exact_dedup
+from pillbox.llm.licenses import license_scan
+from pillbox.llm.mixing import mix_sources
+from pillbox.llm.quality import quality_rules
 from pillbox.llm.simhash import simhash_dedup
 
 
+def op1_mixing(spark, sf_dir):
+    """Sources mixed to the square root of their sizes, as many rows as there are documents on average."""
+    return mix_sources(read(spark, sf_dir, "documents"), alpha=0.5, epochs=1.0, seed=42)
+
+
 def op4_simhash(spark, sf_dir):
     """SimHash near-dedup: 3-word shingles, at most 2 differing bits."""
     return simhash_dedup(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op7_licenses(spark, sf_dir):
+    """Base phrases and licence notices of every document."""
+    found = license_scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op8_quality(spark, sf_dir):
+    """Quality counts and the verdict for every document."""
+    judged = quality_rules(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.drop("text", "lang")
+
+
 def op9_exact_dedup(spark, sf_dir):
     """Exact dedup: the row with the largest doc_id of equal texts stays."""
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row_id")
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op4_simhash": op4_simhash,
+    "op7_licenses": op7_licenses,
+    "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLE = {
+    "op1_mixing": """
+        WITH counts AS (SELECT coalesce(source, '') AS s, count(*) AS n FROM documents GROUP BY 1),
+        rates AS (
+            SELECT s, CAST(sum(n) OVER () AS DOUBLE) * (pow(CAST(n AS DOUBLE), 0.5) / sum(pow(CAST(n AS DOUBLE), 0.5)) OVER ()) / n AS rate FROM counts
+        ),
+        cdf AS (
+            SELECT s, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY s ORDER BY k) AS c
+            FROM rates, (SELECT unnest(range(0, 400)) AS k)
+        ),
+        drawn AS (
+            SELECT *, (CAST('0x' || substr(md5('42|count|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(source, '')), 1, 13) AS BIGINT) + 0.5)
+                      / 4503599627370496 AS u
+            FROM documents
+        ),
+        counted AS (SELECT d.*, (SELECT count(*) FROM cdf WHERE cdf.s = coalesce(d.source, '') AND cdf.c < d.u) AS times FROM drawn d),
+        copies AS (SELECT doc_id, text, lang, source, n_chars, unnest(range(0, times)) AS copy FROM counted)
+        SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INTEGER) AS copy,
+               CAST('0x' || substr(md5('42|order|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy || '|' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS shuffle_key
+        FROM copies
+    """,
     "op9_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
