@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pillbox.llm.common import LOWER, UPPER, read
 from pillbox.llm.exact_dedup import exact_dedup
+from pillbox.llm.langid import language_id
 from pillbox.llm.licenses import license_scan
 from pillbox.llm.mixing import mix_sources
 from pillbox.llm.quality import quality_rules
 from pillbox.llm.simhash import simhash_dedup
+from pillbox.llm.warc import warc_round_trip
+from pillbox.session import scratch_path
 
 
 def op1_mixing(spark, sf_dir):
@@ -15,11 +18,21 @@ def op1_mixing(spark, sf_dir):
     return mix_sources(read(spark, sf_dir, "documents"), alpha=0.5, epochs=1.0, seed=42)
 
 
+def op3_langid(spark, sf_dir):
+    """The language of every document, learnt from two thirds of them."""
+    return language_id(read(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark, sf_dir):
     """SimHash near-dedup: 3-word shingles, at most 2 differing bits."""
     return simhash_dedup(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op6_warc(spark, sf_dir):
+    """Every page written to WARC archives and read back."""
+    return warc_round_trip(read(spark, sf_dir, "pages"), scratch_path(spark, "llm-warc"))
+
+
 def op7_licenses(spark, sf_dir):
     """Base phrases and licence notices of every document."""
     found = license_scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -39,7 +52,9 @@ def op9_exact_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_langid": op3_langid,
     "op4_simhash": op4_simhash,
+    "op6_warc": op6_warc,
     "op7_licenses": op7_licenses,
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
@@ -66,6 +81,12 @@ ORACLE = {
                CAST('0x' || substr(md5('42|order|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || copy || '|' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS shuffle_key
         FROM copies
     """,
+    "op6_warc": """
+        SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+               CASE WHEN shared THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN shared THEN first_id END AS refers_to
+        FROM (SELECT *, strlen(html) >= 100 AND first_id < page_id AS shared
+              FROM (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages))
+    """,
     "op9_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
