@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pillbox.llm.common import LOWER, UPPER, read
 from pillbox.llm.exact_dedup import exact_dedup
 from pillbox.llm.langid import language_id
 from pillbox.llm.licenses import license_scan
 from pillbox.llm.mixing import mix_sources
+from pillbox.llm.pieces import compile_model, decode, encode
 from pillbox.llm.quality import quality_rules
 from pillbox.llm.simhash import simhash_dedup
 from pillbox.llm.warc import warc_round_trip
 from pillbox.session import scratch_path
 
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op1_mixing(spark, sf_dir):
     """Sources mixed to the square root of their sizes, as many rows as there are documents on average."""
     return mix_sources(read(spark, sf_dir, "documents"), alpha=0.5, epochs=1.0, seed=42)
 
 
+def op2_sentencepiece(spark, sf_dir, model: str = SENTENCEPIECE_MODEL):
+    """Every document's piece ids, and whether decoding them gives the text back."""
+    machine = compile_model(model)
+    ids = encode(read(spark, sf_dir, "documents").select("doc_id", "text"), machine)
+    back = decode(ids, machine)
+    return back.select("doc_id", "ids", F.size("ids").alias("n_pieces"), (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same_text"))
+
+
 def op3_langid(spark, sf_dir):
     """The language of every document, learnt from two thirds of them."""
     return language_id(read(spark, sf_dir, "documents"))
@@ -52,6 +65,7 @@ def op9_exact_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_langid": op3_langid,
     "op4_simhash": op4_simhash,
     "op6_warc": op6_warc,
