@@ -12,6 +12,7 @@ from pillbox.llm.mixing import mix_sources
 from pillbox.llm.pieces import compile_model, decode, encode
 from pillbox.llm.quality import quality_rules
 from pillbox.llm.simhash import simhash_dedup
+from pillbox.llm.suffix_dedup import remove_repeats
 from pillbox.llm.warc import warc_round_trip
 from pillbox.session import scratch_path
 
@@ -41,6 +42,11 @@ def op4_simhash(spark, sf_dir):
     return simhash_dedup(read(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that 50-byte strings of smaller documents cover."""
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark, sf_dir):
     """Every page written to WARC archives and read back."""
     return warc_round_trip(read(spark, sf_dir, "pages"), scratch_path(spark, "llm-warc"))
@@ -68,6 +74,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_langid": op3_langid,
     "op4_simhash": op4_simhash,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_warc": op6_warc,
     "op7_licenses": op7_licenses,
     "op8_quality": op8_quality,
