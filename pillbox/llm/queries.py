@@ -8,6 +8,7 @@ from pillbox.llm.common import LOWER, UPPER, read
 from pillbox.llm.exact_dedup import exact_dedup
 from pillbox.llm.langid import language_id
 from pillbox.llm.licenses import license_scan
+from pillbox.llm.lm import lm_score
 from pillbox.llm.mixing import mix_sources
 from pillbox.llm.pieces import compile_model, decode, encode
 from pillbox.llm.quality import quality_rules
@@ -16,6 +17,7 @@ from pillbox.llm.suffix_dedup import remove_repeats
 from pillbox.llm.warc import warc_round_trip
 from pillbox.session import scratch_path
 
+BPE_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -69,6 +71,11 @@ def op9_exact_dedup(spark, sf_dir):
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row_id")
 
 
+def op10_lm_score(spark, sf_dir, vocabulary: str = BPE_RANKS):
+    """Every document's probability by the attention model and by the unigram baseline."""
+    return lm_score(read(spark, sf_dir, "documents"), vocabulary)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -79,6 +86,7 @@ QUERIES = {
     "op7_licenses": op7_licenses,
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_lm_score": op10_lm_score,
 }
 
 ORACLE = {
