@@ -71,6 +71,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return stars.union(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+def let(value, body):
+    """``body`` of the value, evaluated once a row.
+
+    A lambda's variable is bound, so whatever Catalyst moves (a filter on the result is pushed below the projection
+    that made its inputs), the value is not worked out again for each element of the lambdas inside.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def slices(batches, rows: int = 512):
     """Arrow batches in slices of at most ``rows`` rows, so that what a task holds beside the batch stays small."""
     for b in batches:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pillbox.llm.common import ascii_lower
+from pillbox.llm.common import ascii_lower, let
 
 
 @dataclass(frozen=True)
@@ -63,15 +63,15 @@ NOTICES = (
 BREAKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
-def with_words(docs: DataFrame, text_col: str) -> DataFrame:
-    df = docs.withColumn("_l_text", F.btrim(F.regexp_replace(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), BREAKS, " ")))
-    return df.withColumn("_l_words", F.when(F.col("_l_text") == "", F.array().cast("array<string>")).otherwise(F.split("_l_text", " ")))
+def words_of(text: Column) -> Column:
+    plain = F.btrim(F.regexp_replace(ascii_lower(text), BREAKS, " "))
+    return let(plain, lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " ")))
 
 
-def idf(df: DataFrame, vocabulary: list[str]) -> dict[str, float]:
+def idf(docs: DataFrame, text: Column, vocabulary: list[str]) -> dict[str, float]:
     """Inverse document frequency over all documents; one row for each word of the templates."""
     vocab = F.array(*map(F.lit, vocabulary))
-    rows = df.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect("_l_words", vocab))).alias("w")).groupBy("w").count().collect()
+    rows = docs.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect(words_of(text), vocab))).alias("w")).groupBy("w").count().collect()
     seen = {r["w"]: r["count"] for r in rows}
     n = seen.get("", 0)  # every document has the empty word once
     return {w: math.log((n + 1) / (seen.get(w, 0) + 1)) for w in vocabulary}
@@ -104,32 +104,36 @@ def license_scan(docs: DataFrame, text_col: str = "text", base: tuple[Template,
     score 0.  Input columns with a name of a result column are replaced;
     repeated rows are scanned alike; an empty table gives an empty result.
     """
-    df = with_words(docs, text_col)
+    text = F.coalesce(F.col(text_col), F.lit(""))
     templates = (*base, *notices)
-    weight = idf(df, sorted({w for t in templates for w in t.key.split()}))
+    weight = idf(docs, text, sorted({w for t in templates for w in t.key.split()}))
     posted = sorted({w for t in templates for w in sorted(set(t.key.split()), key=lambda w: (-weight[w], w))[:2]})
-    words, hits = F.col("_l_words"), F.col("_l_hits")
-    df = df.withColumn("_l_hits", F.filter(F.transform(words, lambda w, i: F.when(w.isin(posted), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull()))
+    none = F.array().cast("array<struct<label:string,word:bigint,share:double>>")
+    joined = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda x: x["label"]))), ",")
 
-    def found(t: Template) -> Column:
+    def found(t: Template, words: Column, hits: Column) -> Column:
         scored = F.transform(starts(t, weight, words, hits), lambda s: F.struct(F.lit(t.label).alias("label"), s.cast("long").alias("word"), share(t, words, s).alias("share")))
         return F.filter(scored, lambda x: x["share"] >= t.share)
 
-    none = F.array().cast("array<struct<label:string,word:bigint,share:double>>")
-    gather = lambda ts: F.when(F.size(hits) > 0, F.concat(*[found(t) for t in ts]) if ts else none).otherwise(none)
-    df = df.withColumns({"_l_base": gather(base), "_l_more": gather(notices)})
-    joined = lambda places: F.array_join(F.array_sort(F.array_distinct(F.transform(places, lambda x: x["label"]))), ",")
-    at = F.transform("_l_base", lambda x: x["word"])
-    both = F.concat("_l_base", "_l_more")
-    result = {
-        "n_words": F.size(words).cast("long"),
-        "n_base": F.size("_l_base").cast("long"),
-        "first_word": F.array_min(at),
-        "last_word": F.array_max(at),
-        "base_labels": joined(F.col("_l_base")),
-        "labels": joined(both),
-        "score": F.coalesce(F.array_max(F.transform(both, lambda x: x["share"])), F.lit(0.0)),
-        "places": both,
-    }
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in result and not c.startswith("_l_")]
-    return df.select(*keep, *[c.alias(n) for n, c in result.items()])
+    def places(words: Column, hits: Column) -> Column:
+        of = lambda ts: F.when(F.size(hits) > 0, F.concat(*[found(t, words, hits) for t in ts]) if ts else none).otherwise(none)
+        return F.struct(F.size(words).cast("long").alias("n_words"), of(base).alias("base"), of(notices).alias("more"))
+
+    def digest(p: Column) -> Column:
+        at = F.transform(p["base"], lambda x: x["word"])
+        return let(F.concat(p["base"], p["more"]), lambda both: F.struct(
+            p["n_words"].alias("n_words"),
+            F.size(p["base"]).cast("long").alias("n_base"),
+            F.array_min(at).alias("first_word"),
+            F.array_max(at).alias("last_word"),
+            joined(p["base"]).alias("base_labels"),
+            joined(both).alias("labels"),
+            F.coalesce(F.array_max(F.transform(both, lambda x: x["share"])), F.lit(0.0)).alias("score"),
+            both.alias("places"),
+        ))
+
+    hits_of = lambda words: F.filter(F.transform(words, lambda w, i: F.when(w.isin(posted), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
+    scan = let(words_of(text), lambda words: let(hits_of(words), lambda hits: let(places(words, hits), digest)))
+    result = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "places")
+    keep = [f"`{c}`" for c in docs.columns if c not in (*result, "_l")]
+    return docs.withColumn("_l", scan).select(*keep, *[f"_l.{c}" for c in result])

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pillbox.llm.common import let
+
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 
@@ -32,8 +34,7 @@ WORD_GUARD, WORD_LIMIT = 100, 0.25  # words at least; distance at most
 
 
 def words_of(text: Column) -> Column:
-    inner = F.btrim(text, F.lit(SPACE))
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, "[ \\t-\\r]+"))
+    return let(F.btrim(text, F.lit(SPACE)), lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, "[ \\t-\\r]+")))
 
 
 def repeat_words(words: Column, n: Column, size: int = 5) -> Column:
@@ -44,63 +45,58 @@ def repeat_words(words: Column, n: Column, size: int = 5) -> Column:
     repeated ones are swept once.
     """
     grams = F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i: F.xxhash64(F.slice(words, i, size)))
+    same = lambda s, x, k: F.coalesce((k > 0) & (F.get(s, k - 1)["h"] == x["h"]), F.lit(False)) | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False))
 
     def covered(g: Column) -> Column:
         ordered = F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        same = lambda s, x, k: (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"])
-        starts = F.transform(
-            F.array(ordered),
-            lambda s: F.sort_array(F.transform(F.filter(s, lambda x, k: F.coalesce(same(s, x, k), (k > 0) & (F.get(s, k - 1)["h"] == x["h"]), F.lit(False))), lambda x: x["i"])),
-        )
+        starts = let(ordered, lambda s: F.sort_array(F.transform(F.filter(s, lambda x, k: same(s, x, k)), lambda x: x["i"])))
         return F.aggregate(
-            F.get(starts, F.lit(0)),
+            starts,
             F.struct(F.lit(0).alias("c"), F.lit(-size).alias("last")),
             lambda a, p: F.struct((a["c"] + F.least(F.lit(size), p - a["last"])).alias("c"), p.alias("last")),
             lambda a: a["c"],
         )
 
-    count = F.get(F.transform(F.array(grams), lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), 0).otherwise(covered(g))), F.lit(0))
-    return F.when(n > size, count).otherwise(0)
+    return F.when(n > size, let(grams, lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), 0).otherwise(covered(g)))).otherwise(0)
 
 
-def features(docs: DataFrame, text_col: str) -> DataFrame:
-    """The input columns plus ``_q_*`` counts (columns of these names in the input are replaced)."""
-    text, words, n = F.col("_q_text"), F.col("_q_words"), F.col("_q_n")
+def histograms(text: Column, words: Column, n: Column) -> Column:
+    """A struct: points, symbol (counts), chars (class counts) and words_<lang> (common words, then all others)."""
     common = sorted({w for ws in COMMON_WORDS.values() for w in ws})
-    df = docs.withColumn("_q_text", F.coalesce(F.col(text_col), F.lit("")))
-    df = df.withColumn("_q_words", words_of(text))
-    df = df.withColumns({
-        "_q_n": F.size(words),
-        "_q_hits": F.filter(words, lambda w: w.isin(common)),
-        "_q_points": F.length(text) - F.regexp_count(text, F.lit("[ \\t-\\r]")),
-        "_q_upper": F.regexp_count(text, F.lit("[A-Z]")),
-        "_q_digit": F.regexp_count(text, F.lit("[0-9]")),
-        "_q_symbol": F.regexp_count(text, F.lit("[#*$%&|<>]")),
-        "_q_ascii_other": F.regexp_count(text, F.lit("[!\"'()+,\\-./:;=?@\\[\\\\\\]^_`{}~]")),
-        "_q_beyond": F.octet_length(text) - F.length(text),
-    })
-    rest = F.col("_q_points") - F.col("_q_upper") - F.col("_q_digit") - F.col("_q_symbol") - F.col("_q_ascii_other") - F.col("_q_beyond")
-    hits = F.col("_q_hits")
-    df = df.withColumns({
+    counts = F.struct(
+        (F.length(text) - F.regexp_count(text, F.lit("[ \\t-\\r]"))).alias("points"),
+        F.regexp_count(text, F.lit("[A-Z]")).alias("upper"),
+        F.regexp_count(text, F.lit("[0-9]")).alias("digit"),
+        F.regexp_count(text, F.lit("[#*$%&|<>]")).alias("symbol"),
+        F.regexp_count(text, F.lit("[!\"'()+,\\-./:;=?@\\[\\\\\\]^_`{}~]")).alias("mark"),
         # bytes beyond the code points stand for letters outside ASCII: one or more each
-        "_q_chars": F.array(*[F.col(c).cast("double") for c in ("_q_upper", "_q_digit", "_q_symbol", "_q_ascii_other", "_q_beyond")], F.greatest(rest, F.lit(0)).cast("double")),
-        **{
-            f"_q_common_{lang}": F.transform(F.array(*map(F.lit, ws)), lambda c: F.size(F.filter(hits, lambda h: h == c)).cast("double"))
-            for lang, ws in COMMON_WORDS.items()
-        },
-    })
-    return df.withColumns({
-        f"_q_words_{lang}": F.concat(F.col(f"_q_common_{lang}"), F.array((n - F.aggregate(F.col(f"_q_common_{lang}"), F.lit(0.0), lambda a, x: a + x)).cast("double")))
-        for lang in COMMON_WORDS
-    })
-
-
-def references(feats: DataFrame, lang_col: str) -> dict[str, tuple[list[float], list[float]]]:
+        (F.octet_length(text) - F.length(text)).alias("beyond"),
+        F.filter(words, lambda w: w.isin(common)).alias("hits"),
+    )
+
+    def of(c: Column) -> Column:
+        rest = c["points"] - c["upper"] - c["digit"] - c["symbol"] - c["mark"] - c["beyond"]
+        own = {lang: F.transform(F.array(*map(F.lit, ws)), lambda w: F.size(F.filter(c["hits"], lambda h: h == w))) for lang, ws in COMMON_WORDS.items()}
+        with_rest = lambda a: F.transform(F.concat(a, F.array(n - F.aggregate(a, F.lit(0), lambda s, x: s + x))), lambda x: x.cast("double"))
+        return F.struct(
+            c["points"].alias("points"),
+            c["symbol"].alias("symbol"),
+            F.array(*[x.cast("double") for x in (c["upper"], c["digit"], c["symbol"], c["mark"], c["beyond"], F.greatest(rest, F.lit(0)))]).alias("chars"),
+            *[let(a, with_rest).alias(f"words_{lang}") for lang, a in own.items()],
+        )
+
+    return let(counts, of)
+
+
+def references(docs: DataFrame, text_col: str, lang_col: str) -> dict[str, tuple[list[float], list[float]]]:
     """Summed histograms by language, over all documents: at most one row for each language of ``COMMON_WORDS``."""
     own = {lang: len(ws) + 1 for lang, ws in COMMON_WORDS.items()}
-    sums = [F.sum(F.get("_q_chars", F.lit(i))).alias(f"c{i}") for i in range(6)]
-    sums += [F.sum(F.get(f"_q_words_{lang}", F.lit(i))).alias(f"w_{lang}_{i}") for lang, size in own.items() for i in range(size)]
-    rows = feats.where(F.col(lang_col).isin(list(COMMON_WORDS))).groupBy(F.col(lang_col).alias("lang")).agg(*sums).collect()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    hist = let(text, lambda t: let(words_of(t), lambda w: histograms(t, w, F.size(w))))
+    of_lang = docs.where(F.col(lang_col).isin(list(COMMON_WORDS))).select(F.col(lang_col).alias("lang"), hist.alias("h"))
+    sums = [F.sum(F.get("h.chars", F.lit(i))).alias(f"c{i}") for i in range(6)]
+    sums += [F.sum(F.get(f"h.words_{lang}", F.lit(i))).alias(f"w_{lang}_{i}") for lang, size in own.items() for i in range(size)]
+    rows = of_lang.groupBy("lang").agg(*sums).collect()
     found = {r["lang"]: ([r[f"c{i}"] for i in range(6)], [r[f"w_{r['lang']}_{i}"] for i in range(own[r["lang"]])]) for r in rows}
     return {lang: (c, w) for lang, (c, w) in sorted(found.items()) if sum(c) > 0 and sum(w) > 0}
 
@@ -117,7 +113,7 @@ def distance(counts: Column, reference: list[float]) -> Column:
         )
         return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2))
 
-    return F.get(F.transform(F.array(total), lambda s: F.when(s > 0, of(s)).otherwise(0.0)), F.lit(0))
+    return let(total, lambda s: F.when(s > 0, of(s)).otherwise(0.0))
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -131,25 +127,33 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     column are replaced; repeated rows are judged alike; an empty table gives
     an empty result.
     """
-    refs = references(features(docs, text_col), lang_col)
-    feats = features(docs, text_col)
-    n = F.col("_q_n")
-    lines = F.filter(F.split("_q_text", "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
-    nearest = lambda cols: F.array_min(F.array(*cols)) if cols else F.lit(0.0)
-    out = feats.withColumns({
-        "n_words": n.cast("long"),
-        "word_chars": F.col("_q_points").cast("long"),
-        "n_symbols": F.col("_q_symbol").cast("long"),
-        "_q_lines": lines,
-        "n_repeat_words": repeat_words(F.col("_q_words"), n).cast("long"),
-        "char_distance": nearest([distance(F.col("_q_chars"), c) for c, _ in refs.values()]),
-        "word_distance": nearest([distance(F.col(f"_q_words_{lang}"), w) for lang, (_, w) in refs.items()]),
-    })
-    out = out.withColumns({
-        "n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"),
-        "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
-    })
-    far = ((F.col("word_chars") >= CHAR_GUARD) & (F.col("char_distance") > CHAR_LIMIT)) | ((n >= WORD_GUARD) & (F.col("word_distance") > WORD_LIMIT))
-    result = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept")
-    keep = [c for c in docs.columns if c not in result and not c.startswith("_q_")]
-    return out.withColumn("kept", ~(F.col("base_failed") | far)).select(*[f"`{c}`" for c in keep], *result)
+    refs = references(docs, text_col, lang_col)
+    nearest = lambda ds: F.array_min(F.array(*ds)) if ds else F.lit(0.0)
+
+    def judged(t: Column, w: Column, n: Column) -> Column:
+        lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
+        counts = F.struct(
+            n.cast("long").alias("n_words"),
+            histograms(t, w, n).alias("h"),
+            let(lines, lambda ls: (F.size(ls) - F.size(F.array_distinct(ls))).cast("long")).alias("n_dup_lines"),
+            repeat_words(w, n).cast("long").alias("n_repeat_words"),
+        )
+        distances = lambda c: F.struct(
+            c["n_words"].alias("n_words"),
+            c["h"]["points"].cast("long").alias("word_chars"),
+            c["h"]["symbol"].cast("long").alias("n_symbols"),
+            c["n_dup_lines"].alias("n_dup_lines"),
+            c["n_repeat_words"].alias("n_repeat_words"),
+            ((c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])).alias("base_failed"),
+            nearest([distance(c["h"]["chars"], r) for r, _ in refs.values()]).alias("char_distance"),
+            nearest([distance(c["h"][f"words_{lang}"], r) for lang, (_, r) in refs.items()]).alias("word_distance"),
+        )
+        return let(counts, distances)
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    verdict = let(text, lambda t: let(words_of(t), lambda w: judged(t, w, F.size(w))))
+    out = docs.withColumn("_q", verdict)
+    far = ((F.col("_q.word_chars") >= CHAR_GUARD) & (F.col("_q.char_distance") > CHAR_LIMIT)) | ((F.col("_q.n_words") >= WORD_GUARD) & (F.col("_q.word_distance") > WORD_LIMIT))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance")
+    keep = [f"`{c}`" for c in docs.columns if c not in (*counts, "kept", "_q")]
+    return out.select(*keep, *[f"_q.{c}" for c in counts], (~(F.col("_q.base_failed") | far)).alias("kept"))
