@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType
 # The tokens that mean "missing", and the separator between
 # several phone numbers in one cell (everything from it on is dropped).
 MISSING_TOKENS = ["", "null"]
-PHONE_SEPARATOR_PATTERN = " Or .*"
+PHONE_SEPARATOR = " Or "
 
 
 def normalise(c: Column) -> Column:
@@ -33,4 +33,4 @@ def normalise_strings(df: DataFrame) -> DataFrame:
 
 def first_phone(c: Column) -> Column:
     """Keep only the first of several phone numbers joined by ' Or '."""
-    return F.when(c.isNotNull(), F.regexp_replace(c, PHONE_SEPARATOR_PATTERN, "")).otherwise(c)
+    return F.substring_index(c, PHONE_SEPARATOR, 1)

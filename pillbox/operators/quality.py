@@ -1,9 +1,9 @@
 """Declared column tests over a staged table.
 
-All tests of a model run in one aggregation pipeline grouped by its
-``unique`` column (map-side combined, so a hot value does not pile up in
-one task); row-level tests are counted per group and summed.  The
-result has one row per declared test: model, column_name, test, failures.
+Row-level tests of a model are counted in one global aggregate, ``unique``
+tests by value (map-side combined, so a hot value does not pile up in one
+task).  The result has one row per declared test: model, column_name, test,
+failures.
 ``failures`` follows the usual convention: failing rows for row tests,
 duplicated values for ``unique``.
 """
@@ -37,45 +37,32 @@ def test_name(t: ColumnTest) -> str:
     return t.kind
 
 
-def run_tests(df: DataFrame, spec: TableSpec, model: str | None = None) -> DataFrame:
-    """All declared tests of one model in one aggregation pipeline.
+def run_tests(df: DataFrame, spec: TableSpec, model: str | None = None, kinds: set[str] | None = None) -> DataFrame:
+    """The declared tests of one model, or those of the given kinds.
 
-    Row-level failures are counted per value of the (first) ``unique``
-    column and summed afterwards, while the same grouped rows give the
-    duplicated values: one scan, one map-side combined shuffle.
+    Row-level tests are one global aggregate: a row a task is shuffled,
+    whatever the columns.  Each ``unique`` test counts its column's values,
+    combined before the shuffle, and then those that occur more than once.
     """
     model = model or spec.staged_model
-    row_tests = [t for t in spec.tests if t.kind != "unique"]
-    uniques = [t for t in spec.tests if t.kind == "unique"]
-    row_counts = [F.count_if(failing(t)).alias(f"t{i}") for i, t in enumerate(row_tests)]
-    if uniques:
-        u = uniques[0].column
-        per_value = df.groupBy(u).agg(F.count(F.lit(1)).alias("_n"), *row_counts)
-        wide = per_value.agg(
-            *[F.coalesce(F.sum(f"t{i}"), F.lit(0)).alias(f"t{i}") for i in range(len(row_tests))],
-            F.count_if(F.col(u).isNotNull() & (F.col("_n") > 1)).alias("u0"),
-        )
-    else:
-        wide = df.agg(*row_counts)
-    results = [(t, f"t{i}") for i, t in enumerate(row_tests)] + ([(uniques[0], "u0")] if uniques else [])
-    rows = [
-        F.struct(
-            F.lit(t.column).alias("column_name"),
-            F.lit(test_name(t)).alias("test"),
-            F.col(c).cast("bigint").alias("failures"),
-        )
-        for t, c in results
-    ]
-    parts = [wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")]
-    for t in uniques[1:]:
-        dup_values = df.filter(F.col(t.column).isNotNull()).groupBy(t.column).count().filter(F.col("count") > 1)
-        parts.append(
-            dup_values.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
-                F.lit(t.column).alias("column_name"), F.lit("unique").alias("test"), "failures"
-            )
-        )
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select(F.lit(model).alias("model"), "column_name", "test", "failures")
+    wanted = [t for t in spec.tests if kinds is None or t.kind in kinds]
+    row_tests = [t for t in wanted if t.kind != "unique"]
+    parts = []
+    if row_tests:
+        wide = df.agg(*[F.count_if(failing(t)).alias(f"t{i}") for i, t in enumerate(row_tests)])
+        rows = [
+            F.struct(F.lit(t.column).alias("column_name"), F.lit(test_name(t)).alias("test"), F.col(f"t{i}").cast("bigint").alias("failures"))
+            for i, t in enumerate(row_tests)
+        ]
+        parts.append(wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+    for t in wanted:
+        if t.kind == "unique":
+            values = df.filter(F.col(t.column).isNotNull()).groupBy(t.column).count()
+            failures = values.agg(F.count_if(F.col("count") > 1).cast("bigint").alias("failures"))
+            parts.append(failures.select(F.lit(t.column).alias("column_name"), F.lit(test_name(t)).alias("test"), "failures"))
+    if not parts:
+        raise ValueError(f"{model} declares no test of the kinds {sorted(kinds or ())}")
+    return reduce(DataFrame.unionByName, parts).select(F.lit(model).alias("model"), "column_name", "test", "failures")
 
 
 def failing_rows(df: DataFrame, t: ColumnTest) -> DataFrame:

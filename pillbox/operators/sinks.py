@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 PARTITION_COL = "start_date"
 CLUSTER_COLS = ("medication_code", "patient_id", "city")  # fixed value: fact cluster keys
-HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class SchemaChangeError(ValueError):
@@ -108,9 +107,57 @@ def write_fact(fact: DataFrame, path: str, cluster_cols: Sequence[str] = CLUSTER
     overwrite(clustered(with_partition(fact), cluster_cols), path, [PARTITION_COL])
 
 
-def _partition_dir(path: str, value) -> str:
-    v = HIVE_NULL_PARTITION if value is None else str(value)
-    return f"{path.rstrip('/')}/{PARTITION_COL}={v}"
+# A merged table is a folder of commits and a folder of manifests.  Commit n holds the rows of the days that
+# it rewrote; manifest n says for every day which commit holds it now.  Nothing is changed in place: the last
+# file of manifest n, its _SUCCESS mark, makes version n the current one, and a run that dies before it leaves
+# the version before as it was.
+COMMIT_COL = "commit"
+DATA, MANIFESTS = "data", "manifests"
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a merged table, oldest first."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MANIFESTS}")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "version=*/_SUCCESS")) or []
+    return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in marks)
+
+
+def _manifest(spark: SparkSession, path: str, version: int) -> DataFrame:
+    schema = f"{PARTITION_COL} date, {COMMIT_COL} int"
+    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{MANIFESTS}/version={version}")
+
+
+def _commits(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All stored rows, with the partition columns' types given: a table with only the NULL day has no value to infer from."""
+    full = StructType([*schema.fields, StructField(COMMIT_COL, IntegerType()), StructField(PARTITION_COL, DateType())])
+    root = f"{path.rstrip('/')}/{DATA}"
+    return spark.read.schema(full).option("basePath", root).parquet(root)
+
+
+def stored_schema(spark: SparkSession, path: str, version: int) -> StructType:
+    """Schema of the rows of one commit, without the partition columns."""
+    return spark.read.parquet(f"{path.rstrip('/')}/{DATA}/{COMMIT_COL}={version}").drop(PARTITION_COL).schema
+
+
+def read_merged(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The current (or a given) version of a merged table, or a plain table partitioned by day.
+
+    The manifest has a row for each day, so it is broadcast, and its days
+    prune the scan to the commits in use.
+    """
+    known = versions(spark, path)
+    if not known:
+        files = spark.read.parquet(path).drop(PARTITION_COL).schema
+        return spark.read.schema(StructType([*files.fields, StructField(PARTITION_COL, DateType())])).parquet(path)
+    at = known[-1] if version is None else version
+    stored = _commits(spark, path, stored_schema(spark, path, at))
+    live = _manifest(spark, path, at).select(F.col(PARTITION_COL).alias("_day"), F.col(COMMIT_COL).alias("_commit"))
+    same = (F.col(COMMIT_COL) == F.col("_commit")) & F.col(PARTITION_COL).eqNullSafe(F.col("_day"))
+    return stored.join(F.broadcast(live), same).drop("_day", "_commit", COMMIT_COL)
 
 
 def upsert(
@@ -119,56 +166,67 @@ def upsert(
     updates: DataFrame,
     key: str = "medication_id",
     cluster_cols: Sequence[str] = CLUSTER_COLS,
-) -> None:
-    """Incremental merge on ``key``: matched keys replaced, new keys
-    inserted, all other rows kept.
-
-    The update set is written once to the shared checkpoint folder (it is
-    read four times below and may be an expensive plan).  Only touched days
-    are rewritten (dynamic partition overwrite): the days of the incoming
-    rows and the old days of keys that move.  A touched day left without
-    rows is deleted.  Duplicate keys in ``updates`` are refused.
+) -> int:
+    """Incremental merge on ``key``: matched keys replaced, new keys inserted, all other rows kept.
+
+    Returns the new version.  A schema change is refused before anything is
+    computed, duplicate keys in ``updates`` before anything of the table is
+    written, on the first load too.  The update set is written once to
+    the shared scratch folder, which is emptied of it afterwards.  One
+    semi-join of the stored keys with the batch gives the days that matched
+    keys leave; only these and the days of the batch are written anew.
     """
     from pillbox.session import scratch_path
 
+    known = versions(spark, path)
+    if known:
+        check_schema(updates.schema, stored_schema(spark, path, known[-1]))
+    new = (known[-1] if known else 0) + 1
+    root = path.rstrip("/")
     staged_path = scratch_path(spark, "upsert-batch")
-    with_partition(updates).write.mode("overwrite").parquet(staged_path)
-    batch = spark.read.parquet(staged_path)
-    if not path_exists(spark, path):
-        overwrite(clustered(batch, cluster_cols), path, [PARTITION_COL])
-        return
-    existing = spark.read.parquet(path)
-    check_schema(batch.schema, existing.schema)
-    if batch.groupBy(key).count().filter(F.col("count") > 1).limit(1).count():
-        raise ValueError(f"duplicate {key} values in the update set")
-
-    batch_keys = batch.select(key)
-    old_days = existing.select(key, PARTITION_COL).join(batch_keys, key, "left_semi").select(PARTITION_COL)
-    # a set of calendar days: bounded by the calendar, not by the data
-    touched = {r[0] for r in batch.select(PARTITION_COL).union(old_days).distinct().collect()}
-    in_touched = F.col(PARTITION_COL).isin([d for d in touched if d is not None])
-    if None in touched:
-        in_touched = in_touched | F.col(PARTITION_COL).isNull()
-    kept = existing.filter(in_touched).join(batch_keys, key, "left_anti")
-    merged = kept.unionByName(batch.select(*existing.columns))
-    # the days actually written, observed during the write (a set union,
-    # so a re-executed task cannot distort it)
-    seen = Observation("upsert_days")
-    merged = merged.observe(
-        seen,
-        F.collect_set(F.col(PARTITION_COL).cast("string")).alias("days"),
-        F.max(F.col(PARTITION_COL).isNull().cast("int")).alias("null_day"),
-    )
-    (
-        clustered(merged, cluster_cols)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COL)
-        .parquet(path)
-    )
-    metrics = seen.get
-    written = set(metrics["days"] or [])
-    for day in touched:
-        emptied = (metrics["null_day"] != 1) if day is None else (str(day) not in written)
-        if emptied:
-            _delete(spark, _partition_dir(path, day))
+    try:
+        with_partition(updates).write.mode("overwrite").parquet(staged_path)
+        batch = spark.read.schema(with_partition(updates).schema).parquet(staged_path)
+        if batch.groupBy(key).count().filter(F.col("count") > 1).limit(1).count():
+            raise ValueError(f"duplicate {key} values in the update set")
+        if known:
+            existing = read_merged(spark, path)
+            left = existing.select(key, PARTITION_COL).join(batch.select(key), key, "left_semi").select(PARTITION_COL)
+            # calendar days: bounded by the calendar, not by the data
+            touched = batch.select(PARTITION_COL).union(left).distinct()
+            touched.write.mode("overwrite").parquet(f"{staged_path}-days")
+            days = spark.read.schema(f"{PARTITION_COL} date").parquet(f"{staged_path}-days").withColumnRenamed(PARTITION_COL, "_day")
+            on_day = F.col(PARTITION_COL).eqNullSafe(F.col("_day"))
+            kept = existing.join(F.broadcast(days), on_day, "left_semi").join(batch.select(key), key, "left_anti")
+            rows = kept.unionByName(batch)
+            unchanged = _manifest(spark, path, known[-1]).join(F.broadcast(days), on_day, "left_anti")
+        else:
+            rows = batch
+        data = f"{root}/{DATA}/{COMMIT_COL}={new}"
+        clustered(rows, cluster_cols).write.mode("overwrite").partitionBy(PARTITION_COL).parquet(data)
+        written = spark.read.schema(StructType([StructField(PARTITION_COL, DateType())])).parquet(data).select(PARTITION_COL).distinct()
+        manifest = written.withColumn(COMMIT_COL, F.lit(new))
+        if known:
+            manifest = manifest.unionByName(unchanged)
+        manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/{MANIFESTS}/version={new}")
+    finally:
+        _delete(spark, staged_path)
+        _delete(spark, f"{staged_path}-days")
+    return new
+
+
+def vacuum(spark: SparkSession, path: str) -> list[int]:
+    """Delete older manifests, and the commits of which the current version uses no day; returns these commits."""
+    known = versions(spark, path)
+    if not known:
+        return []
+    used = {r[0] for r in _manifest(spark, path, known[-1]).select(COMMIT_COL).distinct().collect()}  # commits in use
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{DATA}")
+    stored = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    # a commit above the current version belongs to a run that is under way or has failed
+    gone = sorted(v for v in (int(st.getPath().getName().split("=")[1]) for st in stored) if v not in used and v < known[-1])
+    for v in known[:-1]:
+        _delete(spark, f"{path.rstrip('/')}/{MANIFESTS}/version={v}")
+    for v in gone:
+        _delete(spark, f"{path.rstrip('/')}/{DATA}/{COMMIT_COL}={v}")
+    return gone

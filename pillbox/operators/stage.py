@@ -23,6 +23,11 @@ def staged_projection(spec: TableSpec) -> list:
     return cols
 
 
+def project(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The staged columns of every row, without key filter and dedupe (what the declared tests look at before cleaning)."""
+    return df.select(*staged_projection(spec))
+
+
 def stage(df: DataFrame, spec: TableSpec, test_run: bool = False, key_unique: bool = False) -> DataFrame:
     """Stage a cleaned raw table.
 

@@ -20,7 +20,7 @@ from pillbox.operators import analytics
 from pillbox.operators.dedupe import dedupe
 from pillbox.operators.quality import run_tests
 from pillbox.operators.rules import apply_rules, prepare, rejects_sample
-from pillbox.operators.sinks import append, copy_table, overwrite, upsert, write_fact
+from pillbox.operators.sinks import append, copy_table, overwrite, read_merged, upsert, write_fact
 from pillbox.operators.stage import stage
 from pillbox.plans import oracle as O
 from pillbox.plans.etl import TABLES, testdata_model
@@ -236,7 +236,7 @@ register("dq_clean_all", _dq_sql({"not_null", "unique", "accepted_values", "acce
 @register(
     "phone_first",
     O.with_all(
-        "SELECT \"Id\", \"PHONE\" AS phone_raw, CASE WHEN p IS NOT NULL THEN regexp_replace(p, ' Or .*', '') ELSE p END AS phone "
+        "SELECT \"Id\", \"PHONE\" AS phone_raw, split_part(p, ' Or ', 1) AS phone "
         "FROM (SELECT \"Id\", \"PHONE\", CASE WHEN \"PHONE\" IN ('', 'null') THEN NULL ELSE trim(\"PHONE\") END AS p "
         "FROM organizations_raw)",
         tables=["organizations"],
@@ -413,7 +413,7 @@ def q_upsert_merge(spark, sf_dir):
         }
     )
     upsert(spark, path, late)
-    return spark.read.parquet(path)
+    return read_merged(spark, path)
 
 
 PRUNE_START, PRUNE_END = "1996-01-01", "1997-01-01"

@@ -11,6 +11,7 @@ executor later recomputes from Parquet, not from the CSV.
 
 from __future__ import annotations
 
+import weakref
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -24,6 +25,7 @@ from pillbox.operators.rules import OUTCOME, Cleaned, apply_rules, audit_from_ou
 from pillbox.operators.sinks import overwrite, upsert, with_docs
 from pillbox.operators.stage import cleaned_key_unique, stage
 from pillbox.plans.specs import SPECS
+from pillbox.session import own_session
 from pillbox.sources.csv import locate_input, read_raw
 from pillbox.sources.tables import read_clean
 
@@ -51,23 +53,30 @@ def build_model(raws: dict[str, DataFrame], test_run: bool = False, level: int =
     return Model(raws, cleaned, staged, eo, fact)
 
 
-_MODELS: dict[tuple, Model] = {}
+_MODELS: weakref.WeakKeyDictionary[SparkSession, dict] = weakref.WeakKeyDictionary()
+
+
+def _state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what lies in a folder: a rewritten input has another state."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((st.getPath().toString(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(path)))
 
 
 def testdata_model(spark: SparkSession, sf_dir: str, test_run: bool = False, level: int = 2) -> Model:
-    """The lazy model over one test folder, built once per session.
+    """The lazy model over one test folder, built once per session and state of the folder.
 
-    Only the *plan* is memoised (no data is cached): building it costs
-    thousands of driver-to-JVM calls, and every query over the same folder
-    shares it.
+    Only the *plan* is kept (no data is cached), as long as its session lives:
+    building it costs thousands of driver-to-JVM calls, and every query over the
+    same folder shares it.
     """
-    from pillbox.session import session_key
     from pillbox.sources.testdata import raw_tables
 
-    key = (session_key(spark), sf_dir, test_run, level)
-    if key not in _MODELS:
-        _MODELS[key] = build_model(raw_tables(spark, sf_dir), test_run=test_run, level=level)
-    return _MODELS[key]
+    plans = _MODELS.setdefault(spark, {})
+    key, state = (sf_dir, test_run, level), _state(spark, sf_dir)
+    if key not in plans or plans[key][0] != state:
+        plans[key] = state, build_model(raw_tables(spark, sf_dir), test_run=test_run, level=level)
+    return plans[key][1]
 
 
 def clean_to(spark: SparkSession, raw: DataFrame, table: str, path: str) -> tuple[DataFrame, DataFrame]:
@@ -89,11 +98,12 @@ def run_pipeline(
 ) -> dict[str, DataFrame]:
     """Run everything and return the audit, summary and test-result tables.
 
-    ``source='csv'`` reads ``<in_dir>/<table>.csv``; ``source='testdata'``
+    ``source='csv'`` reads exactly ``<in_dir>/<table>.csv`` (a file or a folder of parts); ``source='testdata'``
     derives the raw tables from the star-schema test tables in ``in_dir``.
     The four cleaning jobs are independent and are submitted concurrently
     (Spark schedules their tasks side by side).
     """
+    spark = own_session(spark)
     out = out_dir.rstrip("/")
     if source == "csv":
         raws = {t: read_raw(spark, locate_input(spark, in_dir, t), SPECS[t]) for t in TABLES}

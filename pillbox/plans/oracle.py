@@ -226,7 +226,7 @@ def table_ctes(t: str) -> list[str]:
     )
     ctes = [f"{t}_raw AS ({RAW_SQL[t]})", f"{t}_norm0 AS (SELECT {norm} FROM {t}_raw)"]
     if t == "organizations":
-        phone = "CASE WHEN \"PHONE\" IS NOT NULL THEN regexp_replace(\"PHONE\", ' Or .*', '') ELSE \"PHONE\" END"
+        phone = "split_part(\"PHONE\", ' Or ', 1)"
         ctes.append(f"{t}_norm AS (SELECT * REPLACE ({phone} AS \"PHONE\") FROM {t}_norm0)")
     else:
         ctes.append(f"{t}_norm AS (SELECT * FROM {t}_norm0)")

@@ -21,29 +21,31 @@ CSV_OPTIONS = {
 }
 
 
-def read_raw(spark: SparkSession, path: str, spec: TableSpec, **options) -> DataFrame:
+def read_raw(spark: SparkSession, path: str | list[str], spec: TableSpec, **options) -> DataFrame:
     reader = spark.read.schema(spec.schema)
     for k, v in {**CSV_OPTIONS, **spec.read_options, **options}.items():
         reader = reader.option(k, v)
     return reader.csv(path)
 
 
-def input_path(in_dir: str, table: str) -> str:
-    """Input location by name: ``<dir>/<table>.csv`` (a file or a folder of parts)."""
-    return f"{in_dir.rstrip('/')}/{table}.csv"
+def locate_input(spark: SparkSession, in_dir: str, table: str, pattern: str | None = None) -> list[str]:
+    """Where a table's input lies; a missing input is an error.
 
-
-def locate_input(spark: SparkSession, in_dir: str, table: str, pattern: str = "{table}*.csv") -> str:
-    """Find a table's input by name pattern; the first match in name order
-    wins and a missing input is an error.  Uses the cluster file system's
-    glob (works for any Hadoop-compatible store)."""
+    By default exactly ``<in_dir>/<table>.csv``, a file or a folder of parts.
+    With a ``pattern`` (a glob; ``{table}`` stands for the name) every match
+    belongs to the table, and all are read in one scan.  Paths are looked up
+    in the cluster's file system.
+    """
     sc = spark.sparkContext
-    glob = sc._jvm.org.apache.hadoop.fs.Path(f"{in_dir.rstrip('/')}/{pattern.format(table=table)}")
-    statuses = glob.getFileSystem(sc._jsc.hadoopConfiguration()).globStatus(glob)
-    paths = sorted(str(st.getPath().toString()) for st in (statuses or []))
+    glob = sc._jvm.org.apache.hadoop.fs.Path(f"{in_dir.rstrip('/')}/{(pattern or '{table}.csv').format(table=table)}")
+    fs = glob.getFileSystem(sc._jsc.hadoopConfiguration())
+    if pattern is None:
+        paths = [glob.toString()] if fs.exists(glob) else []
+    else:
+        paths = sorted(st.getPath().toString() for st in (fs.globStatus(glob) or []))
     if not paths:
         raise FileNotFoundError(f"no input for {table} under {in_dir}")
-    return paths[0]
+    return paths
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pillbox.operators.rules import KEEP, OUTCOME, WRITTEN_COUNT
-from pillbox.operators.sinks import PARTITION_COL
+from pillbox.operators.sinks import PARTITION_COL, read_merged
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
@@ -20,14 +20,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _as_date(v) -> dt.date:
-    if isinstance(v, dt.datetime):
-        return v.date()
-    if isinstance(v, dt.date):
-        return v
-    return dt.date.fromisoformat(str(v)[:10])
-
-
 def read_fact(
     spark: SparkSession,
     path: str,
@@ -39,13 +31,13 @@ def read_fact(
     A predicate on ``start_timestamp`` alone does not prune the derived day
     partitions, so the matching predicate on ``start_date`` is added: the
     scan lists only the days in range (PartitionFilters), the timestamp
-    predicate keeps the exact bounds.
+    predicate keeps the exact bounds.  The day is that of the same timestamp
+    in the session zone, so a bound with an offset prunes as it filters.
     """
-    df = spark.read.parquet(path)
-    if start is not None:
-        df = df.filter(F.col(PARTITION_COL) >= F.lit(_as_date(start)))
-        df = df.filter(F.col("start_timestamp") >= F.lit(str(start)).cast("timestamp"))
-    if end is not None:
-        df = df.filter(F.col(PARTITION_COL) <= F.lit(_as_date(end)))
-        df = df.filter(F.col("start_timestamp") < F.lit(str(end)).cast("timestamp"))
+    df = read_merged(spark, path)
+    for bound, keep_day, keep in ((start, "__ge__", "__ge__"), (end, "__le__", "__lt__")):
+        if bound is not None:
+            ts = F.lit(str(bound)).cast("timestamp")
+            df = df.filter(getattr(F.col(PARTITION_COL), keep_day)(F.to_date(ts)))
+            df = df.filter(getattr(F.col("start_timestamp"), keep)(ts))
     return df

@@ -41,18 +41,6 @@ def _read(spark: SparkSession, sf_dir: str, table: str, cols: list[str]) -> Data
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").select(*cols)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    The test files are single-row-group Parquet files, so a scan is one
-    task and every narrow step after it would run on one core.  Real inputs
-    arrive as many splits and are left alone.  Hashing on every column is
-    deterministic on retry without a sort and has no hot key.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def _id(prefix: str, key: Column) -> Column:
     return F.concat(F.lit(prefix), key.cast(S))
 
@@ -167,11 +155,11 @@ def encounters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def medications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    l = _spread(_read(
+    l = _read(
         spark, sf_dir, "lineitem",
         ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
          "l_returnflag", "l_linestatus", "l_shipdate"],
-    ))
+    )
     o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
     p = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"])
     x = l.join(o, l.l_orderkey == o.o_orderkey, "left").join(p, l.l_partkey == p.p_partkey, "left")
@@ -226,17 +214,9 @@ BUILDERS = {
 }
 
 
-_RAW: dict[tuple, DataFrame] = {}
-
-
 def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Lazy raw table; the plan is built once per session and folder."""
-    from pillbox.session import session_key
-
-    key = (session_key(spark), sf_dir, table)
-    if key not in _RAW:
-        _RAW[key] = BUILDERS[table](spark, sf_dir)
-    return _RAW[key]
+    """Lazy raw table."""
+    return BUILDERS[table](spark, sf_dir)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

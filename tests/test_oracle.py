@@ -23,8 +23,10 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+def test_every_query_of_the_library_has_an_oracle():
+    from pillbox.plans.catalogue import QUERIES as OWN
+
+    assert set(OWN) <= set(SQL) <= set(QUERIES)
 
 
 def test_entry(spark):
@@ -33,7 +35,7 @@ def test_entry(spark):
     assert df.columns == ["patient_id", "n_prescriptions", "total_cost_sum", "payer_coverage_sum", "coverage_ratio"]
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
