@@ -1,23 +1,26 @@
-"""Single-pass cleaning: required fields, ordered rules, audit, rejects.
+"""Cleaning without a chain of filters: required fields, ordered rules, audit, rejects.
 
 The source pipeline filters once per rule and counts before and after
 each filter (about 30 full re-reads per table).  Here every row gets the
 name of the *first* rule it fails, computed in one projection:
 
 * rules before the dedupe rule and the required-field check tag the input;
-* the dedupe rule keeps one row per key among rows that passed so far,
-  as one aggregation grouped by (key, status) that also counts the rows it
-  stands for (map-side combined, so a hot key is reduced before the
-  shuffle; the survivor is the smallest row, as in ``dedupe``);
+* the dedupe rule keeps one row per key among rows that passed so far, by a
+  map-side combined aggregation (a hot key is reduced before the shuffle;
+  the survivor is the smallest row, as in ``dedupe``);
 * rules after it tag the survivors.
 
-Survivors tagged ``keep`` are the clean table.  Every audit count is one
-more aggregation over the same grouped rows, so clean rows and audit share
-one scan and one shuffle.  Counts are exact, because a row is counted
-under the first rule it fails, which is what the sequential filters
-remove.  Rule order still matters for dedupe:
-a duplicate whose survivor fails a later rule is lost even if its twin
-would pass, as in the source.
+Survivors tagged ``keep`` are the clean table.  Counts are exact, because a
+row is counted under the first rule it fails, which is what the sequential
+filters remove.  Rule order still matters for dedupe: a duplicate whose
+survivor fails a later rule is lost even if its twin would pass, as in the
+source.
+
+A result reads its input once: ``clean`` by one aggregation on the key,
+``audit`` and ``summary`` by one on (key, status), ``rejects`` by one on
+the whole row, whose result is joined with its survivors.  They are
+separate plans; a run that wants all of them stores ``resolved`` and derives
+them from it (``outcome_table``).
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ STATUS = "_pb_status"
 OUTCOME = "outcome"
 KEEP = "keep"
 NULL_STEP = "required_not_null"
+WRITTEN_COUNT = "rows_represented"
 
 
 @dataclass
@@ -46,6 +50,7 @@ class Cleaned:
     per_row: DataFrame | None = None  # grouped rows: columns, STATUS, _n (rows represented), OUTCOME
     audit: DataFrame | None = None  # table_name, rule_order, rule, removed
     summary: DataFrame | None = None  # table_name, original, null_removed, malformed_removed, final
+    resolved: DataFrame | None = None  # distinct rows: columns, OUTCOME (keep or the rule that removed it), WRITTEN_COUNT
     rejects: DataFrame | None = None  # rule, <input columns>; distinct rows per rule
 
 
@@ -123,23 +128,34 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
     result = Cleaned(clean=clean, outcomes=outcomes, tagged=tagged, per_row=per_row)
     if level >= 1:
         result.audit, result.summary = _audit_summary(spec, _one_pass_counts(spec, per_row))
+    result.resolved = _resolve(tagged, cols, dd, post)
     if level >= 2:
-        if dd is None:
-            # every input row is in per_row with its reason: one scan
-            reason = F.coalesce(status, F.col(OUTCOME))
-            rejected = per_row.filter(reason != KEEP).select(reason.alias("rule"), *cols)
-        else:
-            parts = [
-                tagged.filter(status.isNotNull()).select(status.alias("rule"), *cols),
-                outcomes.filter(F.col(OUTCOME) != KEEP).select(F.col(OUTCOME).alias("rule"), *cols),
-                # EXCEPT DISTINCT: an exact copy of its survivor shows nothing
-                eligible.subtract(survivors).select(F.lit(dd.name).alias("rule"), *cols),
-            ]
-            rejected = reduce(DataFrame.unionByName, parts)
-        result.rejects = rejected.distinct()
+        rejected = result.resolved.filter(F.col(OUTCOME) != KEEP).select(F.col(OUTCOME).alias("rule"), *cols)
+        result.rejects = rejected if dd is not None else rejected.distinct()
     return result
 
 
+def _resolve(tagged: DataFrame, cols: list[str], dd: Rule | None, post: list[Rule]) -> DataFrame:
+    """Every input row with its outcome; equal rows of a table with a dedupe rule are one row with their number.
+
+    Of equal rows one may survive, and the copies show nothing that it does
+    not, so rows are first grouped whole (first shuffle).  The smallest
+    row of each key comes from the grouped rows, and goes back to
+    them by key (second shuffle): what is not the survivor fell to the dedupe rule.
+    """
+    status = F.col(STATUS)
+    passed = F.coalesce(first_failure(post), F.lit(KEEP))
+    if dd is None:
+        return tagged.select(*cols, F.coalesce(status, passed).alias(OUTCOME), F.lit(1).cast("bigint").alias(WRITTEN_COUNT))
+    key = list(dd.unique_key)
+    rest = F.struct(*[F.col(c) for c in cols if c not in key])
+    whole = tagged.groupBy(*cols, STATUS).agg(F.count(F.lit(1)).alias(WRITTEN_COUNT))
+    best = whole.filter(status.isNull()).groupBy(*key).agg(F.min(rest).alias("_best"))
+    joined = whole.join(best, key, "left")
+    outcome = F.coalesce(status, F.when(rest.eqNullSafe(F.col("_best")), passed).otherwise(F.lit(dd.name)))
+    return joined.select(*cols, outcome.alias(OUTCOME), WRITTEN_COUNT)
+
+
 def _one_pass_counts(spec: TableSpec, per_row: DataFrame) -> DataFrame:
     """All audit metrics in one aggregation over the tagged / deduped rows.
 
@@ -168,29 +184,19 @@ def _metric(i: int) -> str:
     return f"r{i}"
 
 
-WRITTEN_COUNT = "rows_represented"
-
-
 def outcome_table(cleaned: Cleaned) -> DataFrame:
-    """What the materialised run writes: every survivor with its outcome
-    ('keep' or the first failed rule) plus, for input rows rejected before
-    the dedupe, one narrow row per (key, reason) carrying how many input rows
-    it stands for.  Partitioned by outcome, the cleaned table is the
-    ``outcome=keep`` partition and every audit number is a sum over this
-    table, so the input is scanned once."""
-    cols = [c for c in cleaned.tagged.columns if c != STATUS]
-    return cleaned.per_row.select(
-        *cols,
-        F.coalesce(F.col(STATUS), F.col(OUTCOME)).alias(OUTCOME),
-        F.col("_n").cast("bigint").alias(WRITTEN_COUNT),
-    )
+    """What the materialised run writes: every distinct row in full, with 'keep' or the rule that removed it, and how
+    many input rows it stands for.  Partitioned by outcome, the cleaned table is the ``outcome=keep`` partition, the
+    others are the rejected rows, and every audit number is a sum over this table, so the input is scanned once."""
+    return cleaned.resolved
 
 
 def audit_from_outcome_table(spec: TableSpec, written: DataFrame) -> tuple[DataFrame, DataFrame]:
-    pre, _, post = spec.split_rules()
+    pre, dd, post = spec.split_rules()
     outcome, n = F.col(OUTCOME), F.col(WRITTEN_COUNT)
     order = {r.name: i + 1 for i, r in enumerate(spec.rules)}
     early = [NULL_STEP] + [r.name for r in pre]
+    duplicate = [dd.name] if dd else []
 
     def total(cond: Column) -> Column:
         return F.coalesce(F.sum(F.when(cond, n)), F.lit(0))
@@ -199,7 +205,7 @@ def audit_from_outcome_table(spec: TableSpec, written: DataFrame) -> tuple[DataF
         total(F.lit(True)).alias("original"),
         total(outcome == NULL_STEP).alias("null_removed"),
         total(~outcome.isin(early)).alias("eligible"),
-        F.count_if(~outcome.isin(early)).alias("survivors"),
+        F.count_if(~outcome.isin(early + duplicate)).alias("survivors"),
         F.count_if(outcome == KEEP).alias("final"),
         *[total(outcome == r.name).alias(_metric(order[r.name])) for r in pre],
         *[F.count_if(outcome == r.name).alias(_metric(order[r.name])) for r in post],

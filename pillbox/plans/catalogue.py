@@ -14,21 +14,33 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pillbox.functions.casts import payment_type_description, rename, surrogate_key
+from pillbox.functions.casts import payment_type_description, rename, safe_cast, surrogate_key
 from pillbox.functions.strings import first_phone, normalise
 from pillbox.operators import analytics
 from pillbox.operators.dedupe import dedupe
+from pillbox.operators.fact import build_fact, enc_org
 from pillbox.operators.quality import run_tests
-from pillbox.operators.rules import apply_rules, prepare, rejects_sample
-from pillbox.operators.sinks import append, copy_table, overwrite, read_merged, upsert, write_fact
-from pillbox.operators.stage import stage
+from pillbox.operators.rules import WRITTEN_COUNT, apply_rules, prepare, rejects_sample
+from pillbox.operators.sinks import (
+    SchemaChangeError,
+    append,
+    check_schema,
+    copy_table,
+    land,
+    overwrite,
+    read_merged,
+    schema_diff_frame,
+    upsert,
+    write_fact,
+)
+from pillbox.operators.stage import project, stage
 from pillbox.plans import oracle as O
-from pillbox.plans.etl import TABLES, testdata_model
-from pillbox.plans.specs import COST_TOLERANCE, SPECS, STATE_PATTERN
+from pillbox.plans.etl import TABLES, clean_tables, create_views, stage_stored, testdata_model
+from pillbox.plans.specs import COST_TOLERANCE, SPECS, STATE_PATTERN, TS_FORMAT
 from pillbox.session import scratch_path
 from pillbox.sources.csv import read_raw, write_csv
-from pillbox.sources.tables import read_fact
-from pillbox.sources.testdata import raw_table
+from pillbox.sources.tables import read_fact, read_rejects, read_table
+from pillbox.sources.testdata import raw_table, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,8 +88,8 @@ REJECTS_SAMPLE_ROWS = 5
 
 
 def _rejects_sample_sql(t: str) -> str:
-    cols = ", ".join(O.q(c) for c in SPECS[t].columns)
-    order = O._order_all(SPECS[t].columns)
+    cols = ", ".join(O.q(c) for c in O.COLUMNS[t])
+    order = O._order_all(O.COLUMNS[t])
     return O.with_all(
         f"SELECT rule, {cols} FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY {order}) AS _rn "
         f"FROM ({O.rejects_select(t)})) WHERE _rn <= {REJECTS_SAMPLE_ROWS}",
@@ -119,7 +131,7 @@ def q_surrogate_key(spark, sf_dir):
     "dedupe_lineitem",
     O.with_all(
         f"SELECT {O._collist('medications')} FROM (SELECT *, row_number() OVER (PARTITION BY \"PATIENT\", \"CODE\", "
-        f"\"ENCOUNTER\" ORDER BY {O._order_all(SPECS['medications'].columns)}) AS _rn FROM medications_norm) WHERE _rn = 1",
+        f"\"ENCOUNTER\" ORDER BY {O._order_all(O.COLUMNS['medications'])}) AS _rn FROM medications_norm) WHERE _rn = 1",
         tables=["medications"],
     ),
 )
@@ -183,26 +195,15 @@ def q_fact_orphans(spark, sf_dir):
 
 
 # ----------------------------------------------------------- data tests (K)
-# Declared tests run on the staging models built straight from the
-# normalised raw tables (no cleaning), where violations really occur, and
-# on the staged clean tables (dq_clean_all, where all must be zero).
-_DQ = {
-    "dq_not_null": {"not_null"},
-    "dq_unique": {"unique"},
-    "dq_accepted_values": {"accepted_values"},
-    "dq_accepted_range": {"accepted_range"},
-}
+# The declared tests of one kind run on the staged columns of the normalised raw
+# rows (no cleaning, key filter or dedupe), where violations occur, and
+# all of them on the staged clean tables (dq_clean_all, where all must be zero).
+ALL_KINDS = {"not_null", "unique", "accepted_values", "accepted_range"}
 
 
-def _dq_sql(kinds: set[str], suffix: str) -> str:
-    parts = []
-    for t in TABLES:
-        parts += O._test_failures(f"stg_{t}", t, kinds)
-    ctes = []
-    for t in TABLES:
-        ctes += O.table_ctes(t)
-    ctes += O.staged_ctes(source_suffix=suffix)
-    return "WITH " + ",\n".join(ctes) + "\n" + " UNION ALL ".join(parts)
+def _dq_sql(kinds: set[str], cleaned: bool) -> str:
+    ctes = [c for t in TABLES for c in O.table_ctes(t)] + (O.staged_ctes() if cleaned else O.projected_ctes())
+    return "WITH " + ",\n".join(ctes) + "\n" + " UNION ALL ".join(x for t in TABLES for x in O.test_failures(t, kinds))
 
 
 def _dq_query(kinds: set[str], cleaned: bool) -> Query:
@@ -210,26 +211,31 @@ def _dq_query(kinds: set[str], cleaned: bool) -> Query:
         out = []
         for t in TABLES:
             spec = SPECS[t]
-            if cleaned:
-                staged = _model(spark, sf_dir).staged[t]
-            else:
-                staged = stage(prepare(raw_table(spark, sf_dir, t), spec), spec)
-            tested = run_tests(staged, spec)
-            out.append(tested)
-        res = reduce(DataFrame.unionByName, out)
-        from pillbox.operators.quality import test_name
-
-        names = {test_name(ct) for t in TABLES for ct in SPECS[t].tests if ct.kind in kinds}
-        return res.filter(F.col("test").isin(sorted(names)))
+            if any(x.kind in kinds for x in spec.tests):
+                staged = _model(spark, sf_dir).staged[t] if cleaned else project(prepare(raw_table(spark, sf_dir, t), spec), spec)
+                out.append(run_tests(staged, spec, kinds=kinds))
+        return reduce(DataFrame.unionByName, out)
 
     return run
 
 
-for _name, _kinds in _DQ.items():
-    register(_name, _dq_sql(_kinds, "_norm"))(_dq_query(_kinds, cleaned=False))
-register("dq_clean_all", _dq_sql({"not_null", "unique", "accepted_values", "accepted_range"}, "_clean"))(
-    _dq_query({"not_null", "unique", "accepted_values", "accepted_range"}, cleaned=True)
-)
+for _kind in sorted(ALL_KINDS):
+    register(f"dq_{_kind}", _dq_sql({_kind}, cleaned=False))(_dq_query({_kind}, cleaned=False))
+register("dq_uncleaned_all", _dq_sql(ALL_KINDS, cleaned=False))(_dq_query(ALL_KINDS, cleaned=False))
+register("dq_clean_all", _dq_sql(ALL_KINDS, cleaned=True))(_dq_query(ALL_KINDS, cleaned=True))
+
+
+# staging itself drops rows without a key and keeps one of each key: here from rows that were not cleaned
+def _stage_uncleaned_sql(t: str) -> str:
+    return "WITH " + ",\n".join(O.table_ctes(t)) + "\n" + O.staged_select(t, f"{t}_norm")
+
+
+for _t in TABLES:
+
+    def _stage_uncleaned(spark, sf_dir, t=_t):
+        return stage(prepare(raw_table(spark, sf_dir, t), SPECS[t]), SPECS[t])
+
+    register(f"stage_uncleaned_{_t}", _stage_uncleaned_sql(_t))(_stage_uncleaned)
 
 
 # --------------------------------------------------------- scalar functions (J)
@@ -338,7 +344,7 @@ RENAMES = {
     "rename_columns",
     O.with_all(
         "SELECT " + ", ".join(
-            f"{O.q(c)} AS {O.q(RENAMES.get(c, c))}" for c in SPECS["encounters"].columns
+            f"{O.q(c)} AS {O.q(RENAMES.get(c, c))}" for c in O.COLUMNS["encounters"]
         ) + " FROM encounters_clean",
         tables=["encounters"],
     ),
@@ -349,6 +355,14 @@ def q_rename_columns(spark, sf_dir):
 
 
 # -------------------------------------------------------------- sinks (A, B)
+_M4_SQL = (
+    "SELECT patient_id, count(*) AS n_prescriptions, CAST(sum(total_cost) AS DECIMAL(38,9)) AS total_cost_sum, "
+    "CAST(sum(payer_coverage) AS DECIMAL(38,9)) AS payer_coverage_sum, "
+    "round(CAST(sum(payer_coverage) AS DOUBLE) / CAST(sum(total_cost) AS DOUBLE), 6) AS coverage_ratio "
+    "FROM fact GROUP BY patient_id"
+)
+
+
 @register(
     "append_tables",
     O.with_all(
@@ -383,10 +397,145 @@ def _csv_roundtrip(table: str) -> Query:
     return run
 
 
-for _t in ("encounters", "patients"):
+for _t in TABLES:
     register(f"csv_roundtrip_{_t}", O.with_all(f"SELECT * FROM {_t}_clean", tables=[_t]))(_csv_roundtrip(_t))
 
 
+# Each order as a line of text, every fifth kind damaged in its own way: a bad time, a bad number, a line that ends
+# early, a line with more cells, and a sound one.
+@register(
+    "csv_malformed",
+    """
+    SELECT 'E' || o_orderkey AS "ENCOUNTER", CASE WHEN k <> 0 THEN CAST(o_orderdate AS TIMESTAMP) END AS "START",
+           'P' || o_custkey AS "PATIENT", CASE WHEN k NOT IN (1, 2) THEN CAST(o_orderkey % 9 AS INTEGER) END AS "DISPENSES",
+           CASE WHEN k <> 2 THEN CAST(10.5 AS DECIMAL(38,18)) END AS "BASE_COST", CASE WHEN k <> 2 THEN 'why' END AS "REASONDESCRIPTION"
+    FROM (SELECT *, o_orderkey % 5 AS k FROM orders)
+    """,
+)
+def q_csv_malformed(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    k, key = F.col("o_orderkey") % 5, F.col("o_orderkey").cast("string")
+    start = F.when(k == 0, F.lit("not a time")).otherwise(F.date_format("o_orderdate", TS_FORMAT))
+    head = F.concat_ws(",", start, F.lit(""), F.concat(F.lit("P"), F.col("o_custkey").cast("string")), F.lit("Y1"), F.concat(F.lit("E"), key), F.lit("C1"))
+    dispenses = F.when(k == 1, F.lit("many")).otherwise((F.col("o_orderkey") % 9).cast("string"))
+    tail = F.concat_ws(",", F.lit("Some drug"), F.lit("10.5"), F.lit("1"), dispenses, F.lit("30.25"), F.lit("r"), F.lit("why"))
+    line = F.when(k == 2, head).when(k == 3, F.concat_ws(",", head, tail, F.lit("more"), F.lit("cells"))).otherwise(F.concat_ws(",", head, tail))
+    path = scratch_path(spark, "csv-malformed")
+    o.select(line).write.text(path)
+    read = read_raw(spark, path, SPECS["medications"], header="false")
+    return read.select("ENCOUNTER", "START", "PATIENT", "DISPENSES", "BASE_COST", "REASONDESCRIPTION")
+
+
+@register(
+    "schema_guard",
+    O.with_all(
+        "SELECT * FROM (VALUES ('city', NULL, 'string', 'removed'), ('income', 'double', 'decimal(38,9)', 'type_changed'), "
+        "('visits', 'int', NULL, 'added')) v(column_name, incoming_type, target_type, change), "
+        "(SELECT count(*) AS stored_rows FROM stg_patients)",
+        staged=True,
+    ),
+)
+def q_schema_guard(spark, sf_dir):
+    """The stored staging model refuses a changed one: what differs, and the rows that stay as they were."""
+    staged = _model(spark, sf_dir).staged["patients"]
+    path = scratch_path(spark, "schema-guard")
+    overwrite(staged, path)
+    changed = staged.drop("city").withColumn("income", F.col("income").cast("double")).withColumn("visits", F.lit(1))
+    stored = spark.read.parquet(path)
+    try:
+        check_schema(changed.schema, stored.schema)
+        overwrite(changed, path)
+    except SchemaChangeError:
+        pass
+    diff = schema_diff_frame(spark, changed.schema, stored.schema)
+    return diff.crossJoin(F.broadcast(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("stored_rows"))))
+
+
+@register(
+    "land_modes",
+    O.with_all(
+        "SELECT 'first' AS landing, * FROM stg_organizations UNION ALL SELECT 'again' AS landing, * FROM stg_organizations "
+        "UNION ALL SELECT 'forced' AS landing, * REPLACE (utilization + 1 AS utilization) FROM stg_organizations",
+        staged=True,
+    ),
+)
+def q_land_modes(spark, sf_dir):
+    """Land a table, land a revision on top (it stays out), and force the revision."""
+    staged = _model(spark, sf_dir).staged["organizations"]
+    revised = staged.withColumn("utilization", F.col("utilization") + 1)
+    seen = []
+    for landing, df, force in (("first", staged, False), ("again", revised, False), ("forced", revised, True)):
+        path = scratch_path(spark, "land")
+        if landing != "first":
+            land(staged, path)
+        land(df, path, force=force)
+        seen.append(spark.read.parquet(path).select(F.lit(landing).alias("landing"), "*"))
+    return reduce(DataFrame.unionByName, seen)
+
+
+@register("fact_from_stored", O.with_all(f"SELECT * FROM ({_M4_SQL})", fact=True))
+def q_fact_from_stored(spark, sf_dir):
+    """Through stored tables: raw tables cleaned to Parquet, staged from there, joined, stored, and the cost per patient."""
+    out = scratch_path(spark, "stored")
+    clean_tables(spark, raw_tables(spark, sf_dir), f"{out}/raw")
+    st = stage_stored(spark, f"{out}/raw")
+    overwrite(build_fact(st["medications"], st["patients"], enc_org(st["encounters"], st["organizations"])), f"{out}/fact")
+    return analytics.m4_patient_cost(read_table(spark, f"{out}/fact"))
+
+
+def _rejects_digest_sql(t: str) -> str:
+    texts = ", ".join(f"COALESCE({O.q(c)}, '~')" for c in O.TEXT_COLUMNS[t])
+    return f"SELECT '{t}' AS table_name, rule, md5(concat_ws('|', {texts})) AS texts_md5, count(*) AS n_rows FROM ({O.rejects_select(t)}) GROUP BY ALL"
+
+
+@register("pipeline_rejects", O.with_all(" UNION ALL ".join(_rejects_digest_sql(t) for t in TABLES)))
+def q_pipeline_rejects(spark, sf_dir):
+    """The rejected rows that a written run keeps: the union of what rejects_* return, by a digest of their texts."""
+    out = scratch_path(spark, "rejects")
+    clean_tables(spark, raw_tables(spark, sf_dir), out)
+    parts = []
+    for t in TABLES:
+        kept = read_rejects(spark, f"{out}/{t}").drop(WRITTEN_COUNT).distinct()
+        texts = [F.coalesce(F.col(f.name), F.lit("~")) for f in SPECS[t].schema.fields if f.dataType.simpleString() == "string"]
+        digest = F.md5(F.concat_ws("|", *texts)).alias("texts_md5")
+        parts.append(kept.groupBy(F.lit(t).alias("table_name"), "rule", digest).agg(F.count(F.lit(1)).alias("n_rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register(
+    "safe_cast_text",
+    """
+    SELECT o_orderkey, TRY_CAST(t AS TIMESTAMP) AS as_timestamp, TRY_CAST(d AS DOUBLE) AS as_double
+    FROM (SELECT o_orderkey,
+                 CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d 03:04:05') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
+                      WHEN 2 THEN strftime(o_orderdate, '%Y-13-%d 00:00:00') WHEN 3 THEN 'no time' ELSE '' END AS t,
+                 CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey AS VARCHAR) || '.25' WHEN 1 THEN '-' || CAST(o_orderkey AS VARCHAR) || 'e2'
+                      WHEN 2 THEN CAST(o_orderkey AS VARCHAR) || ' pieces' ELSE '' END AS d
+          FROM orders)
+    """,
+)
+def q_safe_cast_text(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select("o_orderkey", "o_orderdate")
+    k, key = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    day = lambda pattern: F.date_format("o_orderdate", pattern)
+    text = F.when(k % 5 == 0, day("yyyy-MM-dd '03:04:05'")).when(k % 5 == 1, day("yyyy-MM-dd")).when(k % 5 == 2, day("yyyy-'13'-dd '00:00:00'")).when(k % 5 == 3, "no time").otherwise("")
+    number = F.when(k % 4 == 0, F.concat(key, F.lit(".25"))).when(k % 4 == 1, F.concat(F.lit("-"), key, F.lit("e2"))).when(k % 4 == 2, F.concat(key, F.lit(" pieces"))).otherwise("")
+    return o.select("o_orderkey", safe_cast(text, "timestamp").alias("as_timestamp"), safe_cast(number, "double").alias("as_double"))
+
+
+_VIEW_SQL = (
+    "SELECT p.state, count(*) AS n_medications, count(DISTINCT m.medication_code) AS n_codes, CAST(sum(m.total_cost) AS DECIMAL(38,9)) AS total_cost_sum "
+    "FROM {m} m JOIN {p} p ON m.patient_id = p.patient_id GROUP BY p.state"
+)
+
+
+@register("staged_view_sql", O.with_all(_VIEW_SQL.format(m="stg_medications", p="stg_patients"), staged=True))
+def q_staged_view_sql(spark, sf_dir):
+    """The staging models as named views, asked in SQL."""
+    create_views(spark, _model(spark, sf_dir))
+    return spark.sql(_VIEW_SQL.format(m=SPECS["medications"].staged_model, p=SPECS["patients"].staged_model))
+
+
 UPSERT_CUTOFF = "1997-01-01"  # rows starting on/after it are re-delivered, one day later
 
 
@@ -416,6 +565,24 @@ def q_upsert_merge(spark, sf_dir):
     return read_merged(spark, path)
 
 
+@register(
+    "upsert_null_day",
+    O.with_all(
+        "SELECT * REPLACE (CASE WHEN medication_code < '5' THEN NULL ELSE start_timestamp END AS start_timestamp), "
+        "CASE WHEN medication_code < '5' THEN NULL ELSE CAST(start_timestamp AS DATE) END AS start_date FROM fact",
+        fact=True,
+    ),
+)
+def q_upsert_null_day(spark, sf_dir):
+    """A first batch of rows without a day, then all others."""
+    fact = _model(spark, sf_dir).fact
+    early = F.col("medication_code") < "5"
+    path = scratch_path(spark, "fact-null-day")
+    upsert(spark, path, fact.filter(early).withColumn("start_timestamp", F.lit(None).cast("timestamp")))
+    upsert(spark, path, fact.filter(~early))
+    return read_merged(spark, path)
+
+
 PRUNE_START, PRUNE_END = "1996-01-01", "1997-01-01"
 
 
@@ -434,6 +601,21 @@ def q_partition_pruned_read(spark, sf_dir):
     return read_fact(spark, path, PRUNE_START, PRUNE_END)
 
 
+@register(
+    "partition_pruned_offset",
+    O.with_all(
+        "SELECT *, CAST(start_timestamp AS DATE) AS start_date FROM fact "
+        "WHERE start_timestamp >= TIMESTAMP '1996-03-01 03:00:00' AND start_timestamp < TIMESTAMP '1996-04-02 04:00:00'",
+        fact=True,
+    ),
+)
+def q_partition_pruned_offset(spark, sf_dir):
+    """Bounds with an offset: the days are those of the same instants in the session zone."""
+    path = scratch_path(spark, "fact-offset")
+    write_fact(_model(spark, sf_dir).fact, path)
+    return read_fact(spark, path, "1996-03-01T01:00:00-02:00", "1996-04-01T23:00:00-05:00")
+
+
 # ------------------------------------------------------------ analyses (M)
 _M_SQL = {
     "m1_cost_demographics": (
@@ -461,12 +643,7 @@ _M_SQL = {
         " FROM fact WHERE organization_id IS NOT NULL GROUP BY organization_state) c "
         "ON o.organization_state IS NOT DISTINCT FROM c.organization_state"
     ),
-    "m4_patient_cost": (
-        "SELECT patient_id, count(*) AS n_prescriptions, CAST(sum(total_cost) AS DECIMAL(38,9)) AS total_cost_sum, "
-        "CAST(sum(payer_coverage) AS DECIMAL(38,9)) AS payer_coverage_sum, "
-        "round(CAST(sum(payer_coverage) AS DOUBLE) / CAST(sum(total_cost) AS DOUBLE), 6) AS coverage_ratio "
-        "FROM fact GROUP BY patient_id"
-    ),
+    "m4_patient_cost": _M4_SQL,
     "m5_monthly_trend": (
         "SELECT month, n_prescriptions, total_cost_sum, "
         "lag(n_prescriptions) OVER (ORDER BY month ASC NULLS FIRST) AS prev_n_prescriptions, "

@@ -87,6 +87,32 @@ def clean_to(spark: SparkSession, raw: DataFrame, table: str, path: str) -> tupl
     return audit_from_outcome_table(spec, spark.read.parquet(path))
 
 
+def clean_tables(spark: SparkSession, raws: dict[str, DataFrame], out: str, parallel: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Write the outcome table of every raw table under ``out``; return (audit, summary) read from them.
+
+    The cleaning jobs are independent and are submitted concurrently (Spark schedules their tasks side by side).
+    """
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        frames = dict(zip(TABLES, pool.map(lambda t: clean_to(spark, raws[t], t, f"{out}/{t}"), TABLES)))
+    return tuple(reduce(DataFrame.unionByName, [frames[t][i] for t in TABLES]) for i in (0, 1))
+
+
+def stage_stored(spark: SparkSession, out: str, test_run: bool = False) -> dict[str, DataFrame]:
+    """The staging models over the stored cleaned tables."""
+    return {
+        t: stage(read_clean(spark, f"{out}/{t}"), SPECS[t], test_run=test_run, key_unique=cleaned_key_unique(SPECS[t]))
+        for t in TABLES
+    }
+
+
+def create_views(spark: SparkSession, model: Model) -> list[str]:
+    """Name the models of a run for SQL: temp views stg_<table>_data, enc_org and fact."""
+    frames = {SPECS[t].staged_model: df for t, df in model.staged.items()} | {"enc_org": model.enc_org, "fact": model.fact}
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+    return list(frames)
+
+
 def run_pipeline(
     spark: SparkSession,
     in_dir: str,
@@ -100,8 +126,8 @@ def run_pipeline(
 
     ``source='csv'`` reads exactly ``<in_dir>/<table>.csv`` (a file or a folder of parts); ``source='testdata'``
     derives the raw tables from the star-schema test tables in ``in_dir``.
-    The four cleaning jobs are independent and are submitted concurrently
-    (Spark schedules their tasks side by side).
+    Rejected rows stay, in full and with the rule that removed them, beside the
+    cleaned ones (``read_rejects``).
     """
     spark = own_session(spark)
     out = out_dir.rstrip("/")
@@ -112,18 +138,11 @@ def run_pipeline(
 
         raws = raw_tables(spark, in_dir)
 
-    paths = {t: f"{out}/raw/{t}" for t in TABLES}
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        frames = dict(zip(TABLES, pool.map(lambda t: clean_to(spark, raws[t], t, paths[t]), TABLES)))
-    audit = reduce(DataFrame.unionByName, [frames[t][0] for t in TABLES])
-    summary = reduce(DataFrame.unionByName, [frames[t][1] for t in TABLES])
+    audit, summary = clean_tables(spark, raws, f"{out}/raw", parallel)
     overwrite(audit.coalesce(1), f"{out}/audit/rules")
     overwrite(summary.coalesce(1), f"{out}/audit/summary")
 
-    staged = {
-        t: stage(read_clean(spark, paths[t]), SPECS[t], test_run=test_run, key_unique=cleaned_key_unique(SPECS[t]))
-        for t in TABLES
-    }
+    staged = stage_stored(spark, f"{out}/raw", test_run)
     tests = reduce(DataFrame.unionByName, [run_tests(staged[t], SPECS[t]) for t in TABLES])
     overwrite(tests.coalesce(1), f"{out}/audit/tests")
     tests = spark.read.parquet(f"{out}/audit/tests")

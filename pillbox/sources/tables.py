@@ -16,6 +16,12 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col(OUTCOME) == KEEP).drop(OUTCOME, WRITTEN_COUNT)
 
 
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The rejected rows of an outcome table: rule, rows_represented and the input columns."""
+    df = spark.read.parquet(path).filter(F.col(OUTCOME) != KEEP)
+    return df.select(F.col(OUTCOME).alias("rule"), WRITTEN_COUNT, *[c for c in df.columns if c not in (OUTCOME, WRITTEN_COUNT)])
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

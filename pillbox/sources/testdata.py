@@ -55,10 +55,81 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left"))
 
 
-def _conform(df: DataFrame, table: str) -> DataFrame:
-    """Cast to the raw schema, in schema order."""
-    schema = SPECS[table].schema
-    return df.select(*[C(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+# Violations by key: column, what stands there, and the keys (modulus, remainder) where it does.  Together with
+# those that the builders make, each rule, required column and declared test has rows that fail it.
+PLANTS = {
+    "patients": [
+        ("Id", "null", 131, 1),
+        ("SSN", "null", 137, 2),
+        ("FIRST", "null", 139, 3),
+        ("LAST", "null", 149, 4),
+        ("RACE", "null", 151, 5),
+        ("ETHNICITY", "null", 157, 6),
+        ("GENDER", "null", 163, 7),
+        ("BIRTHPLACE", "null", 167, 8),
+        ("ADDRESS", "null", 173, 9),
+        ("CITY", "null", 179, 10),
+        ("STATE", "null", 181, 11),
+        ("HEALTHCARE_EXPENSES", "null", 191, 12),
+        ("HEALTHCARE_COVERAGE", "null", 193, 13),
+        ("HEALTHCARE_COVERAGE", "negative", 223, 19),
+        ("INCOME", "null", 197, 14),
+    ],
+    "encounters": [
+        ("Id", "null", 211, 1),
+        ("START", "null", 223, 2),
+        ("PATIENT", "null", 227, 3),
+        ("PROVIDER", "null", 229, 4),
+        ("PAYER", "null", 233, 5),
+        ("ENCOUNTERCLASS", "null", 239, 6),
+        ("CODE", "null", 241, 7),
+        ("DESCRIPTION", "null", 251, 8),
+        ("BASE_ENCOUNTER_COST", "null", 257, 9),
+        ("TOTAL_CLAIM_COST", "negative", 103, 9),
+        ("PAYER_COVERAGE", "null", 263, 10),
+        ("PAYER_COVERAGE", "negative", 107, 11),
+    ],
+    "medications": [
+        ("START", "null", 149, 6),
+        ("PATIENT", "null", 151, 7),
+        ("PAYER", "null", 157, 8),
+        ("ENCOUNTER", "null", 163, 9),
+        ("CODE", "null", 167, 10),
+        ("DESCRIPTION", "null", 173, 11),
+        ("BASE_COST", "null", 179, 12),
+        ("BASE_COST", "negative", 131, 3),
+        ("PAYER_COVERAGE", "null", 181, 13),
+        ("PAYER_COVERAGE", "negative", 137, 4),
+        ("DISPENSES", "null", 191, 14),
+        ("DISPENSES", "negative", 113, 1),
+        ("DISPENSES", "zero", 127, 2),
+        ("TOTALCOST", "null", 193, 15),
+        ("TOTALCOST", "negative", 139, 5),
+    ],
+    "organizations": [
+        ("Id", "null", 38, 15),
+        ("NAME", "null", 33, 10),
+        ("ADDRESS", "null", 34, 12),
+        ("CITY", "null", 35, 12),
+        ("REVENUE", "null", 36, 13),
+        ("UTILIZATION", "null", 39, 14),
+        ("UTILIZATION", "negative", 19, 4),
+    ],
+}
+
+
+def _conform(df: DataFrame, table: str, key: Column) -> DataFrame:
+    """Put the violations in and cast to the raw schema, in schema order."""
+    values = {"null": lambda c: F.lit(None), "negative": lambda c: -F.abs(c), "zero": lambda c: F.lit(0)}
+    columns = {f.name: C(f.name).cast(f.dataType) for f in SPECS[table].schema.fields}
+    planted = {}
+    for name, what, modulus, remainder in PLANTS[table]:
+        at, value = key % modulus == remainder, values[what](columns[name])
+        planted[name] = planted[name].when(at, value) if name in planted else F.when(at, value)
+    return df.select(*[
+        (planted[f.name].otherwise(columns[f.name]) if f.name in planted else columns[f.name]).cast(f.dataType).alias(f.name)
+        for f in SPECS[table].schema.fields
+    ])
 
 
 def patients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +140,7 @@ def patients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(F.lit("1930-01-01").cast("date"), (k * 131 % 25000).cast("int"))
     )
     out = x.select(
+        k.alias("_k"),
         _id("P", F.when(k % 89 == 1, k - 1).otherwise(k)).alias("Id"),
         birth.alias("BIRTHDATE"),
         F.when(k % 13 == 0, F.date_add(birth, 21000)).alias("DEATHDATE"),
@@ -100,7 +172,7 @@ def patients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((k % 1000) * 25).alias("HEALTHCARE_COVERAGE"),
         F.when(k % 211 == 17, F.lit(-1000)).otherwise(20000 + k * 37 % 80000).alias("INCOME"),
     )
-    return _conform(out, "patients")
+    return _conform(out, "patients", C("_k"))
 
 
 def _encounter_class(priority: Column, status: Column) -> Column:
@@ -134,6 +206,7 @@ def encounters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = total * F.lit(Decimal("0.05"))
     cls = _encounter_class(C("o_orderpriority"), C("o_orderstatus"))
     out = x.select(
+        k.alias("_k"),
         _id("E", F.when(k % 97 == 1, k - 1).otherwise(k)).alias("Id"),
         C("o_orderdate").alias("START"),
         C("max_ship").alias("STOP"),
@@ -151,7 +224,7 @@ def encounters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit(" "), C("o_orderstatus"), F.lit(" "))).alias("REASONCODE"),
         F.when(k % 4 == 0, F.lit("")).otherwise(C("o_orderpriority")).alias("REASONDESCRIPTION"),
     )
-    return _conform(out, "encounters")
+    return _conform(out, "encounters", C("_k"))
 
 
 def medications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,6 +238,7 @@ def medications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = l.join(o, l.l_orderkey == o.o_orderkey, "left").join(p, l.l_partkey == p.p_partkey, "left")
     flag = C("l_returnflag")
     out = x.select(
+        C("l_orderkey").alias("_k"),
         C("o_orderdate").alias("START"),
         F.when(C("l_linestatus") == "O", F.lit(None)).otherwise(C("l_shipdate")).alias("STOP"),
         _id("P", C("o_custkey")).alias("PATIENT"),
@@ -179,7 +253,7 @@ def medications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(flag == "N", F.lit("")).otherwise(flag).alias("REASONCODE"),
         F.when(flag == "R", "returned").when(flag == "A", "accepted").alias("REASONDESCRIPTION"),
     )
-    return _conform(out, "medications")
+    return _conform(out, "medications", C("_k"))
 
 
 def organizations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,6 +262,7 @@ def organizations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = C("s_suppkey")
     region2 = F.substr(C("r_name"), F.lit(1), F.lit(2))
     out = x.select(
+        k.alias("_k"),
         _id("O", F.when((k % 41 == 1) & (k > 1), k - 1).otherwise(k)).alias("Id"),
         C("s_name").alias("NAME"),
         F.when(k % 47 == 3, F.lit("   ")).otherwise(F.concat(k.cast(S), F.lit(" Supply Road"))).alias("ADDRESS"),
@@ -203,7 +278,7 @@ def organizations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         C("s_acctbal").cast(D2).alias("REVENUE"),
         (k % 500).alias("UTILIZATION"),
     )
-    return _conform(out, "organizations")
+    return _conform(out, "organizations", C("_k"))
 
 
 BUILDERS = {

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pillbox.operators.sinks import read_merged
 from pillbox.plans.etl import run_pipeline
-from pillbox.sources.tables import read_clean
+from pillbox.sources.tables import read_clean, read_rejects
 from tests import fixtures_csv as FX
 
 
@@ -28,6 +28,9 @@ def test_run_pipeline_on_csv(spark, tmp_dir):
     }
     assert res["tests"].count() == 63 and res["tests"].filter("failures > 0").count() == 0
     assert read_clean(spark, f"{out}/raw/encounters").count() == 2
+    rejects = {r.Id: (r.rule, r.DESCRIPTION) for r in read_rejects(spark, f"{out}/raw/encounters").collect()}
+    assert {i: "null" if rule == "required_not_null" else rule for i, (rule, _) in rejects.items()} == {i: r for i, r in FX.ENCOUNTERS_EXPECTED.items() if r != "keep"}
+    assert rejects["e8"] == ("required_not_null", "No patient")  # in full, not only its key
     fact = read_merged(spark, f"{out}/fact")
     assert fact.count() == 3
     assert "surrogate key" in fact.schema["medication_id"].metadata["comment"]
