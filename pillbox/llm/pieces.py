@@ -34,7 +34,7 @@ NONE = np.iinfo(np.int64).max
 UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0  # fixed value: added to the lowest score for an uncovered character
 BLOCK = 1 << 17  # characters of distinct words composed at once
-CACHED = 400_000  # distinct words whose paths a task remembers; beyond that they are composed again
+CACHED = 400_000  # distinct words whose paths a Python worker remembers; beyond that it starts anew
 
 
 def merges(text: str, number: dict[str, int], rank: dict[str, float]) -> list[tuple[float, int, int]]:
@@ -63,6 +63,7 @@ class Machine:
         if norm.precompiled_charsmap or trainer.treat_whitespace_as_suffix or any(p.type == 4 for p in proto.pieces):
             raise ValueError("character maps, suffix white space and user-defined pieces are not supported")
         self.bpe = trainer.model_type == BPE
+        self.known: dict[str, bytes] = {}  # paths of words, in a worker
         self.dummy, self.squeeze = norm.add_dummy_prefix, norm.remove_extra_whitespaces
         self.unk = next(i for i, p in enumerate(proto.pieces) if p.type == 2)
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == 6}
@@ -88,11 +89,13 @@ class Machine:
         # where a text may be cut: before white space, around characters of no piece, and between a word and a mark
         inside = {(a, b) for p in pieces for a, b in zip(p, p[1:])}
         self.cut_meta = not any(b == META and a != META for a, b in inside)
-        marks = [m for m in ".,;:!?" if not any(b == m and re.match(r"\w", a) for a, b in inside)]
-        strange = "".join(c for c in "\n\r\t" if not self.char_code[ord(c)])
-        ahead = f"(?=[{re.escape(''.join(marks))}])" if marks else "(?!)"
-        s = re.escape(strange)
-        self.cutter = re.compile(f"[{s}]|" * bool(strange) + rf"{META}*\w+{ahead}|{META}*[^{META}{s}]+|{META}+") if self.cut_meta else None
+        strange = re.escape("".join(c for c in "\n\r\t" if not self.char_code[ord(c)]))
+        border = []  # a mark behind a letter that no piece has before it
+        for m in ".,;:!?":
+            joined = "".join(sorted(a for a, b in inside if b == m and re.match(r"\w", a)))
+            border.append((f"(?<![{re.escape(joined)}])" if joined else "") + f"(?={re.escape(m)})")
+        word = rf"{META}*+\w++(?:{'|'.join(border)})"
+        self.cutter = re.compile((f"[{strange}]|" if strange else "") + rf"{word}|{META}*+[^{META}{strange}]++|{META}++") if self.cut_meta else None
         del self.events
 
     def _pairs(self, pieces, chars) -> None:
@@ -256,10 +259,11 @@ class Machine:
 
     def encode_texts(self, texts: list[str | None], cache: dict[str, bytes]) -> list[np.ndarray]:
         cut = [self.words(t or "") for t in texts]
-        new = sorted({w for ws in cut for w in ws} - cache.keys(), key=len)
+        words = set().union(*cut)
+        new = sorted(words.difference(cache), key=len)
         if len(cache) + len(new) > CACHED:
             cache.clear()
-            new = sorted({w for ws in cut for w in ws}, key=len)
+            new = sorted(words, key=len)
         i = 0
         while i < len(new):
             j, n = i, 0
@@ -268,7 +272,8 @@ class Machine:
                 j += 1
             cache.update(zip(new[i:j], self.encode(new[i:j])))
             i = j
-        return [np.frombuffer(b"".join([cache[w] for w in ws]), np.int32) for ws in cut]
+        path = cache.__getitem__
+        return [np.frombuffer(b"".join(map(path, ws)), np.int32) for ws in cut]
 
     def decode(self, ids) -> str:
         text = b"".join([self.texts[i] for i in ids]).decode("utf-8", "replace")
@@ -280,22 +285,31 @@ def compile_model(path: str) -> Machine:
         return Machine(f.read())
 
 
-def encode(docs: DataFrame, machine: Machine, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """The input columns plus ``ids_col``: the array of piece ids of the whole text, empty for a null or empty one."""
-    kept = [c for c in docs.columns if c != ids_col]
+def encode(docs: DataFrame, machine: Machine, text_col: str = "text", ids_col: str = "ids", same_col: str | None = None) -> DataFrame:
+    """The input columns plus ``ids_col``: the array of piece ids of the whole text, empty for a null or empty one.
+
+    With ``same_col`` the ids are decoded at once, in the same Python worker, and the column says whether that gives
+    the text back (it does not where the text itself holds U+2581, the sign for a space).
+    """
+    kept = [c for c in docs.columns if c not in (ids_col, same_col)]
     src = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("_s_text"))
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # its size is that of the vocabulary
 
     def run(batches):
-        cache: dict[str, bytes] = {}
+        machine = shared.value  # one object a worker, with the words of all its tasks
         for b in slices(batches, 256):
-            found = shared.value.encode_texts(b.column("_s_text").to_pylist(), cache)
+            texts = b.column("_s_text").to_pylist()
+            found = machine.encode_texts(texts, machine.known)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.zeros(0, np.int32)])))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), ids], names=[*kept, ids_col])
+            columns, names = [*(b.column(c) for c in kept), ids], [*kept, ids_col]
+            if same_col:
+                columns.append(pa.array([machine.decode(x.tolist()) == (t or "") for x, t in zip(found, texts)]))
+                names.append(same_col)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_s_text"]
-    return src.mapInArrow(run, ", ".join([*fields, f"`{ids_col}` array<int>"]))
+    return src.mapInArrow(run, ", ".join([*fields, f"`{ids_col}` array<int>", *([f"`{same_col}` boolean"] if same_col else [])]))
 
 
 def decode(df: DataFrame, machine: Machine, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

@@ -10,7 +10,7 @@ from pillbox.llm.langid import language_id
 from pillbox.llm.licenses import license_scan
 from pillbox.llm.lm import lm_score
 from pillbox.llm.mixing import mix_sources
-from pillbox.llm.pieces import compile_model, decode, encode
+from pillbox.llm.pieces import compile_model, encode
 from pillbox.llm.quality import quality_rules
 from pillbox.llm.simhash import simhash_dedup
 from pillbox.llm.suffix_dedup import remove_repeats
@@ -28,10 +28,8 @@ def op1_mixing(spark, sf_dir):
 
 def op2_sentencepiece(spark, sf_dir, model: str = SENTENCEPIECE_MODEL):
     """Every document's piece ids, and whether decoding them gives the text back."""
-    machine = compile_model(model)
-    ids = encode(read(spark, sf_dir, "documents").select("doc_id", "text"), machine)
-    back = decode(ids, machine)
-    return back.select("doc_id", "ids", F.size("ids").alias("n_pieces"), (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same_text"))
+    done = encode(read(spark, sf_dir, "documents").select("doc_id", "text"), compile_model(model), same_col="same_text")
+    return done.select("doc_id", "ids", F.size("ids").alias("n_pieces"), "same_text")
 
 
 def op3_langid(spark, sf_dir):
