@@ -11,7 +11,16 @@ from pillbox.llm.licenses import license_scan
 from pillbox.llm.lm import lm_score
 from pillbox.llm.mixing import mix_sources
 from pillbox.llm.pieces import compile_model, encode
-from pillbox.llm.quality import quality_rules
+from pillbox.llm.quality import (
+    CHAR_GUARD,
+    CHAR_LIMIT,
+    COMMON_WORDS,
+    MAX_REPEAT_PERCENT,
+    MIN_WORDS,
+    WORD_GUARD,
+    WORD_LIMIT,
+    quality_rules,
+)
 from pillbox.llm.simhash import simhash_dedup
 from pillbox.llm.suffix_dedup import remove_repeats
 from pillbox.llm.warc import warc_round_trip
@@ -74,6 +83,56 @@ def op10_lm_score(spark, sf_dir, vocabulary: str = BPE_RANKS):
     return lm_score(read(spark, sf_dir, "documents"), vocabulary)
 
 
+def _quality_sql() -> str:
+    """The quality rules in DuckDB SQL: counts by lists of words, references by sums, Jensen-Shannon distances of lists."""
+    size = len(next(iter(COMMON_WORDS.values()))) + 1
+    common = "SELECT * FROM (VALUES " + ", ".join(f"('{lang}', [{', '.join(repr(w) for w in ws)}])" for lang, ws in COMMON_WORDS.items()) + ") v(ref, ws)"
+
+    def distance(counts: str, ref: str) -> str:
+        p, q = f"{counts}[i] / list_sum({counts})", f"{ref}[i] / list_sum({ref})"
+        part = lambda x, y: f"CASE WHEN {x} > 0 THEN ({x}) * log2(({x}) / ((({x}) + ({y})) / 2)) ELSE 0 END"
+        terms = f"list_transform(range(1, len({counts}) + 1), lambda i: {part(p, q)} + {part(q, p)})"
+        return f"CASE WHEN list_sum({counts}) > 0 THEN sqrt(greatest(0, list_sum({terms}) / 2)) ELSE 0 END"
+
+    return f"""
+        WITH texts AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+        split AS (SELECT *, regexp_extract_all(t, '[^ \\t-\\r]+') AS w FROM texts),
+        grams AS (SELECT *, CASE WHEN len(w) > 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) ELSE [] END AS g FROM split),
+        twice AS (SELECT *, list_filter(map_entries(histogram_of), lambda e: e.value > 1) AS many FROM (SELECT *, list_histogram(g) AS histogram_of FROM grams)),
+        counts AS (
+            SELECT doc_id, lang, t, w, len(w) AS n_words, length(t) - len(regexp_extract_all(t, '[ \\t-\\r]')) AS word_chars,
+                   len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+                   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS ls,
+                   CASE WHEN len(many) = 0 THEN 0 ELSE len(list_distinct(flatten(list_transform(
+                       list_filter(range(1, len(g) + 1), lambda i: histogram_of[g[i]] > 1), lambda i: range(i, i + 5))))) END AS n_repeat_words
+            FROM twice
+        ),
+        classes AS (
+            SELECT *, [CAST(x AS DOUBLE) FOR x IN [u, d, n_symbols, m, b, greatest(0, word_chars - u - d - n_symbols - m - b)]] AS chars
+            FROM (SELECT *, len(regexp_extract_all(t, '[A-Z]')) AS u, len(regexp_extract_all(t, '[0-9]')) AS d,
+                         len(regexp_extract_all(t, '[!"''()+,\\-./:;=?@\\[\\\\\\]^_`{{}}~]')) AS m, strlen(t) - length(t) AS b FROM counts)
+        ),
+        common AS ({common}),
+        words AS (
+            SELECT doc_id, lang, ref, chars, list_append(own, n_words - list_sum(own)) AS bins
+            FROM (SELECT c.doc_id, c.lang, c.n_words, c.chars, ref, [CAST(len(list_filter(w, lambda y: y = x)) AS DOUBLE) FOR x IN ws] AS own FROM classes c, common)
+        ),
+        refs AS (
+            SELECT ref, [{", ".join(f"sum(chars[{i}])" for i in range(1, 7))}] AS char_ref, [{", ".join(f"sum(bins[{i}])" for i in range(1, size + 1))}] AS word_ref
+            FROM words WHERE lang = ref GROUP BY ref
+        ),
+        near AS (
+            SELECT doc_id, min({distance("chars", "char_ref")}) AS char_distance, min({distance("bins", "word_ref")}) AS word_distance
+            FROM words JOIN refs USING (ref) WHERE list_sum(char_ref) > 0 AND list_sum(word_ref) > 0 GROUP BY doc_id
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+               base_failed, coalesce(char_distance, 0) AS char_distance, coalesce(word_distance, 0) AS word_distance,
+               NOT (base_failed OR (word_chars >= {CHAR_GUARD} AND coalesce(char_distance, 0) > {CHAR_LIMIT})
+                    OR (n_words >= {WORD_GUARD} AND coalesce(word_distance, 0) > {WORD_LIMIT})) AS kept
+        FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM classes) LEFT JOIN near USING (doc_id)
+    """
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -114,6 +173,7 @@ ORACLE = {
         FROM (SELECT *, strlen(html) >= 100 AND first_id < page_id AS shared
               FROM (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages))
     """,
+    "op8_quality": _quality_sql(),
     "op9_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
