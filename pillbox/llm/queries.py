@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pillbox.llm.common import LOWER, UPPER, read
 from pillbox.llm.exact_dedup import exact_dedup
 from pillbox.llm.langid import language_id
-from pillbox.llm.licenses import license_scan
+from pillbox.llm.licenses import BASE, NOTICES, license_scan
 from pillbox.llm.lm import lm_score
 from pillbox.llm.mixing import mix_sources
 from pillbox.llm.pieces import compile_model, encode
@@ -83,6 +83,38 @@ def op10_lm_score(spark, sf_dir, vocabulary: str = BPE_RANKS):
     return lm_score(read(spark, sf_dir, "documents"), vocabulary)
 
 
+def _license_sql() -> str:
+    """The licence scan in DuckDB SQL: every place of a key phrase, and the share of the template's words around it."""
+    quoted = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    rows = ", ".join(
+        f"('{t.label}', {t in BASE}, {quoted(t.words)}, {quoted(t.key.split())}, {t.key_at}, {t.share})" for t in (*BASE, *NOTICES)
+    )
+    labels = lambda which: f"coalesce(array_to_string(list_sort(list_distinct(list(label){which})), ','), '')"
+    return f"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+        ),
+        templates(label, is_base, tw, k, key_at, least) AS (VALUES {rows}),
+        starts AS (
+            SELECT *, unnest(list_filter(range(1, len(w) - len(k) + 2), lambda p: w[p:p + len(k) - 1] = k)) - 1 - key_at AS s
+            FROM words, templates WHERE list_has_all(w, k)
+        ),
+        found AS (
+            SELECT doc_id, label, is_base, s, share
+            FROM (SELECT *, len(list_filter(range(1, len(tw) + 1), lambda j: s + j >= 1 AND w[s + j] = tw[j])) / len(tw) AS share FROM starts)
+            WHERE share >= least
+        ),
+        digest AS (
+            SELECT doc_id, count(*) FILTER (is_base) AS n_base, min(s) FILTER (is_base) AS first_word, max(s) FILTER (is_base) AS last_word,
+                   {labels(" FILTER (is_base)")} AS base_labels, {labels("")} AS labels, max(share) AS score
+            FROM found GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+               coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+        FROM words LEFT JOIN digest USING (doc_id)
+    """
+
+
 def _quality_sql() -> str:
     """The quality rules in DuckDB SQL: counts by lists of words, references by sums, Jensen-Shannon distances of lists."""
     size = len(next(iter(COMMON_WORDS.values()))) + 1
@@ -173,6 +205,7 @@ ORACLE = {
         FROM (SELECT *, strlen(html) >= 100 AND first_id < page_id AS shared
               FROM (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages))
     """,
+    "op7_licenses": _license_sql(),
     "op8_quality": _quality_sql(),
     "op9_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
