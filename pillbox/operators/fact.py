@@ -87,21 +87,70 @@ FACT_COLUMNS = [
 ]
 FACT_NAMES = [name for _, _, name in FACT_COLUMNS]
 
-_SIDE_SOURCE = {
-    "m": "staged medications",
-    "p": "staged patients",
-    "eo": "staged encounters joined with staged organizations",
+# What the table and its columns mean to someone who reads them.
+FACT_DOC = (
+    "One row for each prescription that passed cleaning, with who received it, at which encounter it was written and "
+    "where. A patient, encounter or organization that is unknown or was rejected leaves its columns NULL."
+)
+COLUMN_DOCS = {
+    "medication_id": "surrogate key of the prescription: MD5 of patient, drug code and encounter; unique, never NULL",
+    "medication_code": "code of the prescribed drug",
+    "medication_description": "name and strength of the prescribed drug",
+    "reason_code": "diagnosis code for which the drug was prescribed, if any was recorded",
+    "reason_description": "that diagnosis in words",
+    "start_timestamp": "when the prescription starts (UTC); its day is the partition",
+    "stop_timestamp": "when it ends (UTC); NULL while it goes on",
+    "dispenses": "how often the drug was dispensed, at least once",
+    "base_cost": "price of dispensing the drug once",
+    "payer_coverage": "part of the total cost that the insurer pays",
+    "total_cost": "cost of all dispenses, at most a tenth over base cost times dispenses",
+    "patient_id": "patient who received the drug; NULL when unknown or rejected",
+    "birth_date": "patient's day of birth",
+    "death_date": "patient's day of death; NULL for the living",
+    "marital_status": "patient's marital status: M, S, D or W",
+    "race": "patient's primary race",
+    "ethnicity": "patient's primary ethnicity",
+    "gender": "patient's gender: M or F",
+    "birthplace": "town where the patient was born",
+    "address": "patient's street address",
+    "city": "patient's city",
+    "state": "patient's state",
+    "county": "patient's county",
+    "fips_code": "FIPS code of the patient's county",
+    "zip_code": "patient's postal code",
+    "latitude": "latitude of the patient's address",
+    "longitude": "longitude of the patient's address",
+    "healthcare_expenses": "what the patient has paid for health care over a lifetime",
+    "healthcare_coverage": "what insurers have paid for the patient over a lifetime",
+    "income": "patient's yearly income",
+    "encounter_id": "visit at which the drug was prescribed; NULL when unknown or rejected",
+    "encounter_class": "kind of visit, such as emergency or wellness",
+    "encounter_code": "code of the visit's procedure",
+    "encounter_description": "that procedure in words",
+    "encounter_reason_code": "diagnosis code for which the visit took place, if any",
+    "encounter_reason_description": "that diagnosis in words",
+    "encounter_start_timestamp": "when the visit began (UTC)",
+    "encounter_stop_timestamp": "when it ended (UTC)",
+    "base_encounter_cost": "price of the visit without anything done in it",
+    "total_claim_cost": "price of the visit with everything done in it",
+    "encounter_payer_coverage": "part of the visit's cost that the insurer pays",
+    "organization_id": "organization named by the visit, kept even if that organization was rejected",
+    "organization_name": "name of the organization",
+    "organization_address": "its street address",
+    "organization_city": "its city",
+    "organization_state": "its state, two capital letters",
+    "organization_zip_code": "its postal code",
+    "phone": "its first telephone number",
+    "organization_latitude": "latitude of the organization",
+    "organization_longitude": "longitude of the organization",
+    "revenue": "its revenue so far",
+    "utilization": "number of visits to it so far",
 }
 
 
 def fact_docs() -> dict[str, str]:
-    """Column descriptions persisted with the fact: where each column comes from."""
-    docs = {name: f"{src} from {_SIDE_SOURCE[side]}" for side, src, name in FACT_COLUMNS}
-    docs["medication_id"] = "md5 surrogate key of (PATIENT, CODE, ENCOUNTER); unique per fact row"
-    docs["patient_id"] = "patient id from the patients side; NULL when the patient was unknown or rejected"
-    docs["encounter_id"] = "encounter id from the encounters side; NULL when the encounter was unknown or rejected"
-    docs["organization_id"] = "organization id recorded on the encounter (kept even if the organization was rejected)"
-    return docs
+    """Column descriptions that are stored with the fact; the table's own stands with its first column as table_comment."""
+    return dict(COLUMN_DOCS)
 
 
 def enc_org(encounters: DataFrame, organizations: DataFrame) -> DataFrame:

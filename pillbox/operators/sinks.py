@@ -83,14 +83,13 @@ def check_schema(incoming: StructType, target: StructType) -> None:
         raise SchemaChangeError(f"schema change refused: {diff}")
 
 
-def with_docs(df: DataFrame, docs: dict[str, str]) -> DataFrame:
-    """Attach column descriptions as field metadata (kept by Parquet)."""
-    return df.select(
-        *[
-            F.col(c).alias(c, metadata={"comment": docs[c]}) if c in docs else F.col(c)
-            for c in df.columns
-        ]
-    )
+def with_docs(df: DataFrame, docs: dict[str, str], table: str | None = None) -> DataFrame:
+    """Attach descriptions as field metadata (kept by Parquet); that of the table goes with the first column."""
+    out = []
+    for i, c in enumerate(df.columns):
+        meta = ({"comment": docs[c]} if c in docs else {}) | ({"table_comment": table} if table and i == 0 else {})
+        out.append(F.col(c).alias(c, metadata=meta) if meta else F.col(c))
+    return df.select(*out)
 
 
 def with_partition(fact: DataFrame, ts_col: str = "start_timestamp") -> DataFrame:

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pillbox.operators.fact import build_fact, enc_org, fact_docs
+from pillbox.operators.fact import FACT_DOC, build_fact, enc_org, fact_docs
 from pillbox.operators.quality import run_tests
 from pillbox.operators.rules import OUTCOME, Cleaned, apply_rules, audit_from_outcome_table, outcome_table
 from pillbox.operators.sinks import overwrite, upsert, with_docs
@@ -153,7 +153,7 @@ def run_pipeline(
 
     eo = enc_org(staged["encounters"], staged["organizations"])
     fact = build_fact(staged["medications"], staged["patients"], eo, test_run=test_run)
-    upsert(spark, f"{out}/fact", with_docs(fact, fact_docs()))
+    upsert(spark, f"{out}/fact", with_docs(fact, fact_docs(), FACT_DOC))
     return {
         "audit": spark.read.parquet(f"{out}/audit/rules"),
         "summary": spark.read.parquet(f"{out}/audit/summary"),

@@ -33,7 +33,8 @@ def test_run_pipeline_on_csv(spark, tmp_dir):
     assert rejects["e8"] == ("required_not_null", "No patient")  # in full, not only its key
     fact = read_merged(spark, f"{out}/fact")
     assert fact.count() == 3
-    assert "surrogate key" in fact.schema["medication_id"].metadata["comment"]
+    assert all(f.metadata.get("comment") for f in fact.schema if f.name != "start_date")
+    assert "prescription" in fact.schema["medication_id"].metadata["table_comment"]
     assert fact.filter(F.col("medication_code") == "m8").collect()[0].patient_id is None
     # re-running merges the same keys: still 3 rows
     run_pipeline(spark, in_dir, out, source="csv")
