@@ -60,10 +60,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every text's piece ids (a column ``ids`` of the input is replaced); decoding them is checked."""
-    machine = pieces.compile_model(SENTENCEPIECE_MODEL)
-    back = pieces.decode(pieces.encode(docs, machine), machine, out_col="_p_decoded")
-    return back.withColumn("same_text", F.coalesce("text", F.lit("")) == F.col("_p_decoded")).drop("_p_decoded")
+    """Every text's piece ids and whether decoding gives the text back (columns ``ids`` and ``same_text`` of the input are replaced)."""
+    return pieces.encode(docs, pieces.compile_model(SENTENCEPIECE_MODEL), same_col="same_text")
 
 
 STAGES = [
