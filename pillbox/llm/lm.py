@@ -1,7 +1,7 @@
 """LM scoring: a small causal self-attention model over subword ids, in numpy.
 
 Subwords are the first ``VOCAB`` entries of a public byte-level BPE table,
-word by word, each with its leading space.  The model has one head over
+word by word, each with its leading space and its trailing marks apart.  The model has one head over
 ``CONTEXT`` tokens with a learned bias per distance, and a two-level output
 (class, then member) whose starting biases are the subword counts of all
 training documents.  It is trained in rounds: tasks improve the weights on
@@ -21,6 +21,8 @@ others are shuffled, by word, so no word is a hot key.
 from __future__ import annotations
 
 import base64
+import math
+from array import array
 from collections import Counter
 from functools import reduce
 
@@ -38,19 +40,52 @@ END, START = VOCAB, VOCAB + 1
 BLOCK = 16
 CONTEXT = 2 * BLOCK
 WIDTH = 16
-FREQUENT = 1 << 17  # words with counts sent to all tasks
+FREQUENT = 1 << 18  # words with counts sent to all tasks
 RUN = 32  # words
-ROUNDS, TRAIN_SHARE, STEP_TOKENS, RATE = 2, 16, 1024, 0.01  # of every TRAIN_SHARE runs of words one is trained on
-SCORE_BLOCKS = 512
+ROUNDS, TRAIN_SHARE, STEP_TOKENS, RATE = 2, 16, 512, 0.01  # of every TRAIN_SHARE runs of words one is trained on
+SCORE_BLOCKS = 1024
 TOP = 80.0  # logits are cut here, in training as in scoring, so that no exponential overflows
 SEED = 11
+LAST = (1 << 63) - 1
+MARKS = b".,;:!?"
+REMEMBERED = 500_000  # words whose subwords a Python worker keeps; beyond that it starts anew
+
+
+class Paths(dict):
+    """Ids (int16, as bytes) of words, each with the space before it; made when first asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+        core = word.rstrip(MARKS)
+        if core and core != word:  # marks behind a word are encoded apart from it
+            found = self[core] + self.pieces(word[len(core) :])
+        else:
+            found = self.pieces(b" " + word)
+        self[word] = found
+        return found
+
+    def pieces(self, text: bytes) -> bytes:
+        ids = []
+        for i in range(0, len(text), 1000):  # a very long "word" is encoded in pieces: BPE takes quadratic time
+            ids += self.encode(text[i : i + 1000])
+        return array("h", ids).tobytes()
 
 
 class Subwords:
     """Byte-level BPE of the first entries of a rank table, word by word; the table is never trained or changed."""
 
     def __init__(self, lines: list[tuple[str, int]]):
-        self.lines, self.bpe, self.cache = lines, None, {}
+        import tiktoken
+
+        self.lines = lines
+        ranks = {base64.b64decode(a): b for a, b in lines}
+        bpe = tiktoken.Encoding("subwords", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+        self.cache = Paths(bpe._encode_bytes)
+        self.word = self.cache.__getitem__
 
     @classmethod
     def load(cls, path: str) -> Subwords:
@@ -61,24 +96,6 @@ class Subwords:
     def __reduce__(self):
         return Subwords, (self.lines,)
 
-    def word(self, word: bytes) -> bytes:
-        """Ids (int16) of a word and the space before it."""
-        found = self.cache.get(word)
-        if found is None:
-            if self.bpe is None:
-                import tiktoken
-
-                ranks = {base64.b64decode(a): b for a, b in self.lines}
-                self.bpe = tiktoken.Encoding("subwords", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-            if len(self.cache) > 500_000:
-                self.cache.clear()
-            text = b" " + word
-            ids = []
-            for i in range(0, len(text), 1000):  # a very long "word" is encoded in pieces: BPE takes quadratic time
-                ids += self.bpe._encode_bytes(text[i : i + 1000])
-            found = self.cache[word] = np.array(ids, np.int16).tobytes()
-        return found
-
 
 Pair = tuple[np.ndarray, np.ndarray]
 
@@ -128,19 +145,21 @@ def initial(unigrams: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def attend(w, x, first):
-    z = w["table"][x]
-    q, k, v, own = (z[..., i * WIDTH : (i + 1) * WIDTH] for i in range(4))
-    k2, v2 = (np.concatenate([np.concatenate([t[-1:], t[:-1]]), t], axis=1) for t in (k, v))
+    """(queries, keys, values, unnormalised weights, their sums, hidden state); keys and values of a block and the one before."""
+    z = w["table"][np.concatenate([x[-1:], x])]
+    step, row, item = z.strides
+    pairs = (len(x), CONTEXT, WIDTH)  # block b with block b + 1: overlapping views, no copy
+    k2, v2 = (np.lib.stride_tricks.as_strided(z[0, 0, i * WIDTH :], pairs, (step, row, item), writeable=False) for i in (1, 2))
+    q = z[1:, :, :WIDTH] * np.float32(WIDTH**-0.5)
     s = np.matmul(q, k2.transpose(0, 2, 1))
-    s *= np.float32(WIDTH**-0.5)
-    s += w["near"][_distance] + _mask
+    s += (w["near"][_distance] + _mask).astype(s.dtype)
     s[first] += _mask_first
     np.exp(np.minimum(s, TOP, out=s), out=s)
-    total = np.matmul(s, np.ones((CONTEXT, 1), s.dtype))  # a token sees itself, so it is not 0
+    total = (s.reshape(-1, CONTEXT) @ np.ones(CONTEXT, s.dtype)).reshape(len(x), BLOCK, 1)  # a token sees itself: not 0
     h = np.matmul(s, v2)
     h /= total
-    h += own
-    return q, k2, v2, s, total, np.maximum(h, 0)
+    h += z[1:, :, 3 * WIDTH :]
+    return q, k2, v2, s, total, np.maximum(h, 0, out=h)
 
 
 def log_softmax(z):
@@ -163,13 +182,17 @@ def score_blocks(w, x, y, first) -> np.ndarray:
     out = np.zeros(len(y), np.float64)
     real = np.flatnonzero(y >= 0)
     order = real[np.argsort((y[real] // CLASS).astype(np.int16), kind="stable")]
-    h, y = h[order], y[order]
+    y = y[order]
+    with_one = np.ones((len(order), WIDTH + 1), h.dtype)  # the biases ride in the products
+    with_one[:, :WIDTH] = h[order]
+    to_class = np.vstack([w["to_class"], w["class_bias"]])
+    to_member = np.concatenate([w["to_member"], w["member_bias"][:, None, :]], axis=1)
     groups = y // CLASS
-    scores = picked(h @ w["to_class"] + w["class_bias"], groups)
+    scores = picked(with_one @ to_class, groups)
     bounds = np.searchsorted(groups, np.arange(CLASSES + 1))
     for g in np.flatnonzero(np.diff(bounds)):
         a, b = bounds[g], bounds[g + 1]
-        scores[a:b] += picked(h[a:b] @ w["to_member"][g] + w["member_bias"][g], y[a:b] - g * CLASS)
+        scores[a:b] += picked(with_one[a:b] @ to_member[g], y[a:b] - g * CLASS)
     out[order] = scores
     return out
 
@@ -205,9 +228,8 @@ def gradients(w, x, y, first) -> tuple[dict[str, np.ndarray], float]:
     dv2 = np.matmul(a.transpose(0, 2, 1), dz)
     ds = a * (da - (a * da).sum(axis=2, keepdims=True))
     g["near"] = np.bincount(_distance.ravel(), weights=ds.sum(axis=0).ravel(), minlength=CONTEXT).astype(np.float32)
-    ds *= np.float32(WIDTH**-0.5)
-    dk2 = np.matmul(ds.transpose(0, 2, 1), q)
-    dq = np.matmul(ds, k2)
+    dk2 = np.matmul(ds.transpose(0, 2, 1), q)  # q is scaled already
+    dq = np.matmul(ds, k2) * np.float32(WIDTH**-0.5)
     back = lambda t: t[:, BLOCK:] + np.concatenate([t[1:, :BLOCK], t[:1, :BLOCK]])
     rows = np.concatenate([dq, back(dk2), back(dv2), dz], axis=2).reshape(-1, 4 * WIDTH)
     flat = x.ravel()
@@ -219,6 +241,8 @@ def gradients(w, x, y, first) -> tuple[dict[str, np.ndarray], float]:
 
 
 class Adam:
+    """Adam; of the table only the rows of the tokens at hand move."""
+
     def __init__(self, w):
         self.w, self.t = w, 0
         self.m, self.v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
@@ -226,11 +250,15 @@ class Adam:
     def step(self, x, y, first) -> float:
         g, loss = gradients(self.w, x, y, first)
         self.t += 1
+        rate, scale = np.float32(RATE / (1 - 0.9**self.t)), np.float32(1 - 0.99**self.t)
+        rows = np.unique(x)
         for k, d in g.items():
-            m, v = self.m[k], self.v[k]
-            m += np.float32(0.1) * (d - m)
-            v += np.float32(0.01) * (d * d - v)
-            self.w[k] -= np.float32(RATE / (1 - 0.9**self.t)) * m / (np.sqrt(v / np.float32(1 - 0.99**self.t)) + np.float32(1e-6))
+            at = rows if k == "table" else ...
+            d = d[at]
+            m = self.m[k][at] + np.float32(0.1) * (d - self.m[k][at])
+            v = self.v[k][at] + np.float32(0.01) * (d * d - self.v[k][at])
+            self.m[k][at], self.v[k][at] = m, v
+            self.w[k][at] -= rate * m / (np.sqrt(v / scale) + np.float32(1e-6))
         return loss
 
 
@@ -249,9 +277,12 @@ def lesson(data: bytes, subwords: Subwords, seen: int, share: int, turn: int) ->
     return pairs, seen + n
 
 
+def joined(words: list[bytes], subwords: Subwords) -> np.ndarray:
+    return np.frombuffer(b"".join(map(subwords.cache.__getitem__, words)), np.int16)
+
+
 def subword_ids(data: bytes, subwords: Subwords) -> np.ndarray:
-    word = subwords.word
-    return np.frombuffer(b"".join([word(w) for w in data.lower().split()]), np.int16)  # bytes: A-Z, and \x20 \x09-\x0D only
+    return joined(data.lower().split(), subwords)  # bytes: A-Z, and \x20 \x09-\x0D only
 
 
 def texts_of(batch) -> list[bytes]:
@@ -276,6 +307,18 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_from(counts: DataFrame) -> int:
+    """A count that at most ``FREQUENT`` words reach, from a histogram of 8 steps for each doubling."""
+    steps = counts.groupBy(F.floor(F.log2("n") * 8).cast("int").alias("step")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).collect()
+    words, least = 0, LAST
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        words += r["words"]
+        if words > FREQUENT:
+            break
+        least = r["least"]
+    return least
+
+
 def subword_counts(counts: DataFrame, subwords: Subwords) -> np.ndarray:
     """How often each subword occurs in the counted words; VOCAB + 2 numbers."""
 
@@ -378,21 +421,20 @@ def score_texts(shared):
         row = TaskContext.get().partitionId() << 40
         for b in slices(batches, 128):
             texts = texts_of(b)
-            heads, rare = [], ([], [], [])
+            heads, rare, split = [], ([], [], []), []
             for t in texts:
                 words = t.lower().split()
-                base, known = 0.0, 0
-                for w, n in Counter([*words, b""]).items():
-                    at_hand = frequent.get(w)
-                    if at_hand is None:
-                        for column, v in zip(rare, (row, w, n)):
-                            column.append(v)
-                    else:
-                        base += n * at_hand
-                        known += n
-                heads.append((row, len(words) + 1, known, base))
+                split.append(words)
+                at_hand = list(map(frequent.get, [*words, b""]))  # None, or the logarithm of a number under 1
+                if None in at_hand:
+                    others = Counter(w for w, v in zip([*words, b""], at_hand) if v is None)
+                    rare[0].extend([row] * len(others))
+                    rare[1].extend(others)
+                    rare[2].extend(others.values())
+                    at_hand = [v for v in at_hand if v is not None]
+                heads.append((row, len(words) + 1, len(at_hand), math.fsum(at_hand)))
                 row += 1
-            x, y, first, text = blocks_of([whole(subword_ids(t, pieces)) for t in texts])
+            x, y, first, text = blocks_of([whole(joined(words, pieces)) for words in split])
             score = np.zeros(len(texts))
             for i in range(0, len(x), SCORE_BLOCKS):
                 lo = max(0, i - 1)  # the block before is context
@@ -428,7 +470,7 @@ def lm_score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col:
     counts = materialise(word_counts(train), "lm-words")
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words")).first()
     floor = float(totals.tokens + totals.words + 1)
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()  # FREQUENT rows at most
+    top = counts.where(F.col("n") >= frequent_from(counts)).collect()  # FREQUENT rows at most
     frequent = {bytes(r["word"]): float(np.log10((r["n"] + 1) / floor)) for r in top}
     weights = initial(subword_counts(counts, subwords))
     for r in range(ROUNDS):

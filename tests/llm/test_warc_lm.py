@@ -143,3 +143,12 @@ def test_training_beats_the_counts(spark, subwords):
         w = lm.train_round(train, w, subwords, r)
     after = lm.score_blocks(w, x, y, first).sum()
     assert after > 0.9 * before  # log probabilities
+
+
+def test_frequent_words_are_bounded(spark, monkeypatch):
+    counts = spark.createDataFrame([(bytes([k]), 1 << (k // 3)) for k in range(30)], "word binary, n long")
+    for most in (0, 2, 3, 10, 29, 30, 99):
+        monkeypatch.setattr(lm, "FREQUENT", most)
+        n = counts.where(f"n >= {lm.frequent_from(counts)}").count()
+        assert n <= most and (n == 30 if most >= 30 else n > most - 3)
+    assert lm.frequent_from(counts.where("n < 0")) == lm.LAST
