@@ -10,15 +10,18 @@ meet under the same minimizer.
    All slots together have a fixed size (``FILTER_BITS``); the bitmap only saves
    work, as an unrepeated minimizer that passes it finds no partner later.
 2. A task cuts the text around each minimizer that passes: the snippet of the
-   windows it stands for.  A row says where a snippet occurs; each distinct
-   snippet goes once per task, with the smallest id, so a passage that a third of
-   all documents hold is one row a task.
-3. Snippets of a minimizer meet, in blocks.  A block's suffixes are sorted into a
-   run-compressed Burrows-Wheeler transform with suffix samples at run ends.  All
-   snippets stream through it in step by LF over the runs; the rows they visit
-   give their matching statistics, cut at 50, and the smallest id of each match.
-4. Occurrences join their snippet's verdict (a skewed join that Spark splits),
-   marks are gathered by document, and bytes removed.
+   windows it stands for.  It sends each distinct snippet once, compressed
+   with its neighbours, to the bucket of its minimizer, with where it occurs.  Only
+   the first ``POSTED`` places go with it; further ones (a passage that a third of all
+   documents hold) wait as rows of their own, dealt out evenly.
+3. In a bucket equal snippets are united.  Where a minimizer has several, their
+   suffixes are sorted into a run-compressed Burrows-Wheeler transform with suffix
+   samples at run ends.  All snippets stream through it in step by LF over the
+   runs; the rows they visit give their matching statistics, cut at 50, and
+   the smallest id of each match.
+4. Rows that waited join the verdict on their snippet (a skewed join that Spark
+   splits), marks are gathered by document, and bytes removed.  A bitmap of fixed
+   size says which texts have marks; only these are shuffled.
 """
 
 from __future__ import annotations
@@ -27,7 +30,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +47,8 @@ OWNER_BITS = 8
 CHUNK = 1 << 19  # fingerprints that a task sorts at once
 PIECE = 1 << 22  # bytes of a text that are hashed at once
 HELD = 200_000  # distinct snippets that a task holds before it sends them
+POSTED = 16  # places of a snippet that travel with it, in one part of a task
+MARK_BITS = 23  # slots of the bitmap of texts with marks: 1 MB
 BLOCK = 1 << 20  # bytes of snippets in one index, at least (the snippets of a minimizer stay together)
 LAST = (1 << 63) - 1  # null ids rank last
 
@@ -77,7 +84,10 @@ def minimizers(data: bytes):
             low = np.minimum(low[:-s], low[s:])
         low = np.minimum(low[:n], low[PER_WINDOW - 16 : PER_WINDOW - 16 + n]) & np.uint64((1 << 24) - 1)
         first = np.flatnonzero(np.diff(low, prepend=np.uint64(1 << 24)))
-        yield h[low[first].astype(np.int64)] >> np.uint64(64 - FP_BITS), first + at, np.diff(first, append=n)
+        # the smallest of many hashes is small: mixed once more, fingerprints are spread evenly over owners and slots
+        fps = _mix(h[low[first].astype(np.int64)], np.zeros(1, np.uint64))
+        fps = (fps ^ (fps >> np.uint64(32))) * C1 >> np.uint64(64 - FP_BITS)
+        yield fps, first + at, np.diff(first, append=n)
 
 
 def send(batches):
@@ -131,51 +141,92 @@ def repeat_filter(src: DataFrame) -> np.ndarray:
     return bits
 
 
-CUT = "fp bigint, key bigint, id bigint, text_hash bigint, at bigint, windows int, snippet binary"
+CUT = "bucket int, blob binary, fp bigint, key bigint, id bigint, text_hash bigint, at bigint, windows int"
+JUDGED = "fp bigint, key bigint, id bigint, text_hash bigint, at bigint, windows int, low bigint, mask bigint"
 
 
-def cut(shared):
-    """mapInArrow function: texts -> occurrences (snippet null) and distinct snippets (at null) of minimizers that pass."""
+def rows_of(schema: str, **columns) -> pa.RecordBatch:
+    """A batch of the schema; columns that are not given are null."""
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    n = len(next(iter(columns.values())))
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], kinds[k]) if c in columns else pa.nulls(n, kinds[k]) for c, k in fields], names=[c for c, _ in fields])
 
-    def rows(columns):
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-        names = [c.split()[0] for c in CUT.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    def distinct(held):
-        fps, keys = zip(*held)
-        ids, windows, texts = zip(*held.values())
-        none = [None] * len(fps)
-        return rows((fps, keys, ids, none, none, windows, texts))
+def planes(a: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte: the bytes that hardly differ stand together and compress to nothing."""
+    return np.ascontiguousarray(a.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unplanes(data: bytes, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * n).reshape(8, n).T).view(np.int64).ravel()
+
+
+def pack(fps: list[int], snippets: list[bytes], places: list[list[tuple[int, int, int]]]) -> bytes:
+    """Snippets sorted by fingerprint with their places (id, text hash, offset)."""
+    flat = np.array([x for p in places for x in p], np.int64).reshape(-1, 3)
+    head = np.array([len(fps), len(flat)], np.int64).tobytes()
+    sizes = bytes(map(len, snippets)) + bytes(map(len, places))
+    body = planes(np.diff(np.array(fps, np.int64), prepend=0)) + b"".join(planes(flat[:, i]) for i in range(3)) + b"".join(snippets)
+    return zstandard.ZstdCompressor(level=3).compress(head + sizes + body)
+
+
+def unpack(blob: bytes) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """(fps, snippets, number of places of each, places)"""
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    n, m = np.frombuffer(data, np.int64, 2).tolist()
+    sizes, counts = np.frombuffer(data, np.uint8, n, 16), np.frombuffer(data, np.uint8, n, 16 + n)
+    at = 16 + 2 * n
+    fps = np.cumsum(unplanes(data[at : at + 8 * n], n))
+    at += 8 * n
+    places = np.stack([unplanes(data[at + 8 * m * i : at + 8 * m * (i + 1)], m) for i in range(3)], axis=1)
+    at += 24 * m
+    ends = at + np.cumsum(sizes.astype(np.int64))
+    return fps, [data[e - k : e] for e, k in zip(ends.tolist(), sizes.tolist())], counts.astype(np.int64), places
+
+
+def key_of(snippet: bytes) -> int:
+    k = xxhash.xxh64_intdigest(snippet)
+    return k - (1 << 64) if k >> 63 else k
+
+
+def cut(shared, buckets: int):
+    """mapInArrow function: texts -> a blob of snippets for each bucket, and the places that wait (blob null)."""
+
+    def send_off(held, waiting):
+        keys = sorted(held, key=lambda k: (k[0] % buckets, k[0]))
+        cuts = np.searchsorted([k[0] % buckets for k in keys], np.arange(buckets + 1))
+        at = [i for i in range(buckets) if cuts[i + 1] > cuts[i]]
+        blobs = [pack([k[0] for k in keys[cuts[i] : cuts[i + 1]]], [k[1] for k in keys[cuts[i] : cuts[i + 1]]], [held[k] for k in keys[cuts[i] : cuts[i + 1]]]) for i in at]
+        yield rows_of(CUT, bucket=at, blob=blobs)
+        for i in range(0, len(waiting), 1 << 16):
+            fp, snippet, doc, text_hash, offset = zip(*waiting[i : i + (1 << 16)])
+            yield rows_of(
+                CUT, bucket=[(i + j) % buckets for j in range(len(fp))], fp=fp, key=list(map(key_of, snippet)), id=doc, text_hash=text_hash,
+                at=offset, windows=[len(x) - SPAN + 1 for x in snippet],
+            )
 
     def run(batches):
         bits = shared.value
-        held: dict[tuple[int, int], tuple[int, int, bytes]] = {}
+        held: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+        waiting: list[tuple] = []
         for b in slices(batches, 256):
-            out: list[list] = [[] for _ in range(6)]
             for doc, text_hash, data in zip(b.column("id").to_pylist(), b.column("text_hash").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
                 for fps, first, windows in minimizers(data or b""):
                     slot = (fps >> np.uint64(FP_BITS - FILTER_BITS)).astype(np.int64)
                     hit = np.flatnonzero((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
-                    fps, first, windows = fps[hit].tolist(), first[hit].tolist(), windows[hit].tolist()
-                    keys = []
-                    for f, a, w in zip(fps, first, windows):
-                        s = data[a : a + w + SPAN - 1]
-                        k = xxhash.xxh64_intdigest(s)
-                        k = k - (1 << 64) if k >> 63 else k
-                        keys.append(k)
-                        old = held.get((f, k))
-                        if old is None or old[0] > doc:
-                            held[f, k] = (doc, w, s)
-                    for o, v in zip(out, (fps, keys, [doc] * len(fps), [text_hash] * len(fps), first, windows)):
-                        o += v
-                    if len(held) >= HELD:
-                        yield distinct(held)
-                        held = {}
-            if out[0]:
-                yield rows((*out, [None] * len(out[0])))
+                    for f, a, w in zip(fps[hit].tolist(), first[hit].tolist(), windows[hit].tolist()):
+                        snippet = data[a : a + w + SPAN - 1]
+                        places = held.setdefault((f, snippet), [])
+                        places.append((doc, text_hash, a))
+                        if len(places) > POSTED:  # the smallest id stays with the snippet
+                            late = max(range(len(places)), key=lambda i: places[i][0])
+                            waiting.append((f, snippet, *places.pop(late)))
+            if len(held) + len(waiting) >= HELD:
+                yield from send_off(held, waiting)
+                held, waiting = {}, []
         if held:
-            yield distinct(held)
+            yield from send_off(held, waiting)
 
     return run
 
@@ -251,47 +302,95 @@ def repeated_windows(strings: list[bytes], ids: np.ndarray) -> list[int]:
     return masks.tolist()
 
 
+def verdicts(fps: np.ndarray, snippets: list[bytes], low: np.ndarray) -> np.ndarray:
+    """Masks of distinct snippets, sorted by fingerprint, with the smallest id of each: see ``repeated_windows``."""
+    masks = np.zeros(len(fps), np.int64)
+    same = fps[1:] == fps[:-1]
+    several = np.flatnonzero(np.append(same, False) | np.append(False, same))  # a lone snippet has nothing but itself
+    size = np.cumsum([len(snippets[i]) for i in several.tolist()])
+    start = 0
+    while start < len(several):
+        stop = int(np.searchsorted(size, (size[start - 1] if start else 0) + BLOCK)) + 1
+        while stop < len(several) and fps[several[stop]] == fps[several[stop - 1]]:
+            stop += 1
+        part = several[start:stop]
+        masks[part] = repeated_windows([snippets[i] for i in part.tolist()], low[part])
+        start = stop
+    return masks
+
+
 def judge(batches):
-    """mapInArrow function: distinct snippets sorted by (fp, key) -> (fp, key, low, mask)."""
-
-    def of(group: list):
-        best: dict[tuple[int, int], list] = {}
-        per_fp: dict[int, int] = {}
-        for fp, key, doc, snippet in group:
-            old = best.get((fp, key))
-            if old is None:
-                best[fp, key] = [doc, snippet]
-                per_fp[fp] = per_fp.get(fp, 0) + 1
-            else:
-                old[0] = min(old[0], doc)
-        several = [k for k in best if per_fp[k[0]] > 1]
-        masks = dict(zip(several, repeated_windows([best[k][1] for k in several], np.array([best[k][0] for k in several], np.int64)))) if several else {}
-        keys = list(best)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys]), pa.array([best[k][0] for k in keys]), pa.array([masks.get(k, 0) for k in keys], pa.int64())],
-            names=["fp", "key", "low", "mask"],
-        )
-
-    group, size = [], 0
+    """mapInArrow function: blobs and waiting rows, sorted by bucket -> marks (fp null), verdicts (low given), waiting rows."""
+
+    def of(blobs: list[bytes]):
+        parts = [unpack(x) for x in blobs]
+        number: dict[tuple[int, bytes], int] = {}
+        own = [number.setdefault(k, len(number)) for fps, snippets, _, _ in parts for k in zip(fps.tolist(), snippets)]
+        counts = np.concatenate([c for _, _, c, _ in parts])
+        places = np.concatenate([p for _, _, _, p in parts])
+        order = sorted(number, key=lambda k: k[0])  # distinct snippets by fingerprint
+        rank = np.empty(len(number), np.int64)
+        rank[[number[k] for k in order]] = np.arange(len(number))
+        own = rank[own]
+        of_place = np.repeat(own, counts)
+        fps, snippets = np.array([k[0] for k in order], np.int64), [k[1] for k in order]
+        low = np.full(len(order), LAST, np.int64)
+        np.minimum.at(low, of_place, places[:, 0])
+        masks = verdicts(fps, snippets, low)
+        whole = (np.int64(1) << (np.array(list(map(len, snippets))) - SPAN + 1)) - 1
+        mark = np.where(places[:, 0] > low[of_place], whole[of_place], masks[of_place])
+        m = mark != 0
+        if m.any():
+            yield rows_of(JUDGED, id=places[m, 0], text_hash=places[m, 1], at=places[m, 2], mask=mark[m])
+        full = np.unique(own[counts == POSTED])  # others have no place that waits
+        if len(full):
+            yield rows_of(JUDGED, fp=fps[full], key=[key_of(snippets[i]) for i in full.tolist()], low=low[full], mask=masks[full])
+
+    bucket, blobs = None, []
     for b in batches:
-        for row in zip(*(b.column(c).to_pylist() for c in ("fp", "key", "id", "snippet"))):
-            if size >= BLOCK and row[0] != group[-1][0]:
-                yield of(group)
-                group, size = [], 0
-            group.append(row)
-            size += len(row[3]) + 1
-    if group:
-        yield of(group)
+        late = b.filter(pc.is_null(b.column("blob")))
+        if late.num_rows:
+            yield rows_of(JUDGED, **{c: late.column(c) for c in ("fp", "key", "id", "text_hash", "at", "windows")})
+        for k, blob in zip(b.column("bucket").to_pylist(), b.column("blob").to_pylist()):
+            if blob is not None:
+                if k != bucket and blobs:
+                    yield from of(blobs)
+                    blobs = []
+                bucket = k
+                blobs.append(blob)
+    if blobs:
+        yield from of(blobs)
+
+
+DONE = (("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()))
+
+
+def unmarked(shared):
+    """mapInArrow function: texts without marks are done (and no longer carried), the others stay."""
+
+    def run(batches):
+        bits = shared.value
+        for b in slices(batches, 256):
+            slot = b.column("text_hash").to_numpy() & ((1 << MARK_BITS) - 1)
+            marked = ((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1).astype(bool)
+            texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
+            out = [(None,) * 4 if m else (len(t), 0, 0, hashlib.sha256(t).hexdigest()) for t, m in zip(texts, marked)]
+            kept = pa.array([t if m else None for t, m in zip(texts, marked)], pa.binary())
+            done = [pa.array([r[i] for r in out], k) for i, (_, k) in enumerate(DONE)]
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("id"), b.column("text_hash"), kept, *done], names=["doc", "id", "text_hash", "text", *(n for n, _ in DONE)])
+
+    return run
 
 
 def strike(batches):
     """mapInArrow function: texts with their marks -> what is removed and kept."""
     for b in slices(batches, 256):
-        out = []
-        for data, ats, masks in zip(b.column("text").cast(pa.binary()).to_pylist(), b.column("ats").to_pylist(), b.column("masks").to_pylist()):
-            data = data or b""
-            if not ats:
-                out.append((len(data), 0, 0, hashlib.sha256(data).hexdigest()))
+        out = list(zip(*(b.column(n).to_pylist() for n, _ in DONE)))
+        for i, (data, ats, masks) in enumerate(zip(b.column("text").to_pylist(), b.column("ats").to_pylist(), b.column("masks").to_pylist())):
+            if data is None:
+                continue
+            if not ats:  # another text has the slot
+                out[i] = (len(data), 0, 0, hashlib.sha256(data).hexdigest())
                 continue
             bits = (np.array(masks, np.int64)[:, None] >> np.arange(PER_WINDOW)) & 1
             starts = (np.array(ats, np.int64)[:, None] + np.arange(PER_WINDOW))[bits.astype(bool)]
@@ -299,25 +398,34 @@ def strike(batches):
             gone = np.cumsum(edges)[:-1] > 0
             spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
             kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-            out.append((len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc"), *(pa.array([r[i] for r in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string())))],
-            names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-        )
+            out[i] = (len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+        yield pa.RecordBatch.from_arrays([b.column("doc"), *(pa.array([r[i] for r in out], k) for i, (_, k) in enumerate(DONE))], names=["doc", *(n for n, _ in DONE)])
 
 
 def marks(src: DataFrame) -> DataFrame:
     """(id, text_hash, ats, masks): the removed windows of every text that has one; bit i of a mask is the window at + i."""
-    shared = src.sparkSession.sparkContext.broadcast(repeat_filter(src))  # 2 ** FILTER_BITS bits
-    rows = materialise(src.mapInArrow(cut(shared), CUT), "snippets")
-    parts = int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = rows.where("snippet is not null").select("fp", "key", "id", "snippet")
-    verdicts = texts.repartition(parts, "fp").sortWithinPartitions("fp", "key").mapInArrow(judge, "fp bigint, key bigint, low bigint, mask bigint")
-    verdicts = materialise(verdicts, "verdicts")
-    whole = F.expr("shiftleft(1L, windows) - 1")
-    found = rows.where("snippet is null").select("fp", "key", "id", "text_hash", "at", "windows").join(verdicts, ["fp", "key"])
-    found = found.withColumn("mask", F.when(F.col("id") > F.col("low"), whole).otherwise(F.col("mask"))).where("mask <> 0")
-    return found.groupBy("id", "text_hash").agg(F.collect_list(F.struct("at", "mask")).alias("m")).select("id", "text_hash", F.col("m.at").alias("ats"), F.col("m.mask").alias("masks"))
+    spark = src.sparkSession
+    buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shared = spark.sparkContext.broadcast(repeat_filter(src))  # 2 ** FILTER_BITS bits
+    sent = src.mapInArrow(cut(shared, buckets), CUT).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    judged = materialise(sent.mapInArrow(judge, JUDGED), "judged")
+    direct = judged.where("fp is null").select("id", "text_hash", "at", "mask")
+    late = judged.where("windows is not null").select("fp", "key", "id", "text_hash", "at", "windows")
+    late = late.join(judged.where("low is not null").select("fp", "key", "low", F.col("mask").alias("part")), ["fp", "key"])
+    late = late.select("id", "text_hash", "at", F.when(F.col("id") > F.col("low"), F.expr("shiftleft(1L, windows) - 1")).otherwise(F.col("part")).alias("mask"))
+    every = direct.union(late.where("mask <> 0"))
+    return every.groupBy("id", "text_hash").agg(F.collect_list(F.struct("at", "mask")).alias("m")).select("id", "text_hash", F.col("m.at").alias("ats"), F.col("m.mask").alias("masks"))
+
+
+def mark_filter(removed: DataFrame) -> np.ndarray:
+    """The bitmap of texts with marks: always 2 ** MARK_BITS bits, in 256 rows."""
+    slot = F.col("text_hash").bitwiseAND(F.lit((1 << MARK_BITS) - 1)) + 1
+    rows = removed.groupBy(F.bitmap_bucket_number(slot).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()
+    out = np.zeros(1 << (MARK_BITS - 3), np.uint8)
+    for r in rows:
+        part = np.frombuffer(bytes(r["bits"]), np.uint8)
+        out[(r["b"] - 1) * 4096 : (r["b"] - 1) * 4096 + len(part)] = part
+    return out
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -329,7 +437,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     an empty table gives an empty result.
     """
     src = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    removed = marks(src.drop("doc"))
-    both = src.join(materialise(removed, "marks"), ["id", "text_hash"], "left").select("doc", "text", "ats", "masks")
+    removed = materialise(marks(src.drop("doc")), "marks")
     kind = src.schema["doc"].dataType.simpleString()
-    return both.mapInArrow(strike, f"doc {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string").withColumnRenamed("doc", id_col)
+    done = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    shared = src.sparkSession.sparkContext.broadcast(mark_filter(removed))  # 2 ** MARK_BITS bits
+    rows = src.mapInArrow(unmarked(shared), f"doc {kind}, id bigint, text_hash bigint, text binary, {done}")
+    both = rows.join(removed, ["id", "text_hash"], "left")
+    return both.mapInArrow(strike, f"doc {kind}, {done}").withColumnRenamed("doc", id_col)

@@ -124,6 +124,7 @@ def test_remove_repeats(messy, texts):
 
 def test_remove_repeats_of_pasted_passages(spark, monkeypatch):
     monkeypatch.setattr(S, "HELD", 50)  # snippets are sent in several parts
+    monkeypatch.setattr(S, "POSTED", 2)  # most places wait for the verdict
     monkeypatch.setattr(S, "BLOCK", 4000)  # and several indexes are built
     monkeypatch.setattr(S, "PIECE", 300)  # and texts are hashed in pieces
     rnd = random.Random(4)
@@ -154,3 +155,34 @@ def test_run_index():
 @pytest.mark.parametrize("run", [E.exact_dedup, H.simhash_dedup, S.remove_repeats])
 def test_empty_table(messy, run):
     assert run(messy.where("doc_id = -1")).collect() == []
+
+
+def test_pack_round_trip():
+    rnd = random.Random(8)
+    fps = sorted(rnd.getrandbits(48) for _ in range(40))
+    snippets = [bytes(rnd.randrange(256) for _ in range(rnd.randint(50, 75))) for _ in fps]
+    places = [[(rnd.choice([0, 5, S.LAST, -3]), rnd.getrandbits(63) - (1 << 62), rnd.randrange(1 << 40)) for _ in range(rnd.randint(1, 16))] for _ in fps]
+    got = S.unpack(S.pack(fps, snippets, places))
+    assert got[0].tolist() == fps and got[1] == snippets and got[2].tolist() == list(map(len, places))
+    assert list(map(tuple, got[3].tolist())) == [x for p in places for x in p]
+
+
+def test_mark_filter_holds_every_text(spark):
+    rnd = random.Random(9)
+    hashes = [rnd.getrandbits(64) - (1 << 63) for _ in range(3000)] + [0, -1, (1 << S.MARK_BITS) - 1, 1 << S.MARK_BITS]
+    bits = S.mark_filter(spark.createDataFrame([(h,) for h in hashes], "text_hash long"))
+    slots = {h & ((1 << S.MARK_BITS) - 1) for h in hashes}
+    assert all(bits[s >> 3] >> (s & 7) & 1 for s in slots) and int(np.bitwise_count(bits).sum()) == len(slots)
+    assert not S.mark_filter(spark.createDataFrame([], "text_hash long")).any()
+
+
+def test_repeat_filter_holds_every_repeated_minimizer(spark, monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 100)
+    rnd = random.Random(10)
+    texts = ["".join(rnd.choice("abcdef ") for _ in range(200)) for _ in range(40)]
+    texts += [t[20:150] + "!" * 60 for t in texts[:15]] + texts[:3]
+    bits = S.repeat_filter(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4))
+    seen = Counter(f for t in texts for f in {int(f) for fs, _, _ in S.minimizers(t.encode()) for f in fs})
+    slot = lambda f: f >> (S.FP_BITS - S.FILTER_BITS)
+    marked = lambda f: bits[slot(f) >> 3] >> (7 - (slot(f) & 7)) & 1
+    assert all(marked(f) for f, n in seen.items() if n > 1) and sum(bool(marked(f)) for f, n in seen.items() if n == 1) <= 1
