@@ -52,23 +52,31 @@ MARK_BITS = 23  # slots of the bitmap of texts with marks: 1 MB
 BLOCK = 1 << 20  # bytes of snippets in one index, at least (the snippets of a minimizer stay together)
 LAST = (1 << 63) - 1  # null ids rank last
 
-C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
-
-
-def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a ^ (a >> np.uint64(29))) * C2 + (b ^ (b >> np.uint64(31))) * C3
+BYTE_VALUES = np.random.default_rng(25).integers(0, 1 << 63, 256).astype(np.uint64)
+LOW_BITS = np.uint64((1 << 24) - 1)
+BASE, SPREAD = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)  # odd
 
 
 def gram_hashes(x: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every 25-gram, from those of 1, 2, 4, 8 and 16 bytes."""
+    """A 64-bit hash of every 25-gram: a polynomial modulo 2**64 put together from those of 1, 2, 4, 8 and 16 bytes, then mixed."""
+    power = lambda k: np.uint64(pow(BASE, k, 1 << 64))
     n = len(x) - GRAM + 1
-    h1 = (x.astype(np.uint64) + np.uint64(1)) * C1
-    h2 = _mix(h1[:-1], h1[1:])
-    h4 = _mix(h2[:-2], h2[2:])
-    h8 = _mix(h4[:-4], h4[4:])
-    h16 = _mix(h8[:-8], h8[8:])
-    h = _mix(_mix(h16[:n], h8[16 : 16 + n]), h1[24 : 24 + n])
-    return h ^ (h >> np.uint64(32))
+    by = {1: BYTE_VALUES[x]}
+    for k in (1, 2, 4, 8):
+        by[2 * k] = by[k][:-k] * power(k) + by[k][k:]
+    h = by[16][:n] * power(8)
+    h += by[8][16 : 16 + n]
+    h *= power(1)
+    h += by[1][24 : 24 + n]
+    return spread(h)
+
+
+def spread(h: np.ndarray) -> np.ndarray:
+    """Mixes the bits, in place."""
+    h ^= h >> np.uint64(29)
+    h *= SPREAD
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def minimizers(data: bytes):
@@ -78,16 +86,14 @@ def minimizers(data: bytes):
         h = gram_hashes(x)
         n = len(h) - PER_WINDOW + 1
         # smallest hash, then leftmost: position in the low bits
-        ranked = ((h >> np.uint64(24)) << np.uint64(24)) | np.arange(len(h), dtype=np.uint64)
-        low = ranked
+        low = h & ~LOW_BITS
+        low |= np.arange(len(h), dtype=np.uint64)
         for s in (1, 2, 4, 8):
             low = np.minimum(low[:-s], low[s:])
-        low = np.minimum(low[:n], low[PER_WINDOW - 16 : PER_WINDOW - 16 + n]) & np.uint64((1 << 24) - 1)
-        first = np.flatnonzero(np.diff(low, prepend=np.uint64(1 << 24)))
+        low = np.minimum(low[:n], low[PER_WINDOW - 16 : PER_WINDOW - 16 + n])
+        first = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
         # the smallest of many hashes is small: mixed once more, fingerprints are spread evenly over owners and slots
-        fps = _mix(h[low[first].astype(np.int64)], np.zeros(1, np.uint64))
-        fps = (fps ^ (fps >> np.uint64(32))) * C1 >> np.uint64(64 - FP_BITS)
-        yield fps, first + at, np.diff(first, append=n)
+        yield spread(h[(low[first] & LOW_BITS).astype(np.int64)]) >> np.uint64(64 - FP_BITS), first + at, np.diff(first, append=n)
 
 
 def send(batches):
@@ -162,12 +168,11 @@ def unplanes(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * n).reshape(8, n).T).view(np.int64).ravel()
 
 
-def pack(fps: list[int], snippets: list[bytes], places: list[list[tuple[int, int, int]]]) -> bytes:
-    """Snippets sorted by fingerprint with their places (id, text hash, offset)."""
-    flat = np.array([x for p in places for x in p], np.int64).reshape(-1, 3)
-    head = np.array([len(fps), len(flat)], np.int64).tobytes()
-    sizes = bytes(map(len, snippets)) + bytes(map(len, places))
-    body = planes(np.diff(np.array(fps, np.int64), prepend=0)) + b"".join(planes(flat[:, i]) for i in range(3)) + b"".join(snippets)
+def pack(fps: np.ndarray, snippets: list[bytes], counts: np.ndarray, places: np.ndarray) -> bytes:
+    """Snippets sorted by fingerprint, with how many places each has, and the places (id, text hash, offset)."""
+    head = np.array([len(fps), len(places)], np.int64).tobytes()
+    sizes = bytes(map(len, snippets)) + counts.astype(np.uint8).tobytes()
+    body = planes(np.diff(fps, prepend=0)) + b"".join(planes(places[:, i]) for i in range(3)) + b"".join(snippets)
     return zstandard.ZstdCompressor(level=3).compress(head + sizes + body)
 
 
@@ -193,40 +198,64 @@ def key_of(snippet: bytes) -> int:
 def cut(shared, buckets: int):
     """mapInArrow function: texts -> a blob of snippets for each bucket, and the places that wait (blob null)."""
 
-    def send_off(held, waiting):
-        keys = sorted(held, key=lambda k: (k[0] % buckets, k[0]))
-        cuts = np.searchsorted([k[0] % buckets for k in keys], np.arange(buckets + 1))
-        at = [i for i in range(buckets) if cuts[i + 1] > cuts[i]]
-        blobs = [pack([k[0] for k in keys[cuts[i] : cuts[i + 1]]], [k[1] for k in keys[cuts[i] : cuts[i + 1]]], [held[k] for k in keys[cuts[i] : cuts[i + 1]]]) for i in at]
-        yield rows_of(CUT, bucket=at, blob=blobs)
-        for i in range(0, len(waiting), 1 << 16):
-            fp, snippet, doc, text_hash, offset = zip(*waiting[i : i + (1 << 16)])
+    def send_off(number: dict[bytes, int], fps: list[int], own: list[int], docs: list[np.ndarray]):
+        snippets, fps, own = list(number), np.array(fps, np.int64), np.array(own, np.int64)
+        # snippets by bucket and fingerprint, places by snippet and id: the smallest ids stay with the snippet
+        order = np.lexsort((fps, fps % buckets))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        places = np.concatenate(docs)
+        by = np.lexsort((places[:, 0], rank[own]))
+        own, places = rank[own][by], places[by]
+        starts = np.searchsorted(own, np.arange(len(order) + 1))
+        late = np.arange(len(own)) - starts[own] >= POSTED
+        posted = np.concatenate([[0], np.cumsum(np.minimum(np.diff(starts), POSTED))])
+        fps, early = fps[order], places[~late]
+        cuts = np.searchsorted(fps % buckets, np.arange(buckets + 1))
+        at = np.flatnonzero(np.diff(cuts))
+        blobs = [
+            pack(fps[a:b], [snippets[i] for i in order[a:b].tolist()], np.diff(posted[a : b + 1]), early[posted[a] : posted[b]])
+            for a, b in zip(cuts[at].tolist(), cuts[at + 1].tolist())
+        ]
+        yield rows_of(CUT, bucket=at.astype(np.int32), blob=blobs)
+        late = np.flatnonzero(late)
+        for i in range(0, len(late), 1 << 16):
+            part = late[i : i + (1 << 16)]
+            which = [snippets[k] for k in order[own[part]].tolist()]
+            doc, text_hash, offset = places[part].T
             yield rows_of(
-                CUT, bucket=[(i + j) % buckets for j in range(len(fp))], fp=fp, key=list(map(key_of, snippet)), id=doc, text_hash=text_hash,
-                at=offset, windows=[len(x) - SPAN + 1 for x in snippet],
+                CUT, bucket=(np.arange(len(part)) % buckets).astype(np.int32), fp=fps[own[part]], key=list(map(key_of, which)), id=doc,
+                text_hash=text_hash, at=offset, windows=np.array(list(map(len, which)), np.int32) - SPAN + 1,
             )
 
     def run(batches):
         bits = shared.value
-        held: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
-        waiting: list[tuple] = []
+        number: dict[bytes, int] = {}  # a snippet's content decides its minimizer
+        all_fps, own, docs = [], [], []
         for b in slices(batches, 256):
             for doc, text_hash, data in zip(b.column("id").to_pylist(), b.column("text_hash").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
                 for fps, first, windows in minimizers(data or b""):
                     slot = (fps >> np.uint64(FP_BITS - FILTER_BITS)).astype(np.int64)
                     hit = np.flatnonzero((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
-                    for f, a, w in zip(fps[hit].tolist(), first[hit].tolist(), windows[hit].tolist()):
-                        snippet = data[a : a + w + SPAN - 1]
-                        places = held.setdefault((f, snippet), [])
-                        places.append((doc, text_hash, a))
-                        if len(places) > POSTED:  # the smallest id stays with the snippet
-                            late = max(range(len(places)), key=lambda i: places[i][0])
-                            waiting.append((f, snippet, *places.pop(late)))
-            if len(held) + len(waiting) >= HELD:
-                yield from send_off(held, waiting)
-                held, waiting = {}, []
-        if held:
-            yield from send_off(held, waiting)
+                    if not len(hit):
+                        continue
+                    first = first[hit]
+                    last = first + windows[hit] + (SPAN - 1)
+                    for f, a, z in zip(fps[hit].tolist(), first.tolist(), last.tolist()):
+                        snippet = data[a:z]
+                        k = number.get(snippet)
+                        if k is None:
+                            k = number[snippet] = len(all_fps)
+                            all_fps.append(f)
+                        own.append(k)
+                    place = np.empty((len(first), 3), np.int64)
+                    place[:, 0], place[:, 1], place[:, 2] = doc, text_hash, first
+                    docs.append(place)
+            if len(all_fps) >= HELD or len(own) >= 4 * HELD:
+                yield from send_off(number, all_fps, own, docs)
+                number, all_fps, own, docs = {}, [], [], []
+        if own:
+            yield from send_off(number, all_fps, own, docs)
 
     return run
 
@@ -245,18 +274,20 @@ class RunIndex:
         n, longest = len(text), int(sizes.max()) + 1
         self.string = np.repeat(np.arange(len(strings)), sizes + 1)
         self.left = self.ends[self.string] - np.arange(n)  # bytes up to the mark
-        # ranks by the first 7 symbols, nothing behind a mark, then doubled
-        rank, key = None, np.zeros(n, np.int64)
+        # ranks by the first 7 symbols, nothing behind a mark; then doubled, where suffixes still tie
+        key = np.zeros(n, np.int64)
         for k in range(7):
             key = (key << 9) | np.where(self.left >= k, np.concatenate([text[k:], np.zeros(k, np.int64)]), 0)
-        width, self.ranks = 7, {}
-        _, rank = np.unique(key, return_inverse=True)
+        rank, tied = self._ranked(np.arange(n), key, np.zeros(n, np.int64))
+        width, self.ranks = 7, {7: rank}
         while width < longest:
-            self.ranks[width] = rank
-            key = rank * np.int64(n + 1) + np.where(self.left >= width, np.concatenate([rank[width:], np.zeros(width, np.int64)])[:n] + 1, 0)
-            _, rank = np.unique(key, return_inverse=True)
+            if len(tied):
+                key = np.where(self.left[tied] >= width, rank[np.minimum(tied + width, n - 1)], -1)
+                rank = rank.copy()
+                rank[tied], again = self._ranked(tied, key, rank[tied])
+                tied = tied[again]
             width *= 2
-        self.ranks[width] = rank
+            self.ranks[width] = rank
         order = np.argsort(rank, kind="stable")  # equal up to their marks: by string
         before = np.where(order > 0, text[order - 1], 0)
         before[self.left[order] == sizes[self.string[order]]] = 0  # a string's start follows a mark
@@ -269,6 +300,21 @@ class RunIndex:
         self.samples = order[self.run_at], order[self.run_at + lengths - 1]
         self.order, self.sizes = order, sizes
 
+    @staticmethod
+    def _ranked(items: np.ndarray, key: np.ndarray, old: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of the items by (old rank, key), and which still tie; a rank is that of the first of its equals."""
+        order = np.lexsort((key, old)) if old.any() else np.argsort(key, kind="stable")
+        k, o = key[order], old[order]
+        new_group = np.append(True, o[1:] != o[:-1])
+        new = new_group | np.append(True, k[1:] != k[:-1])
+        at = np.arange(len(order))
+        start = np.maximum.accumulate(np.where(new, at, 0))
+        group = np.maximum.accumulate(np.where(new_group, at, 0))
+        ranks = np.empty(len(order), np.int64)
+        ranks[order] = o + start - group
+        alone = new & np.append(new[1:], True)
+        return ranks, np.sort(order[~alone])
+
     def step(self, rows: np.ndarray) -> np.ndarray:
         """LF: from suffixes to those one byte longer."""
         run = np.searchsorted(self.run_at, rows, "right") - 1

@@ -162,7 +162,7 @@ def test_pack_round_trip():
     fps = sorted(rnd.getrandbits(48) for _ in range(40))
     snippets = [bytes(rnd.randrange(256) for _ in range(rnd.randint(50, 75))) for _ in fps]
     places = [[(rnd.choice([0, 5, S.LAST, -3]), rnd.getrandbits(63) - (1 << 62), rnd.randrange(1 << 40)) for _ in range(rnd.randint(1, 16))] for _ in fps]
-    got = S.unpack(S.pack(fps, snippets, places))
+    got = S.unpack(S.pack(np.array(fps), snippets, np.array(list(map(len, places))), np.array([x for p in places for x in p])))
     assert got[0].tolist() == fps and got[1] == snippets and got[2].tolist() == list(map(len, places))
     assert list(map(tuple, got[3].tolist())) == [x for p in places for x in p]
 
