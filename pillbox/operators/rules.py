@@ -150,9 +150,13 @@ def _resolve(tagged: DataFrame, cols: list[str], dd: Rule | None, post: list[Rul
     key = list(dd.unique_key)
     rest = F.struct(*[F.col(c) for c in cols if c not in key])
     whole = tagged.groupBy(*cols, STATUS).agg(F.count(F.lit(1)).alias(WRITTEN_COUNT))
-    best = whole.filter(status.isNull()).groupBy(*key).agg(F.min(rest).alias("_best"))
+    # no filter and no column less than ``whole`` has: both uses of it are then the same plan, and Spark runs it once
+    best = whole.groupBy(*key).agg(
+        F.min(F.when(status.isNull(), rest)).alias("_best"), F.sum(F.when(status.isNull(), F.col(WRITTEN_COUNT))).alias("_of_key")
+    )
     joined = whole.join(best, key, "left")
-    outcome = F.coalesce(status, F.when(rest.eqNullSafe(F.col("_best")), passed).otherwise(F.lit(dd.name)))
+    survives = (F.col("_of_key") == F.col(WRITTEN_COUNT)) | rest.eqNullSafe(F.col("_best"))  # the only row of its key, or the smallest
+    outcome = F.coalesce(status, F.when(survives, passed).otherwise(F.lit(dd.name)))
     return joined.select(*cols, outcome.alias(OUTCOME), WRITTEN_COUNT)
 
 
