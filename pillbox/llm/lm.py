@@ -6,9 +6,8 @@ word by word, each with its leading space and its trailing marks apart.  The mod
 (class, then member) whose starting biases are the subword counts of all
 training documents.  It is trained in rounds: tasks improve the weights on
 their own documents with Adam, and the weights are averaged, in slices, by
-executors.  All training documents take part, and of their runs of ``RUN``
-words every ``TRAIN_SHARE``-th, wherever in a text it lies; so the lessons grow with
-the input.
+executors.  Every run of ``RUN`` words of every training document is trained on
+once: round r takes the runs r modulo ``ROUNDS``, counted over a task's texts.
 
 Scoring cuts a text into blocks.  Each block's queries see the block before
 and their own, masked causally; so windows overlap and each token is scored once.
@@ -42,7 +41,7 @@ CONTEXT = 2 * BLOCK
 WIDTH = 16
 FREQUENT = 1 << 18  # words with counts sent to all tasks
 RUN = 32  # words
-ROUNDS, TRAIN_SHARE, STEP_TOKENS, RATE = 2, 16, 1024, 0.01  # of every TRAIN_SHARE runs of words one is trained on
+ROUNDS, STEP_TOKENS, RATE = 2, 1024, 0.01  # the rounds share the runs of words among them: one epoch
 SCORE_BLOCKS = 1024
 TOP = 80.0  # logits are cut here, in training as in scoring, so that no exponential overflows
 SEED = 11
@@ -262,12 +261,12 @@ class Adam:
         return loss
 
 
-def lesson(data: bytes, subwords: Subwords, seen: int, share: int, turn: int) -> tuple[list[Pair], int]:
-    """Of the text's runs of ``RUN`` words, counted on from ``seen``, every ``share``-th: its subwords as a pair."""
+def lesson(data: bytes, subwords: Subwords, seen: int, round_: int) -> tuple[list[Pair], int]:
+    """The text's runs of ``RUN`` words, counted on from ``seen``, that the round takes: their subwords as pairs."""
     words = data.lower().split()
     n = len(words) // RUN + 1
     pairs = []
-    for r in range((turn - seen) % share, n, share):
+    for r in range((round_ - seen) % ROUNDS, n, ROUNDS):
         a, b = r * RUN, min((r + 1) * RUN, len(words))
         before = np.frombuffer(subwords.word(words[a - 1]), np.int16)[-1:] if a else [START]
         targets = np.frombuffer(b"".join([subwords.word(w) for w in words[a:b]]), np.int16).astype(np.int32)
@@ -374,7 +373,7 @@ def train_round(train: DataFrame, weights: dict[str, np.ndarray], subwords: Subw
 
         for b in slices(batches, 64):
             for t in texts_of(b):
-                pairs, seen = lesson(t, pieces, seen, TRAIN_SHARE * ROUNDS, round_ * TRAIN_SHARE)
+                pairs, seen = lesson(t, pieces, seen, round_)
                 for pair in pairs:
                     held.append(pair)
                     if sum(len(t) for _, t in held) >= STEP_TOKENS:

@@ -145,6 +145,30 @@ def test_training_beats_the_counts(spark, subwords):
     assert after > 0.9 * before  # log probabilities
 
 
+def test_every_subword_of_the_training_texts_moves(spark, subwords):
+    from pillbox.llm.common import read
+
+    texts = read(spark, "/root/testdata/sf0.001", "documents").select("text").repartition(3)
+    start = lm.initial(lm.subword_counts(lm.word_counts(texts), subwords))
+    w = start
+    for r in range(lm.ROUNDS):
+        w = lm.train_round(texts, w, subwords, r)
+    moved = np.abs(w["table"] - start["table"]).max(axis=1) > 1e-6
+    held = {i for t in texts.collect() for i in lm.subword_ids((t.text or "").encode(), subwords).tolist()}
+    assert len(held) > 600 and all(moved[i] for i in held)
+
+
+def test_runs_are_trained_on_once(subwords):
+    texts = [b"", b"one", b" ".join(b"w%d" % k for k in range(3 * lm.RUN)), b" ".join(b"v%d" % k for k in range(7 * lm.RUN + 5))]
+    trained = []
+    for r in range(lm.ROUNDS):
+        seen = 0
+        for t in texts:
+            pairs, seen = lm.lesson(t, subwords, seen, r)
+            trained += [i for _, targets in pairs for i in targets.tolist()]
+    assert sorted(trained) == sorted(i for t in texts for i in [*lm.subword_ids(t, subwords).tolist(), lm.END])
+
+
 def test_frequent_words_are_bounded(spark, monkeypatch):
     counts = spark.createDataFrame([(bytes([k]), 1 << (k // 3)) for k in range(30)], "word binary, n long")
     for most in (0, 2, 3, 10, 29, 30, 99):
