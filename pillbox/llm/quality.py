@@ -1,19 +1,23 @@
 """Quality rules: fixed counts, and divergence from language references.
 
 Every document has two histograms: the classes of its word characters, and
-the common words of each language against all other words.  A language's
-reference is the sum of these over all its documents.  A document that is
+the common words of each language against all other words.  Four languages
+have fixed common words; those of any other ``lang`` are its ``MOST`` most
+frequent words, counted over all its documents.  A language's
+reference is the sum of the histograms over all its documents.  A document that is
 long enough is rejected when its Jensen-Shannon distance (base 2, 0 to 1) to
 the *nearest* reference is over the limit, for either histogram; the nearest,
-so that a wrong or missing ``lang`` rejects nobody.
+so that a wrong ``lang`` rejects nobody.  A document whose language has no
+reference (a null ``lang``, or one without any word) is not judged by distance.
 
 DataFrame functions only.  A document's words stay inside its row, so long
-texts and hot sources move no data; the references are four rows.
+texts and hot sources move no data, but for the word counts of languages
+beyond the four, which combine map-side; the references are a row a language.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pillbox.llm.common import let
@@ -21,6 +25,8 @@ from pillbox.llm.common import let
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 
+MOST = 10  # common words of a language found in the data
+
 # Frequent words of the languages, the reference bins.
 COMMON_WORDS = {
     "de": ("der", "die", "und", "in", "den", "von", "ist", "nicht", "ein", "das"),
@@ -60,9 +66,23 @@ def repeat_words(words: Column, n: Column, size: int = 5) -> Column:
     return F.when(n > size, let(grams, lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), 0).otherwise(covered(g)))).otherwise(0)
 
 
-def histograms(text: Column, words: Column, n: Column) -> Column:
-    """A struct: points, symbol (counts), chars (class counts) and words_<lang> (common words, then all others)."""
-    common = sorted({w for ws in COMMON_WORDS.values() for w in ws})
+def common_words(docs: DataFrame, text_col: str, lang_col: str) -> dict[str, tuple[str, ...]]:
+    """Common words by language: ``COMMON_WORDS``, and the most frequent words of every other language of the table."""
+    others = docs.where(F.col(lang_col).isNotNull() & ~F.col(lang_col).isin(list(COMMON_WORDS)))
+    if not others.select(lang_col).take(1):  # reads no text
+        return dict(COMMON_WORDS)
+    words = others.select(F.col(lang_col).alias("lang"), F.explode(words_of(F.coalesce(F.col(text_col), F.lit("")))).alias("word"))
+    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))  # the window is limited map-side
+    found: dict[str, tuple[str, ...]] = {}
+    for r in counts.withColumn("rank", rank).where(F.col("rank") <= MOST).orderBy("lang", "rank").collect():  # MOST rows a language
+        found[r["lang"]] = (*found.get(r["lang"], ()), r["word"])
+    return COMMON_WORDS | found
+
+
+def histograms(text: Column, words: Column, n: Column, of_lang: dict[str, tuple[str, ...]]) -> Column:
+    """A struct: points, symbol (counts), chars (class counts) and words_<k> (common words of language k, then all others)."""
+    common = sorted({w for ws in of_lang.values() for w in ws})
     counts = F.struct(
         (F.length(text) - F.regexp_count(text, F.lit("[ \\t-\\r]"))).alias("points"),
         F.regexp_count(text, F.lit("[A-Z]")).alias("upper"),
@@ -76,28 +96,27 @@ def histograms(text: Column, words: Column, n: Column) -> Column:
 
     def of(c: Column) -> Column:
         rest = c["points"] - c["upper"] - c["digit"] - c["symbol"] - c["mark"] - c["beyond"]
-        own = {lang: F.transform(F.array(*map(F.lit, ws)), lambda w: F.size(F.filter(c["hits"], lambda h: h == w))) for lang, ws in COMMON_WORDS.items()}
+        own = [F.transform(F.array(*map(F.lit, ws)), lambda w: F.size(F.filter(c["hits"], lambda h: h == w))) for ws in of_lang.values()]
         with_rest = lambda a: F.transform(F.concat(a, F.array(n - F.aggregate(a, F.lit(0), lambda s, x: s + x))), lambda x: x.cast("double"))
         return F.struct(
             c["points"].alias("points"),
             c["symbol"].alias("symbol"),
             F.array(*[x.cast("double") for x in (c["upper"], c["digit"], c["symbol"], c["mark"], c["beyond"], F.greatest(rest, F.lit(0)))]).alias("chars"),
-            *[let(a, with_rest).alias(f"words_{lang}") for lang, a in own.items()],
+            *[let(a, with_rest).alias(f"words_{k}") for k, a in enumerate(own)],
         )
 
     return let(counts, of)
 
 
-def references(docs: DataFrame, text_col: str, lang_col: str) -> dict[str, tuple[list[float], list[float]]]:
-    """Summed histograms by language, over all documents: at most one row for each language of ``COMMON_WORDS``."""
-    own = {lang: len(ws) + 1 for lang, ws in COMMON_WORDS.items()}
+def references(docs: DataFrame, text_col: str, lang_col: str, of_lang: dict[str, tuple[str, ...]]) -> dict[str, tuple[list[float], list[float]]]:
+    """Summed histograms by language, over all documents: at most one row for each language."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    hist = let(text, lambda t: let(words_of(t), lambda w: histograms(t, w, F.size(w))))
-    of_lang = docs.where(F.col(lang_col).isin(list(COMMON_WORDS))).select(F.col(lang_col).alias("lang"), hist.alias("h"))
-    sums = [F.sum(F.get("h.chars", F.lit(i))).alias(f"c{i}") for i in range(6)]
-    sums += [F.sum(F.get(f"h.words_{lang}", F.lit(i))).alias(f"w_{lang}_{i}") for lang, size in own.items() for i in range(size)]
-    rows = of_lang.groupBy("lang").agg(*sums).collect()
-    found = {r["lang"]: ([r[f"c{i}"] for i in range(6)], [r[f"w_{r['lang']}_{i}"] for i in range(own[r["lang"]])]) for r in rows}
+    hist = let(text, lambda t: let(words_of(t), lambda w: histograms(t, w, F.size(w), of_lang)))
+    own = F.coalesce(*[F.when(F.col("lang") == lang, F.col(f"h.words_{k}")) for k, lang in enumerate(of_lang)])
+    rows = docs.where(F.col(lang_col).isin(list(of_lang))).select(F.col(lang_col).alias("lang"), hist.alias("h")).select("lang", "h.chars", own.alias("words"))
+    sums = [F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(6)]
+    sums += [F.sum(F.get("words", F.lit(i))).alias(f"w{i}") for i in range(max(map(len, of_lang.values())) + 1)]
+    found = {r["lang"]: ([r[f"c{i}"] for i in range(6)], [r[f"w{i}"] for i in range(len(of_lang[r["lang"]]) + 1)]) for r in rows.groupBy("lang").agg(*sums).collect()}
     return {lang: (c, w) for lang, (c, w) in sorted(found.items()) if sum(c) > 0 and sum(w) > 0}
 
 
@@ -122,19 +141,21 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 
     A null text counts as empty and fails the base rule, as does any text of
     fewer than ten words.  Below the length guards a distance is not judged.
-    Without any document of a known language there are no references, and
-    the base rule alone decides.  Input columns with a name of a result
+    A document whose language has no reference is not judged by distance: the
+    base rule alone decides.  Input columns with a name of a result
     column are replaced; repeated rows are judged alike; an empty table gives
     an empty result.
     """
-    refs = references(docs, text_col, lang_col)
+    of_lang = common_words(docs, text_col, lang_col)
+    refs = references(docs, text_col, lang_col, of_lang)
+    place = {lang: k for k, lang in enumerate(of_lang)}
     nearest = lambda ds: F.array_min(F.array(*ds)) if ds else F.lit(0.0)
 
     def judged(t: Column, w: Column, n: Column) -> Column:
         lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
         counts = F.struct(
             n.cast("long").alias("n_words"),
-            histograms(t, w, n).alias("h"),
+            histograms(t, w, n, of_lang).alias("h"),
             let(lines, lambda ls: (F.size(ls) - F.size(F.array_distinct(ls))).cast("long")).alias("n_dup_lines"),
             repeat_words(w, n).cast("long").alias("n_repeat_words"),
         )
@@ -146,7 +167,7 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
             c["n_repeat_words"].alias("n_repeat_words"),
             ((c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])).alias("base_failed"),
             nearest([distance(c["h"]["chars"], r) for r, _ in refs.values()]).alias("char_distance"),
-            nearest([distance(c["h"][f"words_{lang}"], r) for lang, (_, r) in refs.items()]).alias("word_distance"),
+            nearest([distance(c["h"][f"words_{place[lang]}"], r) for lang, (_, r) in refs.items()]).alias("word_distance"),
         )
         return let(counts, distances)
 
@@ -154,6 +175,7 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     verdict = let(text, lambda t: let(words_of(t), lambda w: judged(t, w, F.size(w))))
     out = docs.withColumn("_q", verdict)
     far = ((F.col("_q.word_chars") >= CHAR_GUARD) & (F.col("_q.char_distance") > CHAR_LIMIT)) | ((F.col("_q.n_words") >= WORD_GUARD) & (F.col("_q.word_distance") > WORD_LIMIT))
+    far &= F.coalesce(F.col(lang_col).isin(list(refs)), F.lit(False))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance")
     keep = [f"`{c}`" for c in docs.columns if c not in (*counts, "kept", "_q")]
     return out.select(*keep, *[f"_q.{c}" for c in counts], (~(F.col("_q.base_failed") | far)).alias("kept"))

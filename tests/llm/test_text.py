@@ -1,6 +1,7 @@
 """Quality rules, licence scan, language ID, mixing and pieces against brute force."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -47,6 +48,24 @@ def test_quality_on_documents(spark):
     assert all(r.kept for r in rows if r.doc_id in good and not r.base_failed)
 
 
+def test_quality_of_a_fifth_language(spark):
+    rnd = random.Random(12)
+
+    def clean(common, letters):
+        rare = lambda: "".join(rnd.choice(letters) for _ in range(7))
+        return " ".join(rnd.choice(common) if rnd.random() < 0.2 else rare() for _ in range(300)) + "."
+
+    english = clean(["the", "of", "and", "to", "in"], "abcdefghij")
+    nordic = [clean(["och", "att", "det", "som", "inte"], "klmnoprstu") for _ in range(6)]
+    cyrillic = [clean(["и", "не", "на", "что", "он"], "абвгдежзик") for _ in range(6)]
+    junk = "#$% 12 " * 2 + " ".join(f"{k}#$%&*|<>{k}" for k in range(120))
+    docs = [(k, t, lang) for k, (t, lang) in enumerate([(english, "en")] * 6 + [(t, "sv") for t in nordic] + [(t, "x.`y") for t in cyrillic] + [(nordic[0], None), (junk, "sv"), (junk, "en")])]
+    rows = quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
+    kept = {r.doc_id: r.kept for r in rows}
+    assert not any(r.base_failed for r in rows)
+    assert all(kept[k] for k in range(19)) and not kept[19] and not kept[20]
+
+
 def test_jensen_shannon(spark):
     ref = [3.0, 1.0, 0.0, 4.0]
     for c in ([3.0, 1.0, 0.0, 4.0], [0.0, 0.0, 5.0, 0.0], [1.0, 1.0, 1.0, 1.0], [0.0] * 4):
