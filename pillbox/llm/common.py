@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,5 +88,16 @@ def slices(batches, rows: int = 512):
             yield b.slice(i, rows)
 
 
+def slices_of_bytes(batches, column: str, limit: int = 1 << 20):
+    """Arrow batches in slices whose texts have about ``limit`` bytes together; a longer text is a slice of its own."""
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).cumsum()
+        i = 0
+        while i < b.num_rows:
+            j = max(i + 1, int(sizes.searchsorted((sizes[i - 1] if i else 0) + limit, "right")))
+            yield b.slice(i, j - i)
+            i = j
+
+
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

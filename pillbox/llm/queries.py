@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from pillbox.llm.common import LOWER, UPPER, read
+from pillbox.llm.bpe import bpe_encode, compile_vocabulary
 from pillbox.llm.exact_dedup import exact_dedup
 from pillbox.llm.langid import language_id
 from pillbox.llm.licenses import BASE, NOTICES, license_scan
 from pillbox.llm.lm import lm_score
 from pillbox.llm.mixing import mix_sources
+from pillbox.llm.periodic_runs import periodic_runs
 from pillbox.llm.pieces import compile_model, encode
 from pillbox.llm.quality import (
     CHAR_GUARD,
@@ -28,6 +32,7 @@ from pillbox.session import scratch_path
 
 BPE_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
 
 
 def op1_mixing(spark, sf_dir):
@@ -83,6 +88,32 @@ def op10_lm_score(spark, sf_dir, vocabulary: str = BPE_RANKS):
     return lm_score(read(spark, sf_dir, "documents"), vocabulary)
 
 
+def made_periodic(doc_id, words: list[bytes]) -> list[bytes]:
+    """The words that the contract gives a document: one in ten by the checksum of its id goes round from some word on; a null id changes nothing."""
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of words of every document, and the words without their repeats."""
+    found = periodic_runs(read(spark, sf_dir, "documents"), rewrite=made_periodic)
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", "n_runs", "best.*", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_bpe(spark, sf_dir, vocabulary: str = WORD_BPE):
+    """Digests of every document's ids in the word-end BPE vocabulary, and of their decoding."""
+    return bpe_encode(read(spark, sf_dir, "documents"), compile_vocabulary(vocabulary), ids=False, digests=True)
+
+
 def _license_sql() -> str:
     """The licence scan in DuckDB SQL: every place of a key phrase, and the share of the template's words around it."""
     quoted = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
@@ -176,6 +207,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lm_score": op10_lm_score,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLE = {
