@@ -6,6 +6,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
+from pillbox.llm.collocations import collocations
 from pillbox.llm.common import LOWER, UPPER, read
 from pillbox.llm.bpe import bpe_encode, compile_vocabulary
 from pillbox.llm.exact_dedup import exact_dedup
@@ -88,6 +89,11 @@ def op10_lm_score(spark, sf_dir, vocabulary: str = BPE_RANKS):
     return lm_score(read(spark, sf_dir, "documents"), vocabulary)
 
 
+def op11_collocations(spark, sf_dir):
+    """The 2000 best phrases of 2 to 4 words of each language."""
+    return collocations(read(spark, sf_dir, "documents"), min_count=30, covered_percent=80, top=2000)
+
+
 def made_periodic(doc_id, words: list[bytes]) -> list[bytes]:
     """The words that the contract gives a document: one in ten by the checksum of its id goes round from some word on; a null id changes nothing."""
     h = zlib.crc32(str(doc_id).encode())
@@ -196,6 +202,45 @@ def _quality_sql() -> str:
     """
 
 
+def _collocation_sql() -> str:
+    """Phrases in DuckDB SQL: all grams of up to four words counted, parts and longer phrases by joins."""
+    return f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS p
+            FROM documents
+        ),
+        words AS (SELECT lang, regexp_extract_all(p, '[^ \\t]+') AS w FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+        grams AS (
+            SELECT lang, phrase, count(*) AS f
+            FROM (SELECT lang, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+                  FROM words, (VALUES (1), (2), (3), (4)) sizes(m) WHERE len(w) >= m)
+            GROUP BY lang, phrase
+        ),
+        candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE f >= 30 AND contains(phrase, ' ')),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * c.f // (x.f + y.f) AS score
+            FROM (SELECT *, unnest(range(1, len(w))) AS k FROM candidates) c
+            JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+            JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')
+        ),
+        scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        longer AS (
+            SELECT lang, part, max(f) AS f
+            FROM (SELECT lang, f, array_to_string(w[i:i + m - 1], ' ') AS part
+                  FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM candidates, (VALUES (2), (3)) sizes(m) WHERE len(w) > m))
+            GROUP BY lang, part
+        ),
+        ranked AS (
+            SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(score AS BIGINT) AS score
+            FROM scored s LEFT JOIN longer ON longer.lang = s.lang AND longer.part = s.phrase
+            WHERE longer.f IS NULL OR CAST(100 AS HUGEINT) * longer.f < CAST(80 AS HUGEINT) * a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_sentencepiece": op2_sentencepiece,
@@ -207,6 +252,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_lm_score": op10_lm_score,
+    "op11_collocations": op11_collocations,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_bpe": op13_bpe,
 }
@@ -240,6 +286,7 @@ ORACLE = {
     """,
     "op7_licenses": _license_sql(),
     "op8_quality": _quality_sql(),
+    "op11_collocations": _collocation_sql(),
     "op9_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
