@@ -28,26 +28,36 @@ UNKNOWN = "und"
 
 
 def letters(text: str) -> np.ndarray:
-    """Code points of the lower-cased letters; each run of anything else is one 0, and so are both ends."""
-    cps = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    """Code points of the letters of a lower-cased text; each run of anything else is one 0."""
+    cps = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     kinds = np.unique(cps)
     alphabetic = kinds[[chr(c).isalpha() for c in kinds.tolist()]] if len(kinds) else kinds
-    cps = np.where(np.isin(cps, alphabetic), cps, 0)
-    cps = np.concatenate([[0], cps, [0]])
-    return cps[(cps != 0) | np.append(True, cps[:-1] != 0)]
+    return one_gap(np.where(np.isin(cps, alphabetic), cps, 0))
+
+
+def one_gap(x: np.ndarray) -> np.ndarray:
+    return x[(x != 0) | np.append(True, x[:-1] != 0)]
 
 
 def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct trigram keys, counts) of the whole text; none if it has no letter."""
-    keys, counts, n = [], [], len(text or "")
-    for i in range(0, n, PIECE):
-        x = letters(text[max(0, i - 2) : i + PIECE])
-        if x.any():
-            k, c = np.unique((x[:-2] << 42) | (x[1:-1] << 21) | x[2:], return_counts=True)
-            keys.append(k)
-            counts.append(c)
-    if len(keys) < 2:
-        return (keys[0], counts[0]) if keys else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    """(distinct trigram keys, counts) of the whole text with a 0 at both ends; none if it has no letter.
+
+    Long texts are taken in pieces; the last two letters of a piece go before the next, so that cuts change nothing.
+    """
+    text = (text or "").lower()
+    keys, counts, before, found = [], [], np.zeros(1, np.int64), False
+    for i in range(0, len(text), PIECE):
+        x = letters(text[i : i + PIECE])
+        found = found or bool(x.any())
+        x = one_gap(np.concatenate([before, x, np.zeros(int(i + PIECE >= len(text)), np.int64)]))
+        k, c = np.unique((x[:-2] << 42) | (x[1:-1] << 21) | x[2:], return_counts=True)
+        keys.append(k)
+        counts.append(c)
+        before = x[-2:]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(keys) == 1:
+        return keys[0], counts[0]
     k, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     return k, np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)
 

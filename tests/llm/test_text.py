@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,44 @@ def test_trigrams_of_pieces(monkeypatch):
     padded = f" {spelled} "
     assert whole == Counter((0 if a == " " else ord(a)) << 42 | (0 if b == " " else ord(b)) << 21 | (0 if c == " " else ord(c)) for a, b, c in zip(padded, padded[1:], padded[2:]))
     assert sum(whole.values()) == len(padded) - 2
+    texts = [text, "a", "ab", " ", "..a", "a..", "12 34", "ΟΔΟΣ ΟΔΟΣ.", "a  b", "", None, "x" * 50, "a.b.c.d"]
+    expected = [{k: c for k, c in zip(*(x.tolist() for x in langid.trigrams(t)))} for t in texts]
+    for piece in (1, 2, 3, 7, 100):  # no cut adds or loses a trigram
+        monkeypatch.setattr(langid, "PIECE", piece)
+        assert [{k: c for k, c in zip(*(x.tolist() for x in langid.trigrams(t)))} for t in texts] == expected
+
+
+def test_language_id_against_brute_force(spark):
+    """Bundles, prototypes and cosines made letter by letter."""
+    docs = read(spark, SF_SMALL, "documents").where("doc_id < 60").select("doc_id", "lang", "text").collect()
+    items = {}
+
+    def item(c):
+        if c not in items:
+            items[c] = np.random.default_rng([langid.SEED, c]).integers(0, 2, langid.DIMS).astype(int) * 2 - 1
+        return items[c]
+
+    def bundle(text):
+        padded = " " + "".join(c if c.isalpha() else " " for c in (text or "").lower()) + " "
+        padded = re.sub(" +", " ", padded)
+        out = np.zeros(langid.DIMS, int)
+        for gram in zip(padded, padded[1:], padded[2:]):
+            a, b, c = (item(0 if x == " " else ord(x)) for x in gram)
+            out += np.roll(a, 2) * np.roll(b, 1) * c
+        return out
+
+    vectors = {r.doc_id: bundle(r.text) for r in docs}
+    protos = {}
+    for r in docs:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            protos[r.lang] = protos.get(r.lang, 0) + vectors[r.doc_id]
+    rows = {r.doc_id: r for r in langid.language_id(spark.createDataFrame(docs)).collect()}
+    for r in docs:
+        v = vectors[r.doc_id]
+        cosines = {k: float(v @ p / np.linalg.norm(v) / np.linalg.norm(p)) for k, p in protos.items()}
+        best = max(cosines.values())
+        assert rows[r.doc_id].score == pytest.approx(max(0, best), abs=1e-5)
+        assert cosines[rows[r.doc_id].lang_pred] == pytest.approx(best, abs=1e-6)
 
 
 def test_poisson_inverse(spark):
