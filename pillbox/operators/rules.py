@@ -36,6 +36,7 @@ from pillbox.operators.dedupe import dedupe
 from pillbox.plans.spec import Rule, TableSpec
 
 STATUS = "_pb_status"
+ONCE = "_pb_once"
 OUTCOME = "outcome"
 KEEP = "keep"
 NULL_STEP = "required_not_null"
@@ -93,8 +94,12 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
     pre, dd, post = spec.split_rules()
     status = F.col(STATUS)
 
-    tagged = base.withColumn(STATUS, _status(spec, pre))
-    eligible = tagged.filter(status.isNull()).drop(STATUS)
+    # The partition number is not a function of the row, so Catalyst does not push a filter on it below the projection
+    # that makes it.  All columns are thus worked out once a row, and the rules read them; pushed further down, each rule
+    # would repeat the making of every column it names.
+    tagged = base.withColumn(ONCE, F.spark_partition_id()).withColumn(STATUS, _status(spec, pre))
+    passed = status.isNull() & (F.col(ONCE) >= 0)
+    eligible = tagged.filter(passed).drop(STATUS, ONCE)
     if dd is None:
         # every row once: outcome of the post rules for rows that passed so far
         per_row = tagged.withColumn("_n", F.lit(1)).withColumn(
@@ -121,7 +126,7 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
         # query runs one of the two aggregations, never both.
         survivors = dedupe(eligible, key)
     if dd is None:
-        outcomes = per_row.filter(status.isNull()).select(*cols, OUTCOME)
+        outcomes = per_row.filter(passed).select(*cols, OUTCOME)
     else:
         outcomes = survivors.withColumn(OUTCOME, F.coalesce(first_failure(post), F.lit(KEEP)))
     clean = outcomes.filter(F.col(OUTCOME) == KEEP).drop(OUTCOME)

@@ -1,17 +1,23 @@
 """Materialisation: overwrite, append, land, copy, upsert, schema guard, docs.
 
 Tables are Parquet directories.  The fact table is partitioned by day of
-``start_timestamp`` and clustered inside each file by the cluster keys, so
+``start_timestamp``: a day of ``PACK_ROWS`` rows or more has its own
+partition, smaller days share one a month, so that a table of sparse days is
+not thousands of tiny files.  Files are clustered by the cluster keys, so
 Parquet min/max statistics skip row groups for filters on those keys.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, IntegerType, StringType, StructField, StructType
 
 PARTITION_COL = "start_date"
 CLUSTER_COLS = ("medication_code", "patient_id", "city")  # fixed value: fact cluster keys
@@ -21,6 +27,10 @@ class SchemaChangeError(ValueError):
     pass
 
 
+class ConcurrentMergeError(RuntimeError):
+    """Another merge has made the next version first; nothing of this one is visible, and it can be run again."""
+
+
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
@@ -92,71 +102,220 @@ def with_docs(df: DataFrame, docs: dict[str, str], table: str | None = None) ->
     return df.select(*out)
 
 
+DAY = "_day"  # the row's day, in the files
+PACKED = "packed"  # partition: does it hold the small days of a month?  ``PARTITION_COL`` is then the month's first day
+PACK_ROWS = 1 << 17  # a day with fewer rows shares the partition of its month
+
+
 def with_partition(fact: DataFrame, ts_col: str = "start_timestamp") -> DataFrame:
-    return fact.withColumn(PARTITION_COL, F.to_date(F.col(ts_col)))
+    return fact.withColumn(DAY, F.to_date(F.col(ts_col)))
+
+
+def placed(df: DataFrame, big_days: Sequence[dt.date]) -> DataFrame:
+    """Adds the partition columns: big days (and rows without a day) for themselves, all others by month."""
+    day = F.col(DAY)
+    own = day.isNull() | day.isin(list(big_days)) if big_days else day.isNull()
+    return df.withColumns({PACKED: ~own, PARTITION_COL: F.when(own, day).otherwise(F.trunc(day, "month"))})
+
+
+Z_COL, Z_BITS, Z_SAMPLE = "_z", 4, 1 << 14  # the space-filling order: its column, bits of a key, rows its cut points come from
+
+
+def cut_points(df: DataFrame, cols: Sequence[str], bits: int = Z_BITS, sample: int = Z_SAMPLE) -> dict[str, list]:
+    """For each column up to 2**bits - 1 ascending values that part its rows about evenly, from a sample of fixed size.
+
+    The sample is the first rows in a random order, a bounded heap a task.  It decides on the layout only, never on a result.
+    """
+    rows = df.select(*cols).orderBy(F.rand(42)).limit(sample).collect()  # at most ``sample`` rows of the keys
+    cuts = {}
+    for c in cols:
+        values = sorted(r[c] for r in rows if r[c] is not None)
+        step = len(values) / (1 << bits)
+        cuts[c] = sorted({values[int(k * step)] for k in range(1, 1 << bits)}) if values else []
+    return cuts
+
+
+def interleaved(cuts: dict[str, list], bits: int = Z_BITS) -> Column:
+    """The place on a Z-shaped curve through the cells between the cut points: the bits of the keys' cells in turn."""
+    out = F.lit(0)
+    for i, (c, points) in enumerate(cuts.items()):
+        cell = sum((F.coalesce(F.col(c) > F.lit(p), F.lit(False)).cast("int") for p in points), F.lit(0))
+        for bit in range(bits):
+            place = bit * len(cuts) + (len(cuts) - 1 - i)
+            out = out + F.shiftleft(F.shiftright(cell, bit).bitwiseAND(F.lit(1)), place)
+    return out
+
+
+def clustered(df: DataFrame, cluster_cols: Sequence[str] = CLUSTER_COLS, cuts: dict[str, list] | None = None) -> DataFrame:
+    """Group the rows of a partition together (AQE rebalance splits a hot one across
+    tasks instead of sending it to one) and sort each file by the keys.
+
+    A linear sort lets statistics skip by its first key only.  With ``cuts`` rows are ranged and sorted along a
+    space-filling curve, so that each file and row group spans few values of every key.
+    """
+    if cuts is None:
+        return df.hint("rebalance", PACKED, PARTITION_COL).sortWithinPartitions(PACKED, PARTITION_COL, *cluster_cols)
+    order = [PACKED, PARTITION_COL, Z_COL, *cluster_cols]
+    return df.withColumn(Z_COL, interleaved(cuts)).repartitionByRange(*order).sortWithinPartitions(*order).drop(Z_COL)
+
+
+def day_sizes(df: DataFrame) -> dict[dt.date | None, int]:
+    """Rows of each day: a row a calendar day, bounded by the calendar and not by the data."""
+    return {r.day: r.n for r in df.groupBy(F.col(DAY).alias("day")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _big(sizes: dict[dt.date | None, int], pack_rows: int) -> list[dt.date]:
+    return sorted(d for d, n in sizes.items() if d is not None and n >= pack_rows)
+
+
+def write_fact(
+    fact: DataFrame, path: str, cluster_cols: Sequence[str] = CLUSTER_COLS, pack_rows: int | None = None, space_filling: bool = False, **options
+) -> None:
+    """Write a table partitioned by day, small days by month, clustered linearly or along a space-filling curve.
+
+    The sizes of the days are counted first; that plan reads the time column only, so Catalyst drops the joins.
+    ``options`` go to the Parquet writer.
+    """
+    dated = with_partition(fact)
+    days = placed(dated, _big(day_sizes(dated.select(DAY)), PACK_ROWS if pack_rows is None else pack_rows))
+    cuts = cut_points(fact, cluster_cols) if space_filling else None
+    clustered(days, cluster_cols, cuts).write.mode("overwrite").options(**options).partitionBy(PACKED, PARTITION_COL).parquet(path)
+
+
+def partition_range(first: Column | None, last: Column | None) -> Column:
+    """Predicate on the partition columns that holds for every partition with a row of these days."""
+    out, part = F.lit(True), F.col(PARTITION_COL)
+    if first is not None:
+        out = out & (part >= F.trunc(first, "month")) & (F.col(PACKED) | (part >= first))
+    if last is not None:
+        out = out & (part <= last)
+    return out
 
 
-def clustered(df: DataFrame, cluster_cols: Sequence[str] = CLUSTER_COLS) -> DataFrame:
-    """Group rows of a day together (AQE rebalance splits a hot day across
-    tasks instead of sending it to one) and sort each file by the keys."""
-    return df.hint("rebalance", PARTITION_COL).sortWithinPartitions(PARTITION_COL, *cluster_cols)
+# A merged table is a folder of commits, one of key commits and one of manifests.  A commit holds the rows of the
+# partitions that its merge rewrote, a key commit where each key of the rewritten key buckets lives.  Manifest n says
+# for every day which partition and commit hold it and how many rows it has, and for every key bucket which commit.
+# Nothing is changed in place: a manifest is written aside and renamed to version n, which fails if version n exists.
+# A run that dies before that leaves the version before as it was; of two at the same time the later one fails.
+COMMIT_COL, BUCKET_COL = "commit", "bucket"
+DATA, KEYS, MANIFESTS = "data", "keys", "manifests"
+MANIFEST_SCHEMA = f"{DAY} date, {PACKED} boolean, {PARTITION_COL} date, n_rows bigint, {BUCKET_COL} int, {COMMIT_COL} string"
+KEYS_A_BUCKET = 1 << 20  # of the first load; the number of buckets stays
+MIN_BUCKETS, MAX_BUCKETS = 32, 1 << 16
 
 
-def write_fact(fact: DataFrame, path: str, cluster_cols: Sequence[str] = CLUSTER_COLS) -> None:
-    overwrite(clustered(with_partition(fact), cluster_cols), path, [PARTITION_COL])
+def _fs_path(spark: SparkSession, *parts: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([parts[0].rstrip("/"), *parts[1:]]))
 
 
-# A merged table is a folder of commits and a folder of manifests.  Commit n holds the rows of the days that
-# it rewrote; manifest n says for every day which commit holds it now.  Nothing is changed in place: the last
-# file of manifest n, its _SUCCESS mark, makes version n the current one, and a run that dies before it leaves
-# the version before as it was.
-COMMIT_COL = "commit"
-DATA, MANIFESTS = "data", "manifests"
+def _fs(spark: SparkSession, path):
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions of a merged table, oldest first."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{MANIFESTS}")
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
+    root = _fs_path(spark, path, MANIFESTS)
+    if not _fs(spark, root).exists(root):
         return []
-    marks = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "version=*/_SUCCESS")) or []
+    marks = _fs(spark, root).globStatus(_fs_path(spark, path, MANIFESTS, "version=*", "_SUCCESS")) or []
     return sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in marks)
 
 
+def _manifest_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/{MANIFESTS}/version={version}"
+
+
 def _manifest(spark: SparkSession, path: str, version: int) -> DataFrame:
-    schema = f"{PARTITION_COL} date, {COMMIT_COL} int"
-    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{MANIFESTS}/version={version}")
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(_manifest_path(path, version))
+
+
+def _table(spark: SparkSession, path: str, version: int) -> dict:
+    """What the manifest keeps of the table itself: ``schema`` of the rows, ``key`` and number of ``buckets``."""
+    known = json.loads(spark.read.parquet(_manifest_path(path, version)).schema[COMMIT_COL].metadata["table"])
+    return known | {"schema": StructType.fromJson(known["schema"])}
+
+
+def stored_schema(spark: SparkSession, path: str, version: int) -> StructType:
+    """Schema of the rows, without the partition columns."""
+    return _table(spark, path, version)["schema"]
 
 
 def _commits(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All stored rows, with the partition columns' types given: a table with only the NULL day has no value to infer from."""
-    full = StructType([*schema.fields, StructField(COMMIT_COL, IntegerType()), StructField(PARTITION_COL, DateType())])
+    parts = [StructField(COMMIT_COL, StringType()), StructField(PACKED, BooleanType()), StructField(PARTITION_COL, DateType())]
     root = f"{path.rstrip('/')}/{DATA}"
+    return spark.read.schema(StructType([*schema.fields, StructField(DAY, DateType()), *parts])).option("basePath", root).parquet(root)
+
+
+def _key_commits(spark: SparkSession, path: str, key: str, schema: StructType) -> DataFrame:
+    full = StructType([schema[key], StructField(DAY, DateType()), StructField(COMMIT_COL, StringType()), StructField(BUCKET_COL, IntegerType())])
+    root = f"{path.rstrip('/')}/{KEYS}"
     return spark.read.schema(full).option("basePath", root).parquet(root)
 
 
-def stored_schema(spark: SparkSession, path: str, version: int) -> StructType:
-    """Schema of the rows of one commit, without the partition columns."""
-    return spark.read.parquet(f"{path.rstrip('/')}/{DATA}/{COMMIT_COL}={version}").drop(PARTITION_COL).schema
+def _live(stored: DataFrame, manifest: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The stored rows of the commits that the manifest names for these partition columns.
+
+    A manifest has a row for each calendar day and key bucket, so it is broadcast, and its values prune the scan.
+    """
+    live = manifest.select(*[F.col(c).alias(f"_m{c}") for c in (*columns, COMMIT_COL)]).distinct()
+    same = F.col(COMMIT_COL) == F.col(f"_m{COMMIT_COL}")
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_m{c}"))
+    return stored.join(F.broadcast(live), same).drop(*live.columns)
 
 
-def read_merged(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The current (or a given) version of a merged table, or a plain table partitioned by day.
+def _days(manifest: DataFrame) -> DataFrame:
+    return manifest.where(F.col(BUCKET_COL).isNull())
 
-    The manifest has a row for each day, so it is broadcast, and its days
-    prune the scan to the commits in use.
+
+def read_merged(spark: SparkSession, path: str, version: int | None = None, first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """The current (or a given) version of a merged table, or a table of ``write_fact``; column ``start_date`` is the row's day.
+
+    ``first`` and ``last`` (dates) leave out partitions that have no row of the days between; rows of other days in the
+    partitions read still come.
     """
     known = versions(spark, path)
-    if not known:
-        files = spark.read.parquet(path).drop(PARTITION_COL).schema
-        return spark.read.schema(StructType([*files.fields, StructField(PARTITION_COL, DateType())])).parquet(path)
-    at = known[-1] if version is None else version
-    stored = _commits(spark, path, stored_schema(spark, path, at))
-    live = _manifest(spark, path, at).select(F.col(PARTITION_COL).alias("_day"), F.col(COMMIT_COL).alias("_commit"))
-    same = (F.col(COMMIT_COL) == F.col("_commit")) & F.col(PARTITION_COL).eqNullSafe(F.col("_day"))
-    return stored.join(F.broadcast(live), same).drop("_day", "_commit", COMMIT_COL)
+    if known:
+        at = known[-1] if version is None else version
+        manifest = _manifest(spark, path, at)
+        stored = _commits(spark, path, stored_schema(spark, path, at)).where(partition_range(first, last))
+        rows = _live(stored, _days(manifest), (PACKED, PARTITION_COL)).drop(COMMIT_COL)
+    else:
+        files = spark.read.parquet(path).drop(PACKED, PARTITION_COL).schema
+        parts = [StructField(PACKED, BooleanType()), StructField(PARTITION_COL, DateType())]
+        rows = spark.read.schema(StructType([*files.fields, *parts])).parquet(path).where(partition_range(first, last))
+    return rows.drop(PACKED, PARTITION_COL).withColumnRenamed(DAY, PARTITION_COL)
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(BUCKET_COL)
+
+
+def keys_of(spark: SparkSession, path: str, version: int, buckets: Sequence[int]) -> DataFrame:
+    """(key, day, bucket) of the stored keys in these buckets; no other bucket is read."""
+    table = _table(spark, path, version)
+    some = F.col(BUCKET_COL).isin([int(b) for b in buckets])
+    manifest = _manifest(spark, path, version).where(some)
+    return _live(_key_commits(spark, path, table["key"], table["schema"]).where(some), manifest, [BUCKET_COL]).drop(COMMIT_COL)
+
+
+def _publish(spark: SparkSession, path: str, version: int, rows: list[tuple], table: dict) -> None:
+    """Write a manifest aside and rename it to the version; fails if that exists (atomic where the file system's rename is)."""
+    meta = {"table": json.dumps(table | {"schema": table["schema"].jsonValue()})}
+    manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA).withColumn(COMMIT_COL, F.col(COMMIT_COL).alias(COMMIT_COL, metadata=meta))
+    aside = f"{path.rstrip('/')}/{MANIFESTS}/_writing-{uuid.uuid4().hex}"
+    manifest.coalesce(1).write.parquet(aside)
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    src, dst = _fs_path(spark, aside), _fs_path(spark, _manifest_path(path, version))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(_fs(spark, src).makeQualified(src).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(_fs(spark, src).makeQualified(src), _fs(spark, dst).makeQualified(dst), gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError as e:
+        _delete(spark, aside)
+        if _fs(spark, dst).exists(dst):
+            raise ConcurrentMergeError(f"version {version} of {path} was made by another merge") from e
+        raise
 
 
 def upsert(
@@ -165,67 +324,113 @@ def upsert(
     updates: DataFrame,
     key: str = "medication_id",
     cluster_cols: Sequence[str] = CLUSTER_COLS,
+    pack_rows: int | None = None,
 ) -> int:
     """Incremental merge on ``key``: matched keys replaced, new keys inserted, all other rows kept.
 
     Returns the new version.  A schema change is refused before anything is
     computed, duplicate keys in ``updates`` before anything of the table is
-    written, on the first load too.  The update set is written once to
-    the shared scratch folder, which is emptied of it afterwards.  One
-    semi-join of the stored keys with the batch gives the days that matched
-    keys leave; only these and the days of the batch are written anew.
+    written, on the first load too, and a second merge from the same version with ``ConcurrentMergeError``.
+
+    The update set is written once to the shared scratch folder, which is emptied of it afterwards.  Its keys' buckets of
+    the key index say which days matched keys leave; the partitions of these and of the batch's days are written
+    anew, and the key buckets of the batch.  The manifest's counts with those that leave and come are the exact sizes of the
+    days, which decide on their partitions.  Driver state is a row for each calendar day and key bucket.
     """
     from pillbox.session import scratch_path
 
+    pack_rows = PACK_ROWS if pack_rows is None else pack_rows
     known = versions(spark, path)
     if known:
-        check_schema(updates.schema, stored_schema(spark, path, known[-1]))
+        table = _table(spark, path, known[-1])
+        check_schema(updates.schema, table["schema"])
+        if table["key"] != key:
+            raise ValueError(f"the table is merged on {table['key']}, not on {key}")
     new = (known[-1] if known else 0) + 1
-    root = path.rstrip("/")
+    root, commit = path.rstrip("/"), f"{new}-{uuid.uuid4().hex[:12]}"
     staged_path = scratch_path(spark, "upsert-batch")
     try:
         with_partition(updates).write.mode("overwrite").parquet(staged_path)
         batch = spark.read.schema(with_partition(updates).schema).parquet(staged_path)
         if batch.groupBy(key).count().filter(F.col("count") > 1).limit(1).count():
             raise ValueError(f"duplicate {key} values in the update set")
+        sizes = day_sizes(batch)
+        if not known:
+            buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, -(-sum(sizes.values()) // KEYS_A_BUCKET)))
+            table = {"schema": updates.schema, "key": key, "buckets": buckets}
+        batch_keys = batch.select(key, DAY, _bucket(key, table["buckets"]))
+        rows, keys, kept_manifest = batch, batch_keys, []
         if known:
-            existing = read_merged(spark, path)
-            left = existing.select(key, PARTITION_COL).join(batch.select(key), key, "left_semi").select(PARTITION_COL)
-            # calendar days: bounded by the calendar, not by the data
-            touched = batch.select(PARTITION_COL).union(left).distinct()
-            touched.write.mode("overwrite").parquet(f"{staged_path}-days")
-            days = spark.read.schema(f"{PARTITION_COL} date").parquet(f"{staged_path}-days").withColumnRenamed(PARTITION_COL, "_day")
-            on_day = F.col(PARTITION_COL).eqNullSafe(F.col("_day"))
-            kept = existing.join(F.broadcast(days), on_day, "left_semi").join(batch.select(key), key, "left_anti")
-            rows = kept.unionByName(batch)
-            unchanged = _manifest(spark, path, known[-1]).join(F.broadcast(days), on_day, "left_anti")
-        else:
-            rows = batch
-        data = f"{root}/{DATA}/{COMMIT_COL}={new}"
-        clustered(rows, cluster_cols).write.mode("overwrite").partitionBy(PARTITION_COL).parquet(data)
-        written = spark.read.schema(StructType([StructField(PARTITION_COL, DateType())])).parquet(data).select(PARTITION_COL).distinct()
-        manifest = written.withColumn(COMMIT_COL, F.lit(new))
-        if known:
-            manifest = manifest.unionByName(unchanged)
-        manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/{MANIFESTS}/version={new}")
+            manifest = _manifest(spark, path, known[-1]).collect()  # calendar days and key buckets
+            touched_buckets = sorted(r[0] for r in batch_keys.select(BUCKET_COL).distinct().collect())
+            stored_keys = keys_of(spark, path, known[-1], touched_buckets)
+            leaving = day_sizes(stored_keys.join(batch.select(key), key, "left_semi"))
+            touched_days = set(sizes) | set(leaving)
+            months = {d.replace(day=1) for d in touched_days if d is not None}
+            days = [r for r in manifest if r[BUCKET_COL] is None]
+            # the partitions of the touched days, and the shared ones of their months, which a day may leave or enter
+            anew = {(r[PACKED], r[PARTITION_COL], r[COMMIT_COL]) for r in days if r[DAY] in touched_days or (r[PACKED] and r[PARTITION_COL] in months)}
+            for r in days:
+                if (r[PACKED], r[PARTITION_COL], r[COMMIT_COL]) in anew:
+                    sizes[r[DAY]] = sizes.get(r[DAY], 0) + r.n_rows - leaving.get(r[DAY], 0)
+                else:
+                    kept_manifest.append(tuple(r))
+            kept_manifest += [tuple(r) for r in manifest if r[BUCKET_COL] is not None and r[BUCKET_COL] not in touched_buckets]
+            parts = spark.createDataFrame([(p, d, c) for p, d, c in anew], f"{PACKED} boolean, {PARTITION_COL} date, {COMMIT_COL} string")
+            old = _live(_commits(spark, path, table["schema"]), parts, (PACKED, PARTITION_COL)).drop(PACKED, PARTITION_COL, COMMIT_COL)
+            rows = old.join(batch.select(key), key, "left_anti").unionByName(batch)
+            keys = stored_keys.join(batch.select(key), key, "left_anti").unionByName(batch_keys)
+        big = _big(sizes, pack_rows)
+        clustered(placed(rows, big), cluster_cols).write.partitionBy(PACKED, PARTITION_COL).parquet(f"{root}/{DATA}/{COMMIT_COL}={commit}")
+        keys.hint("rebalance", BUCKET_COL).sortWithinPartitions(BUCKET_COL, key).write.partitionBy(BUCKET_COL).parquet(f"{root}/{KEYS}/{COMMIT_COL}={commit}")
+        if not known:
+            touched_buckets = sorted(r[0] for r in batch_keys.select(BUCKET_COL).distinct().collect())
+        large = set(big)
+        at = lambda d: (False, d) if d is None or d in large else (True, d.replace(day=1))
+        written = [(d, *at(d), n, None, commit) for d, n in sizes.items() if n]
+        _publish(spark, path, new, kept_manifest + written + [(None, None, None, None, b, commit) for b in touched_buckets], table)
     finally:
         _delete(spark, staged_path)
-        _delete(spark, f"{staged_path}-days")
     return new
 
 
+def changed_rows(spark: SparkSession, path: str, before: int, after: int) -> DataFrame:
+    """The rows that version ``after`` adds to version ``before`` (``sign`` 1) and those that it takes away (``sign`` -1).
+
+    From the manifests: partitions that both versions take from the same commit are not read.  A row that stayed in a
+    rewritten partition is in the result with both signs.  Both versions must not be vacuumed.
+    """
+    parts = [
+        {(r[PACKED], r[PARTITION_COL], r[COMMIT_COL]) for r in _days(_manifest(spark, path, v)).collect()}  # calendar days
+        for v in (before, after)
+    ]
+    stored = _commits(spark, path, stored_schema(spark, path, after))
+    out = None
+    for sign, some in ((-1, parts[0] - parts[1]), (1, parts[1] - parts[0])):
+        live = spark.createDataFrame(sorted(some, key=str), f"{PACKED} boolean, {PARTITION_COL} date, {COMMIT_COL} string")
+        commits = F.col(COMMIT_COL).isin(sorted({c for _, _, c in some}))
+        rows = _live(stored.where(commits), live, (PACKED, PARTITION_COL)).drop(PACKED, PARTITION_COL, COMMIT_COL)
+        rows = rows.withColumnRenamed(DAY, PARTITION_COL).withColumn("sign", F.lit(sign))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def vacuum(spark: SparkSession, path: str) -> list[int]:
-    """Delete older manifests, and the commits of which the current version uses no day; returns these commits."""
+    """Delete older manifests, and the commits that the current version does not use; returns the numbers of the data commits."""
     known = versions(spark, path)
     if not known:
         return []
-    used = {r[0] for r in _manifest(spark, path, known[-1]).select(COMMIT_COL).distinct().collect()}  # commits in use
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{DATA}")
-    stored = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
-    # a commit above the current version belongs to a run that is under way or has failed
-    gone = sorted(v for v in (int(st.getPath().getName().split("=")[1]) for st in stored) if v not in used and v < known[-1])
+    manifest = _manifest(spark, path, known[-1])
+    gone = {}
+    for folder, rows in ((DATA, _days(manifest)), (KEYS, manifest.where(F.col(BUCKET_COL).isNotNull()))):
+        used = {r[0] for r in rows.select(COMMIT_COL).distinct().collect()}  # commits in use
+        root = _fs_path(spark, path, folder)
+        stored = [st.getPath().getName().split("=")[1] for st in _fs(spark, root).listStatus(root)]
+        # a commit above the current version belongs to a run that is under way or has failed
+        gone[folder] = sorted((c for c in stored if c not in used and int(c.split("-")[0]) <= known[-1]), key=lambda c: int(c.split("-")[0]))
     for v in known[:-1]:
-        _delete(spark, f"{path.rstrip('/')}/{MANIFESTS}/version={v}")
-    for v in gone:
-        _delete(spark, f"{path.rstrip('/')}/{DATA}/{COMMIT_COL}={v}")
-    return gone
+        _delete(spark, _manifest_path(path, v))
+    for folder, commits in gone.items():
+        for c in commits:
+            _delete(spark, f"{path.rstrip('/')}/{folder}/{COMMIT_COL}={c}")
+    return [int(c.split("-")[0]) for c in gone[DATA]]

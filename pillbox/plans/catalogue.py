@@ -18,27 +18,35 @@ from pillbox.functions.casts import payment_type_description, rename, safe_cast,
 from pillbox.functions.strings import first_phone, normalise
 from pillbox.operators import analytics
 from pillbox.operators.dedupe import dedupe
-from pillbox.operators.fact import build_fact, enc_org
+from pillbox.operators.fact import build_fact, enc_org, fact_docs
+from pillbox.operators.hotjoin import salted_left_join
 from pillbox.operators.quality import run_tests
 from pillbox.operators.rules import WRITTEN_COUNT, apply_rules, prepare, rejects_sample
 from pillbox.operators.sinks import (
+    DAY,
+    PACKED,
+    PARTITION_COL,
     SchemaChangeError,
     append,
+    changed_rows,
     check_schema,
     copy_table,
+    day_sizes,
     land,
     overwrite,
     read_merged,
     schema_diff_frame,
     upsert,
+    with_docs,
+    with_partition,
     write_fact,
 )
 from pillbox.operators.stage import project, stage
 from pillbox.plans import oracle as O
-from pillbox.plans.etl import TABLES, clean_tables, create_views, stage_stored, testdata_model
+from pillbox.plans.etl import TABLES, clean_tables, create_views, run_pipeline, stage_stored, testdata_model
 from pillbox.plans.specs import COST_TOLERANCE, SPECS, STATE_PATTERN, TS_FORMAT
 from pillbox.session import scratch_path
-from pillbox.sources.csv import read_raw, write_csv
+from pillbox.sources.csv import locate_input, read_damaged, read_raw, write_csv
 from pillbox.sources.tables import read_fact, read_rejects, read_table
 from pillbox.sources.testdata import raw_table, raw_tables
 
@@ -403,6 +411,27 @@ for _t in TABLES:
 
 # Each order as a line of text, every fifth kind damaged in its own way: a bad time, a bad number, a line that ends
 # early, a line with more cells, and a sound one.
+_LINES_SQL = """
+    (SELECT o_orderkey, o_orderkey % 5 AS k, CASE o_orderkey % 5 WHEN 0 THEN 'not a time' ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END
+            || ',,P' || o_custkey || ',Y1,E' || o_orderkey || ',C1' AS head,
+            ',Some drug,10.5,1,' || CASE o_orderkey % 5 WHEN 1 THEN 'many' ELSE CAST(o_orderkey % 9 AS VARCHAR) END || ',30.25,r,why' AS tail FROM orders)
+"""
+
+
+@register(
+    "csv_malformed_rejects",
+    f"""
+    SELECT head || CASE k WHEN 2 THEN '' WHEN 3 THEN tail || ',more,cells' ELSE tail END AS line,
+           CASE k WHEN 2 THEN 'too few cells' WHEN 3 THEN 'too many cells' ELSE 'bad values' END AS reason,
+           CASE k WHEN 0 THEN 'START' WHEN 1 THEN 'DISPENSES' ELSE '' END AS columns
+    FROM {_LINES_SQL} WHERE k <> 4
+    """,
+)
+def q_csv_malformed_rejects(spark, sf_dir):
+    """The damaged ones of the lines of ``csv_malformed``, whole and with the reason."""
+    return read_damaged(spark, _malformed_lines(spark, sf_dir), SPECS["medications"], header="false")
+
+
 @register(
     "csv_malformed",
     """
@@ -413,6 +442,11 @@ for _t in TABLES:
     """,
 )
 def q_csv_malformed(spark, sf_dir):
+    read = read_raw(spark, _malformed_lines(spark, sf_dir), SPECS["medications"], header="false")
+    return read.select("ENCOUNTER", "START", "PATIENT", "DISPENSES", "BASE_COST", "REASONDESCRIPTION")
+
+
+def _malformed_lines(spark, sf_dir) -> str:
     o = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
     k, key = F.col("o_orderkey") % 5, F.col("o_orderkey").cast("string")
     start = F.when(k == 0, F.lit("not a time")).otherwise(F.date_format("o_orderdate", TS_FORMAT))
@@ -422,8 +456,7 @@ def q_csv_malformed(spark, sf_dir):
     line = F.when(k == 2, head).when(k == 3, F.concat_ws(",", head, tail, F.lit("more"), F.lit("cells"))).otherwise(F.concat_ws(",", head, tail))
     path = scratch_path(spark, "csv-malformed")
     o.select(line).write.text(path)
-    read = read_raw(spark, path, SPECS["medications"], header="false")
-    return read.select("ENCOUNTER", "START", "PATIENT", "DISPENSES", "BASE_COST", "REASONDESCRIPTION")
+    return path
 
 
 @register(
@@ -565,6 +598,30 @@ def q_upsert_merge(spark, sf_dir):
     return read_merged(spark, path)
 
 
+SMALL_START, SMALL_END = "1996-03-01", "1996-03-04"  # a late correction of three days
+
+
+@register(
+    "upsert_small_batch",
+    O.with_all(
+        "SELECT * EXCLUDE (late) REPLACE (CASE WHEN late THEN start_timestamp + INTERVAL 40 DAY ELSE start_timestamp END AS start_timestamp, "
+        "CASE WHEN late THEN 'corrected' ELSE reason_description END AS reason_description), "
+        "CAST(CASE WHEN late THEN start_timestamp + INTERVAL 40 DAY ELSE start_timestamp END AS DATE) AS start_date FROM (SELECT *, "
+        f"COALESCE(start_timestamp >= TIMESTAMP '{SMALL_START}' AND start_timestamp < TIMESTAMP '{SMALL_END}', false) AS late FROM fact)",
+        fact=True,
+    ),
+)
+def q_upsert_small_batch(spark, sf_dir):
+    """The whole fact, then a merge of three days that go to another month: it reads the key buckets of the batch and two months."""
+    fact = _model(spark, sf_dir).fact
+    path = scratch_path(spark, "fact-small-batch")
+    upsert(spark, path, fact)
+    first, end = (F.lit(x).cast("timestamp") for x in (SMALL_START, SMALL_END))
+    late = read_fact(spark, path, SMALL_START, SMALL_END).drop(PARTITION_COL).where((F.col("start_timestamp") >= first) & (F.col("start_timestamp") < end))
+    upsert(spark, path, late.withColumns({"start_timestamp": F.col("start_timestamp") + F.expr("INTERVAL 40 DAY"), "reason_description": F.lit("corrected")}))
+    return read_merged(spark, path)
+
+
 @register(
     "upsert_null_day",
     O.with_all(
@@ -616,7 +673,45 @@ def q_partition_pruned_offset(spark, sf_dir):
     return read_fact(spark, path, "1996-03-01T01:00:00-02:00", "1996-04-01T23:00:00-05:00")
 
 
+@register(
+    "packed_days",
+    O.with_all(
+        "SELECT CAST(start_timestamp AS DATE) AS start_date, count(*) AS n_rows, CAST(sum(total_cost) AS DECIMAL(38,9)) AS total_cost_sum, "
+        "any_value(n_day) >= any_value(least_rows) AS own_partition FROM (SELECT *, ceil(n_all / n_days) AS least_rows FROM "
+        "(SELECT start_timestamp, total_cost, count(*) OVER (PARTITION BY CAST(start_timestamp AS DATE)) AS n_day, (SELECT count(*) FROM fact WHERE start_timestamp IS NOT NULL) AS n_all, "
+        "(SELECT count(DISTINCT CAST(start_timestamp AS DATE)) FROM fact) AS n_days FROM fact)) "
+        "WHERE start_timestamp >= TIMESTAMP '1996-02-10' AND start_timestamp < TIMESTAMP '1996-11-20' GROUP BY 1",
+        fact=True,
+    ),
+)
+def q_packed_days(spark, sf_dir):
+    """Days of at least the mean size in partitions of their own, smaller ones by month; a range that begins and ends within months."""
+    fact = _model(spark, sf_dir).fact
+    path = scratch_path(spark, "fact-packed")
+    sizes = {d: n for d, n in day_sizes(with_partition(fact).select(DAY)).items() if d is not None}
+    write_fact(fact, path, pack_rows=-(-sum(sizes.values()) // max(1, len(sizes))))
+    own = spark.read.parquet(path).where(~F.col(PACKED)).select(F.col(PARTITION_COL).alias("own_day")).distinct()
+    days = read_fact(spark, path, "1996-02-10", "1996-11-20").groupBy(PARTITION_COL).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("total_cost").cast("decimal(38,9)").alias("total_cost_sum")
+    )
+    return days.join(own, F.col(PARTITION_COL) == F.col("own_day"), "left").withColumn("own_partition", F.col("own_day").isNotNull()).drop("own_day")
+
+
 # ------------------------------------------------------------ analyses (M)
+def _m5_sql(source: str) -> str:
+    """Every month of the calendar between the first and the last, zeros where no row is; rows without a month apart."""
+    return (
+        "SELECT month, n_prescriptions, total_cost_sum, "
+        "lag(n_prescriptions) OVER w AS prev_n_prescriptions, n_prescriptions - lag(n_prescriptions) OVER w AS change FROM "
+        "(SELECT c.month, count(f.start_timestamp) AS n_prescriptions, CAST(COALESCE(sum(f.total_cost), 0) AS DECIMAL(38,9)) AS total_cost_sum FROM "
+        "(SELECT CAST(unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS TIMESTAMP) AS month FROM "
+        f"(SELECT date_trunc('month', start_timestamp) AS m FROM {source})) c LEFT JOIN {source} f ON date_trunc('month', f.start_timestamp) = c.month GROUP BY c.month) "
+        "WINDOW w AS (ORDER BY month) UNION ALL "
+        "SELECT NULL, n, total, NULL, NULL FROM (SELECT count(*) AS n, CAST(COALESCE(sum(total_cost), 0) AS DECIMAL(38,9)) AS total "
+        f"FROM {source} WHERE start_timestamp IS NULL) WHERE n > 0"
+    )
+
+
 _M_SQL = {
     "m1_cost_demographics": (
         "SELECT medication_code, gender, state, date_trunc('month', start_timestamp) AS month, "
@@ -644,13 +739,7 @@ _M_SQL = {
         "ON o.organization_state IS NOT DISTINCT FROM c.organization_state"
     ),
     "m4_patient_cost": _M4_SQL,
-    "m5_monthly_trend": (
-        "SELECT month, n_prescriptions, total_cost_sum, "
-        "lag(n_prescriptions) OVER (ORDER BY month ASC NULLS FIRST) AS prev_n_prescriptions, "
-        "n_prescriptions - lag(n_prescriptions) OVER (ORDER BY month ASC NULLS FIRST) AS change FROM "
-        "(SELECT date_trunc('month', start_timestamp) AS month, count(*) AS n_prescriptions, "
-        " CAST(sum(total_cost) AS DECIMAL(38,9)) AS total_cost_sum FROM fact GROUP BY 1)"
-    ),
+    "m5_monthly_trend": _m5_sql("fact"),
     "m6_code_city": (
         "SELECT city, medication_code, count(*) AS n_prescriptions, CAST(sum(total_cost) AS DECIMAL(38,9)) AS total_cost_sum, "
         "round(CAST(sum(total_cost) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS avg_total_cost, "
@@ -666,6 +755,139 @@ for _name, _fn in analytics.ANALYSES.items():
     register(_name, O.with_all(_M_SQL[_name], fact=True))(_run)
 
 
+@register(
+    "m1_rollup",
+    O.with_all(
+        "SELECT date_trunc('month', start_timestamp) AS month, state, gender, medication_code, "
+        "CAST(grouping(date_trunc('month', start_timestamp), state, gender, medication_code) AS BIGINT) AS level, count(*) AS n_prescriptions, "
+        "CAST(sum(total_cost) AS DECIMAL(38,9)) AS total_cost_sum, round(CAST(sum(base_cost) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS avg_base_cost "
+        "FROM fact GROUP BY ROLLUP (date_trunc('month', start_timestamp), state, gender, medication_code)",
+        fact=True,
+    ),
+)
+def q_m1_rollup(spark, sf_dir):
+    return analytics.m1_rollup(_model(spark, sf_dir).fact)
+
+
+@register("m5_missing_months", O.with_all(_m5_sql("(SELECT * FROM fact WHERE month(start_timestamp) NOT IN (2, 3, 8))"), fact=True))
+def q_m5_missing_months(spark, sf_dir):
+    """The trend of prescriptions that pause in three months of every year (the pause is what is shown)."""
+    fact = _model(spark, sf_dir).fact
+    return analytics.m5_monthly_trend(fact.where(~F.month("start_timestamp").isin(2, 3, 8)))
+
+
+@register(
+    "m2_sketch_years",
+    O.with_all(
+        "SELECT organization_state, organization_city, CAST(year(start_timestamp) AS INTEGER) AS year, count(*) AS n_prescriptions, "
+        "count(DISTINCT patient_id) AS n_patients, true AS estimate_within_error FROM fact GROUP BY ALL",
+        fact=True,
+    ),
+)
+def q_m2_sketch_years(spark, sf_dir):
+    """Patients by place and year from stored monthly sketches, beside the exact count."""
+    fact = _model(spark, sf_dir).fact
+    path = scratch_path(spark, "m2-sketches")
+    overwrite(analytics.m2_monthly_sketches(fact), path)
+    keys = ["organization_state", "organization_city"]
+    by_year = analytics.m2_merged(read_table(spark, path), *keys, F.year("month").alias("year"))
+    exact = fact.groupBy(*keys, F.year("start_timestamp").alias("year")).agg(F.countDistinct("patient_id").alias("n_patients"))
+    same = reduce(lambda x, y: x & y, [F.col(f"s.{c}").eqNullSafe(F.col(f"e.{c}")) for c in (*keys, "year")])
+    both = by_year.alias("s").join(exact.alias("e"), same)
+    close = F.abs(F.col("n_patients_estimate") - F.col("n_patients")) <= 1 + analytics.SKETCH_ERROR * F.col("n_patients")
+    return both.select("s.organization_state", "s.organization_city", "s.year", "n_prescriptions", "n_patients", close.alias("estimate_within_error"))
+
+
+_CORRECTED = (
+    "(SELECT * REPLACE (CASE WHEN late THEN 'P1' ELSE patient_id END AS patient_id, CASE WHEN late THEN total_cost + 1 ELSE total_cost END AS total_cost) FROM "
+    f"(SELECT *, COALESCE(start_timestamp >= TIMESTAMP '{SMALL_START}' AND start_timestamp < TIMESTAMP '{SMALL_END}', false) AS late FROM fact))"
+)
+
+
+@register("m4_refreshed", O.with_all(_M4_SQL.replace("FROM fact", f"FROM {_CORRECTED}"), fact=True))
+def q_m4_refreshed(spark, sf_dir):
+    """Cost per patient before a merge, brought up to date by the rows of the partitions that the merge rewrote."""
+    fact = _model(spark, sf_dir).fact
+    path = scratch_path(spark, "fact-refresh")
+    before = upsert(spark, path, fact)
+    sums = {"total_cost_sum": "total_cost", "payer_coverage_sum": "payer_coverage"}
+    first, stored = scratch_path(spark, "m4-before"), ["patient_id", "n_prescriptions", *sums]
+    overwrite(analytics.m4_patient_cost(read_merged(spark, path)).select(*stored), first)
+    late = read_fact(spark, path, SMALL_START, SMALL_END).drop(PARTITION_COL)
+    after = upsert(spark, path, late.withColumns({"patient_id": F.lit("P1"), "total_cost": (F.col("total_cost") + 1).cast(late.schema["total_cost"].dataType)}))
+    now = analytics.refreshed(read_table(spark, first), changed_rows(spark, path, before, after), ["patient_id"], sums, "n_prescriptions")
+    return now.withColumn("coverage_ratio", F.round(F.col("payer_coverage_sum").cast("double") / F.col("total_cost_sum").cast("double"), 6))
+
+
+@register(
+    "join_hot_organization",
+    O.with_all(
+        "SELECT e.encounter_id, e.organization_id, o.organization_name, o.city, o.utilization FROM "
+        "(SELECT encounter_id, CASE CAST(substr(encounter_id, 2) AS BIGINT) % 6 WHEN 0 THEN 'O1' WHEN 3 THEN 'O1' WHEN 1 THEN NULL ELSE organization_id END AS organization_id "
+        "FROM stg_encounters) e LEFT JOIN stg_organizations o ON e.organization_id = o.organization_id",
+        staged=True,
+    ),
+)
+def q_join_hot_organization(spark, sf_dir):
+    """E1 where a third of the encounters name one organization and a sixth none."""
+    st = _model(spark, sf_dir).staged
+    k = F.substr(F.col("encounter_id"), F.lit(2)).cast("bigint") % 6
+    hot = F.when(k.isin(0, 3), F.lit("O1")).when(k == 1, F.lit(None)).otherwise(F.col("organization_id"))
+    e = st["encounters"].select("encounter_id", hot.alias("organization_id"))
+    o = st["organizations"].select(F.col("organization_id").alias("id"), "organization_name", "city", "utilization")
+    return salted_left_join(e, o, "organization_id", "id").drop("id")
+
+
+@register(
+    "clustered_by_any_key",
+    O.with_all(
+        "SELECT *, CAST(start_timestamp AS DATE) AS start_date FROM fact WHERE city = 'KENYA' "
+        "UNION ALL SELECT *, CAST(start_timestamp AS DATE) AS start_date FROM fact WHERE patient_id = (SELECT min(patient_id) FROM fact)",
+        fact=True,
+    ),
+)
+def q_clustered_by_any_key(spark, sf_dir):
+    """The fact in a space-filling order of its three cluster keys, asked by the third and by the second key alone."""
+    path = scratch_path(spark, "fact-space-filling")
+    write_fact(_model(spark, sf_dir).fact, path, space_filling=True)
+    fact = read_fact(spark, path)
+    least = read_fact(spark, path).agg(F.min("patient_id").alias("least"))
+    return fact.where(F.col("city") == "KENYA").unionByName(fact.join(F.broadcast(least), F.col("patient_id") == F.col("least")).drop("least"))
+
+
+@register("inputs_by_name", O.with_all("SELECT * FROM organizations_clean", tables=["organizations"]))
+def q_inputs_by_name(spark, sf_dir):
+    """A folder with the input, and others whose names begin or end alike: exactly the named one is read."""
+    root, raw = scratch_path(spark, "inputs"), raw_table(spark, sf_dir, "organizations")
+    for name in ("organizations.csv", "organizations.csv.old", "old-organizations.csv"):
+        write_csv(raw if name == "organizations.csv" else raw.withColumn("NAME", F.lit("another")), f"{root}/{name}")
+    return apply_rules(read_raw(spark, locate_input(spark, root, "organizations"), SPECS["organizations"]), SPECS["organizations"], level=0).clean
+
+
+@register("pipeline_run", O.with_all(" UNION ALL ".join(O.summary_select(t) for t in TABLES)))
+def q_pipeline_run(spark, sf_dir):
+    """The whole stored run by its arguments, with the declared tests as the gate before the fact; its cleaning summary."""
+    return run_pipeline(spark, sf_dir, scratch_path(spark, "run"), source="testdata")["summary"]
+
+
+@register(
+    "docs_read_back",
+    O.with_all(
+        "SELECT column_name, description, (SELECT count(*) FROM fact) AS n_rows FROM (VALUES "
+        + ", ".join("('{}', '{}')".format(c, d.replace("'", "''")) for c, d in fact_docs().items()) + ") v(column_name, description)",
+        fact=True,
+    ),
+)
+def q_docs_read_back(spark, sf_dir):
+    """The descriptions of the fact's columns as its stored files hold them, and its rows."""
+    path = scratch_path(spark, "docs")
+    overwrite(with_docs(_model(spark, sf_dir).fact, fact_docs()), path)
+    stored = read_table(spark, path)
+    found = [(f.name, f.metadata["comment"]) for f in stored.schema.fields if "comment" in f.metadata]
+    n = stored.agg(F.count(F.lit(1)).alias("n_rows"))
+    return n.crossJoin(F.broadcast(spark.createDataFrame(found, "column_name string, description string"))).select("column_name", "description", "n_rows")
+
+
 @register("limit_smoke", O.with_all("SELECT * FROM fact", fact=True, test_run=True))
 def q_limit_smoke(spark, sf_dir):
     """Smoke mode: every staging model and the fact keep their first 100

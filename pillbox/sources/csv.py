@@ -9,6 +9,8 @@ columns dropped.  A missing path fails at analysis (PATH_NOT_FOUND).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pillbox.plans.spec import TableSpec
 
@@ -28,6 +30,29 @@ def read_raw(spark: SparkSession, path: str | list[str], spec: TableSpec, **opti
     return reader.csv(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_damaged(spark: SparkSession, path: str | list[str], spec: TableSpec, **options) -> DataFrame:
+    """The lines that do not fit the schema: line, reason, columns.
+
+    ``read_raw`` keeps what it can of such a line and says nothing, as the source pipeline does; here its text is kept.
+    The reason is ``too many cells``, ``bad values`` (their columns are listed) or ``too few cells``.
+    """
+    opts = {**CSV_OPTIONS, **spec.read_options, **options}
+    reader = spark.read.schema(StructType([*spec.schema.fields, StructField(CORRUPT, StringType())]))
+    for k, v in opts.items():
+        reader = reader.option(k, v)
+    names = spec.columns
+    read = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path).where(F.col(CORRUPT).isNotNull())
+    # the cells of the line as text, and whether there is one more than there should be
+    cells = F.from_csv(CORRUPT, ", ".join([*(f"`{c}` string" for c in names), "`_more` string"]), {**opts, "header": "false"})
+    bad = [F.when(F.col(f"_cells.`{c}`").isNotNull() & F.col(f"`{c}`").isNull(), F.lit(c)) for c in names]
+    out = read.withColumn("_cells", cells).withColumn("columns", F.array_compact(F.array(*bad)))
+    reason = F.when(F.col("_cells._more").isNotNull(), "too many cells").when(F.size("columns") > 0, "bad values").otherwise("too few cells")
+    return out.select(F.col(CORRUPT).alias("line"), reason.alias("reason"), F.array_join("columns", ",").alias("columns"))
+
+
 def locate_input(spark: SparkSession, in_dir: str, table: str, pattern: str | None = None) -> list[str]:
     """Where a table's input lies; a missing input is an error.
 

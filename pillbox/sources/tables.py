@@ -34,16 +34,17 @@ def read_fact(
 ) -> DataFrame:
     """Fact rows with ``start <= start_timestamp < end``.
 
-    A predicate on ``start_timestamp`` alone does not prune the derived day
-    partitions, so the matching predicate on ``start_date`` is added: the
-    scan lists only the days in range (PartitionFilters), the timestamp
-    predicate keeps the exact bounds.  The day is that of the same timestamp
-    in the session zone, so a bound with an offset prunes as it filters.
+    A predicate on ``start_timestamp`` alone does not prune the derived
+    partitions, so the matching one on the partitions is added: the scan
+    lists only the days and months in range (PartitionFilters), the day and
+    timestamp predicates keep the exact bounds.  The day is that of the same
+    timestamp in the session zone, so a bound with an offset prunes as it filters.
     """
-    df = read_merged(spark, path)
-    for bound, keep_day, keep in ((start, "__ge__", "__ge__"), (end, "__le__", "__lt__")):
-        if bound is not None:
-            ts = F.lit(str(bound)).cast("timestamp")
-            df = df.filter(getattr(F.col(PARTITION_COL), keep_day)(F.to_date(ts)))
-            df = df.filter(getattr(F.col("start_timestamp"), keep)(ts))
+    bounds = [None if b is None else F.lit(str(b)).cast("timestamp") for b in (start, end)]
+    first, last = (None if b is None else F.to_date(b) for b in bounds)
+    df = read_merged(spark, path, first=first, last=last)
+    if first is not None:
+        df = df.filter((F.col(PARTITION_COL) >= first) & (F.col("start_timestamp") >= bounds[0]))
+    if last is not None:
+        df = df.filter((F.col(PARTITION_COL) <= last) & (F.col("start_timestamp") < bounds[1]))
     return df
