@@ -9,7 +9,8 @@
 3. The candidates of all levels make the last tries.  All positions advance word by word, the states that accept are
    counted with ``bincount``, and the counts of the tasks are summed.  From these come a, l and r.
 
-A trie is a double array: the child of state s by word w is slot base[s] + w, if check of that slot is s.  A trie holds
+A trie is a double array: the child of state s by digit w is slot base[s] + w, if check of that slot is s; a word is two
+digits or so.  A trie holds
 about ``TRIE`` phrases; more of them become several tries (by their first two words) and as many passes over the
 numbered texts.  Words are numbered in the same way, ``VOCABULARY`` of them at a time.
 """
@@ -23,13 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pillbox.llm.common import LOWER, UPPER, materialise, slices_of_bytes
+from pillbox.llm.common import LOWER, UPPER, materialise, slices, slices_of_bytes
 
 VOCABULARY = 1 << 20  # words of one broadcast
 TRIE = 1 << 20  # phrases of one broadcast, on average
-HELD = 1 << 19  # distinct words a task counts before it sends them
-PAIRS = 1 << 21  # candidates a task holds before it sends them
-POSITIONS = 1 << 21  # text positions that advance at once
+HELD = 1 << 18  # distinct words a task counts before it sends them
+PAIRS = 1 << 20  # candidates a task holds before it sends them
+POSITIONS = 1 << 18  # text positions that advance at once
+DIGIT = 10  # bits of a step in a trie
+WIDE = 1 << DIGIT  # children of a node at most
+SENT = 1 << 16  # rows of a record batch
 SALTS = 64
 LONGEST = 4
 STOP = b"."  # any end of a piece; no word holds it
@@ -82,30 +86,33 @@ def number_texts(vocabulary, keep_text: bool):
 
 
 class Trie:
-    """Double array over rows of word numbers; see the module text.  Words get local numbers 1, 2, ... and are the root's children."""
+    """Double array over rows of word numbers; see the module text.
+
+    Words get local numbers 1, 2, ..., and each is ``digits`` steps of ``DIGIT`` bits, so that no node has many children:
+    wide nodes find a base whose slots are all free, or take new slots; nodes with one child fill what is left free.
+    """
 
     def __init__(self, levels: list[np.ndarray]):
         """``levels``: for 2, 3, ... words the phrases as rows; every row's beginning is a row of the level before."""
         self.words = np.unique(np.concatenate([x.ravel() for x in levels])) if levels else np.zeros(0, np.int64)
-        n = len(self.words)
-        self.base, self.check = np.zeros(n + 1, np.int32), np.zeros(n + 1, np.int32)
-        self.check[0] = -1
+        self.digits = max(1, -(-len(self.words).bit_length() // DIGIT))
+        self.base, self.check = np.zeros(WIDE + 1, np.int32), np.full(WIDE + 1, -1, np.int32)
         self.depth = 1 + len(levels)
         rng = np.random.default_rng(0)
-        slots = None
-        for rows in levels:
+        for k, rows in enumerate(levels):
             local = np.searchsorted(self.words, rows) + 1
-            if slots is None:
-                parent = local[:, 0]
+            if k == 0:
+                first = np.unique(local[:, 0])
+                begun = np.zeros(len(self.words) + 1, np.int64)
+                begun[first] = self._extend(np.zeros(len(first), np.int64), first, rng)
+                parent = begun[local[:, 0]]
             else:
                 parent = slots[np.searchsorted(keys, self._keys(local[:, :-1]))]
-            parent, word = parent.astype(np.int64), local[:, -1].astype(np.int64)
-            order = np.lexsort((word, parent))
-            slot = np.zeros(len(rows), np.int64)
-            slot[order] = self._place(parent[order], word[order], rng)
+            slot = self._extend(parent, local[:, -1], rng)
             keys = self._keys(local)
             order = np.argsort(keys)
             keys, slots = keys[order], slot[order]
+        self._grow(len(self.base) + WIDE)
         self.size = len(self.base)
 
     def _keys(self, local: np.ndarray) -> np.ndarray:
@@ -117,41 +124,66 @@ class Trie:
             return key
         return np.ascontiguousarray(local.astype(">i4")).view(f"V{4 * local.shape[1]}").ravel()
 
-    def _place(self, parent: np.ndarray, word: np.ndarray, rng) -> np.ndarray:
+    def _digits(self, local: np.ndarray):
+        for d in reversed(range(self.digits)):
+            yield local >> DIGIT * d & WIDE - 1
+
+    def _extend(self, parent: np.ndarray, word: np.ndarray, rng) -> np.ndarray:
+        """The slots of these words behind these states; all children that a state gets come in one call."""
+        for digit in self._digits(word):
+            edges, at = np.unique(parent.astype(np.int64) << DIGIT | digit, return_inverse=True)
+            parent = self._place(edges >> DIGIT, edges & WIDE - 1, rng)[at]
+        return parent
+
+    def _place(self, parent: np.ndarray, digit: np.ndarray, rng) -> np.ndarray:
         """A base for each parent such that its children fall on free slots; gives the children's slots."""
-        if not len(parent):
-            return parent
-        n, first = len(self.words), len(self.base)
-        span = 4 * len(parent) + 64
-        self._grow(first + span + n)
+        first = len(self.base)
         starts = np.flatnonzero(np.diff(parent, prepend=-1))
         sizes = np.diff(np.append(starts, len(parent)))
+        self._grow(first + 2 * int(sizes[sizes > 1].sum()) + WIDE)
         slot = np.zeros(len(parent), np.int64)
-        todo, tries = np.argsort(-sizes, kind="stable"), 0
-        while len(todo):
-            tries += 1
-            if tries % 32 == 0:
-                span *= 2
-                self._grow(first + span + n)
-            # the widest nodes first: a tenth of the children a round, so that they meet few others
-            upto = max(1, int(np.searchsorted(np.cumsum(sizes[todo]), max(256, len(parent) // 10), "right")))
-            now, later = todo[:upto], todo[upto:]
-            child = np.repeat(starts[now] - np.cumsum(sizes[now]) + sizes[now], sizes[now]) + np.arange(sizes[now].sum())
-            group = np.repeat(np.arange(len(now)), sizes[now])
-            base = rng.integers(first, first + span, len(now)) - 1
-            at = base[group] + word[child]
+
+        def settle(nodes, base):
+            """Give these nodes their bases where all their slots are free and no earlier node wants one of them."""
+            child = np.repeat(starts[nodes] - np.cumsum(sizes[nodes]) + sizes[nodes], sizes[nodes]) + np.arange(sizes[nodes].sum())
+            group = np.repeat(np.arange(len(nodes)), sizes[nodes])
+            at = base[group] + digit[child]
             owner = np.full(len(self.base), -1, np.int32)
             owner[at[::-1]] = group[::-1]
-            fits = np.bincount(group, (owner[at] == group) & (self.check[at] == -1)) == sizes[now]
+            fits = np.bincount(group, (owner[at] == group) & (self.check[at] == -1), minlength=len(nodes)) == sizes[nodes]
             good = fits[group]
             slot[child[good]] = at[good]
             self.check[at[good]] = parent[child[good]]
-            self.base[parent[starts[now[fits]]]] = base[fits]
-            todo = np.concatenate([now[~fits], later])
+            self.base[parent[starts[nodes[fits]]]] = base[fits]
+            return nodes[~fits]
+
+        for least in (64, 16, 4, 2):
+            todo = np.flatnonzero((sizes >= least) & (slot[starts] == 0))
+            for turn in range(8 if least > 4 else 1 << 30):
+                if not len(todo):
+                    break
+                todo = settle(todo, rng.integers(first - 1, len(self.base) - WIDE, len(todo)))
+                if turn % 8 == 7 and least <= 4:  # narrow nodes get more room
+                    self._grow(len(self.base) + 2 * int(sizes[todo].sum()))
+            if len(todo):  # and wide ones new slots
+                low, high = digit[starts[todo]], digit[starts[todo] + sizes[todo] - 1]
+                begin = len(self.base) + np.cumsum(high - low + 1) - (high - low + 1)
+                self._grow(int(begin[-1]) + WIDE)
+                settle(todo, begin - low)
+        alone = np.flatnonzero(sizes == 1)
+        free = first + np.flatnonzero(self.check[first:] == -1)
+        if len(free) < len(alone):
+            more = np.arange(len(self.base), len(self.base) + len(alone) - len(free))
+            self._grow(int(more[-1]) + 1)
+            free = np.append(free, more)
+        at = free[: len(alone)]
+        slot[starts[alone]] = at
+        self.check[at] = parent[starts[alone]]
+        self.base[parent[starts[alone]]] = at - digit[starts[alone]]
         return slot
 
     def _grow(self, size: int) -> None:
-        more = max(0, size + 1 - len(self.base))
+        more = max(0, size - len(self.base))
         self.base = np.concatenate([self.base, np.zeros(more, np.int32)])
         self.check = np.concatenate([self.check, np.full(more, -1, np.int32)])
 
@@ -161,33 +193,38 @@ class Trie:
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, ids), len(self.words) - 1)
             local[: len(ids)] = np.where(self.words[at] == ids, at + 1, 0)
-        return local, local[: len(ids)].copy()
+        alive = np.flatnonzero(local)
+        return local, self._step(np.zeros(len(alive), np.int32), alive, local, 0, len(ids))
+
+    def _step(self, now: np.ndarray, alive: np.ndarray, local: np.ndarray, depth: int, n: int) -> np.ndarray:
+        for d in reversed(range(self.digits)):
+            to = self.base[now] + (local[alive + depth] >> DIGIT * d & WIDE - 1)
+            ok = self.check[to] == now
+            now, alive = to[ok], alive[ok]
+        out = np.zeros(n, np.int32)
+        out[alive] = now
+        return out
 
     def advance(self, state: np.ndarray, local: np.ndarray, depth: int) -> np.ndarray:
         """The states of all positions after word ``depth`` (0 behind the first); 0 where none is left."""
         alive = np.flatnonzero(state)
-        now = state[alive]
-        to = self.base[now] + local[alive + depth]
-        ok = self.check[to] == now
-        out = np.zeros(len(state), np.int32)
-        out[alive[ok]] = to[ok]
-        return out
+        return self._step(state[alive], alive, local, depth, len(state))
 
     def spelled(self, slots: np.ndarray) -> np.ndarray:
         """The word numbers on the way to the slots as rows of ``LONGEST``, 0 behind the phrase's end."""
-        way = []
-        now = slots.astype(np.int64)
-        while now.any():
-            before = np.where(now > 0, self.check[now], 0)
-            local = np.where(now > 0, now - np.where(before > 0, self.base[before], 0), 0)
-            way.append(np.where(local > 0, np.append(0, self.words)[local], 0))
-            now = before
-        rows = np.zeros((len(slots), LONGEST), np.int64)
-        depth = sum((w > 0).astype(np.int64) for w in way) if way else np.zeros(0, np.int64)
-        for k, w in enumerate(way):
-            some = np.flatnonzero(w)
-            rows[some, depth[some] - 1 - k] = w[some]
-        return rows
+        back = np.zeros((len(slots), LONGEST + 1), np.int64)  # last word first
+        now, here = slots.astype(np.int64), np.arange(len(slots))
+        for k in range(LONGEST):
+            for d in range(self.digits):
+                before = self.check[now].astype(np.int64)
+                back[here, k] |= now - self.base[before] << DIGIT * d
+                now = before
+            some = now > 0
+            now, here = now[some], here[some]
+        depth = np.count_nonzero(back, axis=1)
+        place = depth[:, None] - 1 - np.arange(LONGEST)
+        local = back[np.arange(len(slots))[:, None], np.where(place >= 0, place, LONGEST)]
+        return np.append(0, self.words)[local]
 
 
 def packed(rows: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -203,16 +240,16 @@ def unpacked(table: pa.Table) -> np.ndarray:
 
 def positions(batches):
     """The numbers of many texts at once (a 0 behind each)."""
-    for b in batches:
-        held, n = [], 0
+    held, n = [], 0
+    for b in slices(batches):
         for x in b.column("ids").to_pylist():
             held.append(x)
             n += len(x) // 4
             if n >= POSITIONS:
                 yield np.frombuffer(b"".join(held), np.int32)
                 held, n = [], 0
-        if held:
-            yield np.frombuffer(b"".join(held), np.int32)
+    if held:
+        yield np.frombuffer(b"".join(held), np.int32)
 
 
 def discover(shared, k: int, least: int, single: bool):
@@ -234,8 +271,8 @@ def discover(shared, k: int, least: int, single: bool):
         return state[i].astype(np.int64) << 32 | following[i]
 
     def sent(keys, n):
-        for lo in range(0, len(keys), 1 << 18):
-            x, m = keys[lo : lo + (1 << 18)], np.minimum(n[lo : lo + (1 << 18)], least)
+        for lo in range(0, len(keys), SENT):
+            x, m = keys[lo : lo + SENT], np.minimum(n[lo : lo + SENT], least)
             if k == 1:
                 rows = np.stack([x >> 32, x & 0xFFFFFFFF, np.zeros_like(x), np.zeros_like(x)], axis=1)
             else:
@@ -266,16 +303,21 @@ def count_phrases(shared):
 
     def run(batches):
         trie = shared.value
-        counts = np.zeros(trie.size, np.int64)
+        counts, held, n = np.zeros(trie.size, np.int64), [], 0
         for ids in positions(batches):
             local, state = trie.start(ids)
             for depth in range(1, trie.depth):
                 state = trie.advance(state, local, depth)
-                counts += np.bincount(state, minlength=trie.size)
-                counts[0] = 0
+                held.append(state[state > 0])
+                n += len(held[-1])
+            if n > trie.size:
+                counts += np.bincount(np.concatenate(held), minlength=trie.size)
+                held, n = [], 0
+        if n:
+            counts += np.bincount(np.concatenate(held), minlength=trie.size)
         slots = np.flatnonzero(counts)
-        for lo in range(0, len(slots), 1 << 18):
-            some = slots[lo : lo + (1 << 18)]
+        for lo in range(0, len(slots), SENT):
+            some = slots[lo : lo + SENT]
             yield packed(trie.spelled(some), counts[some])
 
     return run

@@ -71,6 +71,18 @@ def test_trie():
         rows = trie.spelled(slots)
         assert {tuple(r[: depth + 1]): c for r, c in zip(rows.tolist(), n.tolist())} == expected
         assert not rows[:, depth + 1 :].any()
+    # words of several digits: wide nodes, narrow ones and new slots, phrase by phrase
+    pairs = np.unique(np.stack([rng.zipf(1.3, 60_000) % 5000, rng.integers(0, 5000, 60_000)], 1) * 77 + 1, axis=0)
+    threes = np.unique(np.concatenate([pairs[rng.integers(0, len(pairs), 20_000)], rng.integers(0, 5000, (20_000, 1)) * 77 + 1], 1), axis=0)
+    trie = Trie([pairs, threes])
+    assert trie.digits == 2 and trie.size < 5 * (len(pairs) + len(threes))
+    for rows in (pairs, threes):
+        local, state = trie.start(np.append(rows, np.zeros((len(rows), 1), int), 1).ravel())
+        for depth in range(1, rows.shape[1]):
+            state = trie.advance(state, local, depth)
+        slots = state[:: rows.shape[1] + 1]
+        assert len(np.unique(slots)) == len(rows) and slots.all() and np.count_nonzero(state) == len(rows)
+        assert (trie.spelled(slots)[:, : rows.shape[1]] == rows).all()
     # one node with very many children beside many with one
     wide = np.array([(1, w) for w in range(1, 5000)] + [(w, 1) for w in range(2, 5000)])
     trie = Trie([wide])
