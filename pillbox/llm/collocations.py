@@ -263,7 +263,7 @@ def discover(shared, k: int, least: int, single: bool):
         local, state = trie.start(ids)
         for depth in range(1, k):
             state = trie.advance(state, local, depth)
-        following = np.append(ids[k:], np.zeros(k, np.int32))
+        following = np.append(ids, np.zeros(k, np.int32))[k:]
         ok = (state > 0) & (following > 0)
         if single:  # else the last k words may be in another trie
             ok[:-1] &= state[1:] > 0

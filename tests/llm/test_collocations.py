@@ -111,6 +111,12 @@ def test_collocations_of_awkward_tables(spark, messy):
     assert collocations(messy, min_count=10**6).collect() == []
 
 
+def test_texts_shorter_than_a_phrase(spark):
+    rows = [("en", "a b c"), ("en", "a b"), ("en", "a"), ("de", "a b c d"), ("de", "a b c d")]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    assert Counter(map(tuple, collocations(docs, min_count=1, covered_percent=101).collect())) == brute(rows, 1, 101)
+
+
 def test_counts_beyond_64_bits_of_a_product(spark):
     """Scores are exact where 2,000,000 * a does not fit 64 bits."""
     huge = 3 * 10**15
