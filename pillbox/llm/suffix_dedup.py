@@ -14,11 +14,16 @@ meet under the same minimizer.
    with its neighbours, to the bucket of its minimizer, with where it occurs.  Only
    the first ``POSTED`` places go with it; further ones (a passage that a third of all
    documents hold) wait as rows of their own, dealt out evenly.
+   The owners also say which slots hold a hot minimizer, one with ``HOT`` places or
+   more (a line of boilerplate between ever different text): its snippets would be
+   one index in one task.  They and their places go as rows instead.
 3. In a bucket equal snippets are united.  Where a minimizer has several, their
    suffixes are sorted into a run-compressed Burrows-Wheeler transform with suffix
    samples at run ends.  All snippets stream through it in step by LF over the
    runs; the rows they visit give their matching statistics, cut at 50, and
    the smallest id of each match.
+   Snippets of hot minimizers are cut into their windows, the smallest id of each
+   window is aggregated (combined before the shuffle) and joined back, byte by byte.
 4. Rows that waited join the verdict on their snippet (a skewed join that Spark
    splits), marks are gathered by document, and bytes removed.  A bitmap of fixed
    size says which texts have marks; only these are shuffled.
@@ -47,6 +52,8 @@ OWNER_BITS = 8
 CHUNK = 1 << 19  # fingerprints that a task sorts at once
 PIECE = 1 << 22  # bytes of a text that are hashed at once
 HELD = 200_000  # distinct snippets that a task holds before it sends them
+HOT = 1 << 14  # places of a minimizer from which its snippets are compared window by window, by a shuffle
+COUNTED = (1 << 16) - 1  # a list says so many places of a fingerprint at most
 POSTED = 16  # places of a snippet that travel with it, in one part of a task
 MARK_BITS = 23  # slots of the bitmap of texts with marks: 1 MB
 BLOCK = 1 << 20  # bytes of snippets in one index, at least (the snippets of a minimizer stay together)
@@ -107,9 +114,11 @@ def send(batches):
         for o in np.flatnonzero(np.diff(cuts)):
             own = fps[cuts[o] : cuts[o + 1]] & np.uint64((1 << width) - 1)
             k = max(0, int(np.log2(0.69 * 2.0**width / len(own))))
-            rows.append((int(o), len(own), k, *golomb(own, k), np.packbits(counts[cuts[o] : cuts[o + 1]] > 1).tobytes()))
-        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["owner", "n", "k", "unary", "rest", "twice"])
+            seen = counts[cuts[o] : cuts[o + 1]]
+            many = zstandard.compress(np.minimum(seen[seen > 1], COUNTED).astype("<u2").tobytes(), 1)
+            rows.append((int(o), len(own), k, *golomb(own, k), np.packbits(seen > 1).tobytes(), many))
+        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["owner", "n", "k", "unary", "rest", "twice", "many"])
 
     held, n = [], 0
     for b in slices(batches):
@@ -126,29 +135,36 @@ def send(batches):
 
 
 def own(pdf):
-    """An owner's lists -> its slice of the repeat bitmap."""
+    """An owner's lists -> its slice of the repeat bitmap, and its slots with a hot minimizer."""
     fps = np.concatenate([ungolomb(u, r, k, n) for u, r, k, n in zip(pdf.unary, pdf.rest, pdf.k, pdf.n)])
+    seen = np.ones(len(fps), np.int64)
     twice = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8))[:n].astype(bool) for t, n in zip(pdf.twice, pdf.n)])
+    seen[twice] = np.concatenate([np.frombuffer(zstandard.decompress(m), "<u2") for m in pdf.many])
     order = np.argsort(fps)
-    fps, twice = fps[order], twice[order]
-    twice[1:] |= fps[1:] == fps[:-1]
+    fps, seen = fps[order], seen[order]
+    starts = np.flatnonzero(np.append(True, fps[1:] != fps[:-1]))
+    total, slot = np.add.reduceat(seen, starts), (fps[starts] >> np.uint64(FP_BITS - FILTER_BITS)).astype(np.int64)
     slots = np.zeros(1 << (FILTER_BITS - OWNER_BITS), bool)
-    slots[(fps[twice] >> np.uint64(FP_BITS - FILTER_BITS)).astype(np.int64)] = True
-    return pdf.iloc[:1][["owner"]].assign(slots=[np.packbits(slots).tobytes()])
+    slots[slot[total > 1]] = True
+    return pdf.iloc[:1][["owner"]].assign(slots=[np.packbits(slots).tobytes()], hot=[np.unique(slot[total >= HOT]).astype(np.int32).tobytes()])
 
 
-def repeat_filter(src: DataFrame) -> np.ndarray:
-    """The bitmap of slots with a repeated minimizer: always 2 ** FILTER_BITS bits."""
+def repeat_filter(src: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The bitmap of slots with a repeated minimizer, always 2 ** FILTER_BITS bits, and the slots with a hot one, ascending.
+
+    Each hot slot stands for ``HOT`` places, and they are no more than there are slots.
+    """
     size = 1 << (FILTER_BITS - OWNER_BITS - 3)
-    bits = np.zeros(size << OWNER_BITS, np.uint8)
-    sent = src.select("text").mapInArrow(send, "owner int, n bigint, k int, unary binary, rest binary, twice binary")
-    for r in sent.groupBy("owner").applyInPandas(own, "owner int, slots binary").toLocalIterator():
+    bits, hot = np.zeros(size << OWNER_BITS, np.uint8), []
+    sent = src.select("text").mapInArrow(send, "owner int, n bigint, k int, unary binary, rest binary, twice binary, many binary")
+    for r in sent.groupBy("owner").applyInPandas(own, "owner int, slots binary, hot binary").toLocalIterator():
         bits[r["owner"] * size : (r["owner"] + 1) * size] = np.frombuffer(bytes(r["slots"]), np.uint8)
-    return bits
+        hot.append(np.frombuffer(bytes(r["hot"]), np.int32) + np.int32(r["owner"] << (FILTER_BITS - OWNER_BITS)))
+    return bits, np.sort(np.concatenate([np.zeros(0, np.int32), *hot]))
 
 
-CUT = "bucket int, blob binary, fp bigint, key bigint, id bigint, text_hash bigint, at bigint, windows int"
-JUDGED = "fp bigint, key bigint, id bigint, text_hash bigint, at bigint, windows int, low bigint, mask bigint"
+CUT = "bucket int, blob binary, fp bigint, key bigint, id bigint, text_hash bigint, at bigint, windows int, low bigint, snippet binary"
+JUDGED = "fp bigint, key bigint, id bigint, text_hash bigint, at bigint, windows int, low bigint, mask bigint, snippet binary"
 
 
 def rows_of(schema: str, **columns) -> pa.RecordBatch:
@@ -208,16 +224,28 @@ def cut(shared, buckets: int):
         by = np.lexsort((places[:, 0], rank[own]))
         own, places = rank[own][by], places[by]
         starts = np.searchsorted(own, np.arange(len(order) + 1))
-        late = np.arange(len(own)) - starts[own] >= POSTED
-        posted = np.concatenate([[0], np.cumsum(np.minimum(np.diff(starts), POSTED))])
-        fps, early = fps[order], places[~late]
-        cuts = np.searchsorted(fps % buckets, np.arange(buckets + 1))
+        fps = fps[order]
+        hot = is_hot(fps)
+        late = (np.arange(len(own)) - starts[own] >= POSTED) | hot[own]
+        posted = np.concatenate([[0], np.cumsum(np.where(hot, 0, np.minimum(np.diff(starts), POSTED)))])
+        early = places[~late]
+        alone = np.flatnonzero(hot)  # these travel as rows, each with the smallest id it has here
+        if len(alone):
+            yield rows_of(
+                CUT, bucket=(alone % buckets).astype(np.int32), fp=fps[alone], key=[key_of(snippets[i]) for i in order[alone].tolist()],
+                low=places[starts[alone], 0], snippet=[snippets[i] for i in order[alone].tolist()],
+            )
+        cold = np.flatnonzero(~hot)
+        order_cold, counts = order[cold], np.diff(posted)[cold]
+        posted = np.concatenate([[0], np.cumsum(counts)])
+        cuts = np.searchsorted(fps[cold] % buckets, np.arange(buckets + 1))
         at = np.flatnonzero(np.diff(cuts))
         blobs = [
-            pack(fps[a:b], [snippets[i] for i in order[a:b].tolist()], np.diff(posted[a : b + 1]), early[posted[a] : posted[b]])
+            pack(fps[cold[a:b]], [snippets[i] for i in order_cold[a:b].tolist()], counts[a:b], early[posted[a] : posted[b]])
             for a, b in zip(cuts[at].tolist(), cuts[at + 1].tolist())
         ]
-        yield rows_of(CUT, bucket=at.astype(np.int32), blob=blobs)
+        if len(at):
+            yield rows_of(CUT, bucket=at.astype(np.int32), blob=blobs)
         late = np.flatnonzero(late)
         for i in range(0, len(late), 1 << 16):
             part = late[i : i + (1 << 16)]
@@ -228,8 +256,15 @@ def cut(shared, buckets: int):
                 text_hash=text_hash, at=offset, windows=np.array(list(map(len, which)), np.int32) - SPAN + 1,
             )
 
+    def is_hot(fps: np.ndarray) -> np.ndarray:
+        hot = shared.value[1]
+        if not len(hot):
+            return np.zeros(len(fps), bool)
+        slot = fps >> (FP_BITS - FILTER_BITS)
+        return hot[np.minimum(np.searchsorted(hot, slot), len(hot) - 1)] == slot
+
     def run(batches):
-        bits = shared.value
+        bits = shared.value[0]
         number: dict[bytes, int] = {}  # a snippet's content decides its minimizer
         all_fps, own, docs = [], [], []
         for b in slices(batches, 256):
@@ -396,7 +431,7 @@ def judge(batches):
     for b in batches:
         late = b.filter(pc.is_null(b.column("blob")))
         if late.num_rows:
-            yield rows_of(JUDGED, **{c: late.column(c) for c in ("fp", "key", "id", "text_hash", "at", "windows")})
+            yield rows_of(JUDGED, **{c: late.column(c) for c in ("fp", "key", "id", "text_hash", "at", "windows", "low", "snippet")})
         for k, blob in zip(b.column("bucket").to_pylist(), b.column("blob").to_pylist()):
             if blob is not None:
                 if k != bucket and blobs:
@@ -448,19 +483,33 @@ def strike(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc"), *(pa.array([r[i] for r in out], k) for i, (_, k) in enumerate(DONE))], names=["doc", *(n for n, _ in DONE)])
 
 
+def hot_verdicts(judged: DataFrame) -> DataFrame:
+    """(fp, key, low, part) of the snippets of hot minimizers: the smallest id of a snippet, and the windows that a smaller id holds."""
+    snippets = judged.where("snippet is not null").groupBy("fp", "key").agg(F.min("low").alias("low"), F.min("snippet").alias("snippet"))
+    snippets = materialise(snippets, "hot")
+    windows = snippets.select("fp", "key", "low", F.explode(F.expr(f"sequence(0, octet_length(snippet) - {SPAN})")).alias("i"), "snippet")
+    windows = windows.select("fp", "key", "low", "i", F.expr(f"substring(snippet, i + 1, {SPAN})").alias("w"))
+    first = windows.groupBy("w").agg(F.min("low").alias("first"))
+    held = windows.join(first, "w").where(F.col("first") < F.col("low"))
+    parts = held.groupBy("fp", "key").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("part"))
+    return snippets.select("fp", "key", "low").join(parts, ["fp", "key"], "left").withColumn("part", F.coalesce("part", F.lit(0).cast("bigint")))
+
+
 def marks(src: DataFrame) -> DataFrame:
     """(id, text_hash, ats, masks): the removed windows of every text that has one; bit i of a mask is the window at + i."""
     spark = src.sparkSession
     buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shared = spark.sparkContext.broadcast(repeat_filter(src))  # 2 ** FILTER_BITS bits
+    shared = spark.sparkContext.broadcast(repeat_filter(src))  # 2 ** FILTER_BITS bits, and the hot slots
     sent = src.mapInArrow(cut(shared, buckets), CUT).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     judged = materialise(sent.mapInArrow(judge, JUDGED), "judged")
     direct = judged.where("fp is null").select("id", "text_hash", "at", "mask")
     late = judged.where("windows is not null").select("fp", "key", "id", "text_hash", "at", "windows")
-    late = late.join(judged.where("low is not null").select("fp", "key", "low", F.col("mask").alias("part")), ["fp", "key"])
+    known = judged.where("low is not null and snippet is null").select("fp", "key", "low", F.col("mask").alias("part"))
+    late = late.join(known.unionByName(hot_verdicts(judged)), ["fp", "key"])
     late = late.select("id", "text_hash", "at", F.when(F.col("id") > F.col("low"), F.expr("shiftleft(1L, windows) - 1")).otherwise(F.col("part")).alias("mask"))
     every = direct.union(late.where("mask <> 0"))
-    return every.groupBy("id", "text_hash").agg(F.collect_list(F.struct("at", "mask")).alias("m")).select("id", "text_hash", F.col("m.at").alias("ats"), F.col("m.mask").alias("masks"))
+    # a set: copies with one id (null ids are equal) name the same windows, so the list is bounded by the text
+    return every.groupBy("id", "text_hash").agg(F.collect_set(F.struct("at", "mask")).alias("m")).select("id", "text_hash", F.col("m.at").alias("ats"), F.col("m.mask").alias("masks"))
 
 
 def mark_filter(removed: DataFrame) -> np.ndarray:

@@ -122,7 +122,9 @@ def test_remove_repeats(messy, texts):
     assert Counter(map(tuple, S.remove_repeats(messy).collect())) == brute_removal(texts)
 
 
-def test_remove_repeats_of_pasted_passages(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [S.HOT, 3])  # 3: nearly all repeated minimizers go by rows
+def test_remove_repeats_of_pasted_passages(spark, monkeypatch, hot):
+    monkeypatch.setattr(S, "HOT", hot)
     monkeypatch.setattr(S, "HELD", 50)  # snippets are sent in several parts
     monkeypatch.setattr(S, "POSTED", 2)  # most places wait for the verdict
     monkeypatch.setattr(S, "BLOCK", 4000)  # and several indexes are built
@@ -138,6 +140,31 @@ def test_remove_repeats_of_pasted_passages(spark, monkeypatch):
     assert got == brute_removal(docs)
 
 
+def test_a_phrase_between_ever_different_text(spark, monkeypatch):
+    """One minimizer with a snippet for each of many documents: it makes no index, and its windows are compared by a shuffle."""
+    monkeypatch.setattr(S, "HOT", 100)
+    monkeypatch.setattr(S, "HELD", 200)
+    rnd = random.Random(14)
+    noise = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    phrase = "ALL RIGHTS RESERVED (C) EXAMPLE"  # 31 bytes: never a repeated window by itself
+    docs = [(k, noise(60) + phrase + noise(60)) for k in range(400)]
+    docs += [(1000 + k, noise(30) + t[30:110] + noise(20)) for k, (_, t) in enumerate(docs[:25])]  # and with it, repeated windows
+    docs += [(None, docs[3][1])] * 5 + [(3, docs[3][1].upper())]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    bits, slots = S.repeat_filter(table)
+    assert len(slots) >= 1 and all(bits[k >> 3] >> (7 - (k & 7)) & 1 for k in slots.tolist())
+    limit = S.verdicts
+
+    def small(fps, snippets, low):
+        assert len(snippets) < 1 or np.unique(fps, return_counts=True)[1].max() < 100, "a hot minimizer came to an index"
+        return limit(fps, snippets, low)
+
+    monkeypatch.setattr(S, "verdicts", small)
+    got = Counter(map(tuple, S.remove_repeats(table).collect()))
+    assert got == brute_removal(docs)
+    assert sum(r[2] > 0 for r in got) >= 25
+
+
 def test_run_index():
     rnd = random.Random(6)
     strings = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 75))) for _ in range(80)] + [b"a" * 70, b"a" * 70, b""]
@@ -181,8 +208,10 @@ def test_repeat_filter_holds_every_repeated_minimizer(spark, monkeypatch):
     rnd = random.Random(10)
     texts = ["".join(rnd.choice("abcdef ") for _ in range(200)) for _ in range(40)]
     texts += [t[20:150] + "!" * 60 for t in texts[:15]] + texts[:3]
-    bits = S.repeat_filter(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4))
+    monkeypatch.setattr(S, "HOT", 3)
+    bits, hot = S.repeat_filter(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4))
     seen = Counter(f for t in texts for f in {int(f) for fs, _, _ in S.minimizers(t.encode()) for f in fs})
     slot = lambda f: f >> (S.FP_BITS - S.FILTER_BITS)
     marked = lambda f: bits[slot(f) >> 3] >> (7 - (slot(f) & 7)) & 1
     assert all(marked(f) for f, n in seen.items() if n > 1) and sum(bool(marked(f)) for f, n in seen.items() if n == 1) <= 1
+    assert set(hot.tolist()) == {slot(f) for f, n in seen.items() if n >= 3} and (np.diff(hot) > 0).all()
