@@ -45,7 +45,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ignored.  Alternating large-star and small-star steps: every step is one
     map-side combined minimum per node and one equi-join (whose skewed
     partitions Spark splits), so a hub never becomes one task's list.  Links
-    stay distributed; the driver sees one count a round.
+    stay distributed; the driver sees one count a round, and the end is compared link by link.
     """
     e = edges.select("a", "b").where("a <> b")
     e = materialise(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
@@ -61,17 +61,44 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             .select("x.*").where("a <> b").distinct()
         )
         e = materialise(small, "edges")
-        # stable when every node hangs on one smaller node and no such node hangs on another
-        now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
-        if now == before:
+        # stable when every node hangs on one smaller node and no such node hangs on another: the links are those of the
+        # round before (both are sets: as many of them, and none that is new)
+        n = e.count()
+        if before and n == before[0] and e.join(before[1], ["a", "b"], "left_anti").isEmpty():
             break
-        before = now
+        before = n, e
     else:
         raise RuntimeError("components did not settle")
     stars = e.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def others(df: DataFrame, *own: str) -> list[str]:
+    """The columns of the input that stay beside columns of our own names; names differ by more than case."""
+    taken = {o.lower() for o in own}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def unused(df: DataFrame, prefix: str) -> str:
+    """A name like ``prefix`` that no column of the input begins with."""
+    while any(c.lower().startswith(prefix.lower()) for c in df.columns):
+        prefix = "_" + prefix
+    return prefix
+
+
+def numbered_columns(df: DataFrame, names: list[str]) -> list:
+    """These columns as c0, c1, ...: a Python function over batches takes no name that holds a dot or a backtick."""
+    return [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)]
+
+
+def numbered_types(df: DataFrame, names: list[str]) -> list[str]:
+    return [f"c{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(names)]
+
+
 def let(value, body):
     """``body`` of the value, evaluated once a row.
 

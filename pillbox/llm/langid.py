@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pillbox.llm.common import slices
+from pillbox.llm.common import numbered_columns, numbered_types, others, slices
 
 DIMS = 1024
 SEED = 7
@@ -120,23 +120,23 @@ def predict(docs: DataFrame, protos: dict[str, np.ndarray], text_col: str = "tex
     """
     names = list(protos)
     matrix = np.stack([v / np.linalg.norm(v) for v in protos.values()]).astype(np.float32) if names else np.zeros((0, dims), np.float32)
-    src = docs.drop("lang_pred", "score").withColumn("_h_text", F.col(text_col))
+    kept = others(docs, "lang_pred", "score")
+    src = docs.select(*numbered_columns(docs, kept), F.col(text_col).alias("text"))
 
     def run(batches):
         cache = {}
         for b in slices(batches, ROWS):
-            v = bundles(b.column("_h_text").to_pylist(), cache, dims)
+            v = bundles(b.column("text").to_pylist(), cache, dims)
             norm = np.linalg.norm(v, axis=1)
             cosines = (v @ matrix.T) / np.maximum(norm, 1e-9)[:, None] if names else np.zeros((len(v), 1), np.float32)
             best = cosines.argmax(axis=1)
             known = (norm > 0) & bool(names)
             pred = [names[k] if ok else UNKNOWN for k, ok in zip(best, known)]
             score = np.where(known, np.clip(cosines[np.arange(len(best)), best], 0, 1), 0).astype(np.float64)
-            kept = [i for i, n in enumerate(b.schema.names) if n != "_h_text"]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), pa.array(pred), pa.array(score)], names=[*(b.schema.names[i] for i in kept), "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], pa.array(pred), pa.array(score)], names=[*b.schema.names[: len(kept)], "lang_pred", "score"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_h_text"]
-    return src.mapInArrow(run, ", ".join([*fields, "lang_pred string", "score double"]))
+    fields = [*numbered_types(docs, kept), "lang_pred string", "score double"]
+    return src.mapInArrow(run, ", ".join(fields)).toDF(*kept, "lang_pred", "score")
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_fold: int = 1, dims: int = DIMS) -> DataFrame:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pillbox.llm.common import ascii_lower, let
+from pillbox.llm.common import ascii_lower, let, others, quoted, unused
 
 
 @dataclass(frozen=True)
@@ -135,5 +135,5 @@ def license_scan(docs: DataFrame, text_col: str = "text", base: tuple[Template,
     hits_of = lambda words: F.filter(F.transform(words, lambda w, i: F.when(w.isin(posted), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
     scan = let(words_of(text), lambda words: let(hits_of(words), lambda hits: let(places(words, hits), digest)))
     result = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "places")
-    keep = [f"`{c}`" for c in docs.columns if c not in (*result, "_l")]
-    return docs.withColumn("_l", scan).select(*keep, *[f"_l.{c}" for c in result])
+    found_col = unused(docs, "_l")
+    return docs.withColumn(found_col, scan).select(*map(quoted, others(docs, *result)), *[f"{found_col}.{c}" for c in result])

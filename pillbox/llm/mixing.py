@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pillbox.llm.common import materialise
+from pillbox.llm.common import materialise, others, quoted, unused
 
 NO_SOURCE = ""  # null sources are one source of their own; so is an empty name
 
@@ -82,20 +82,22 @@ def mix_sources(
 ) -> DataFrame:
     """The input columns plus copy (from 0) and shuffle_key: each document as often as its Poisson count says.
 
-    Null sources are one source.  Rows with equal ids in one source (null
-    ids among them) share one draw.  With ``weights``, unnamed sources have
+    Null sources are one source.  Rows with equal ids in one source share one
+    draw; with null ids, those with equal texts.  With ``weights``, unnamed sources have
     weight 0 and go.  The order hashes id, copy and text, so only wholly
     repeated rows tie.  Input columns named copy or shuffle_key are replaced;
     an empty table gives an empty result.
     """
-    rates = materialise(mix_rates(docs, source_col, weights, alpha, epochs).select(F.col("source").alias("_m_source"), F.col("low").alias("_m_low"), F.col("cdf").alias("_m_cdf")), "mix-rates")
-    keep = [c for c in docs.columns if c not in ("copy", "shuffle_key") and not c.startswith("_m_")]
-    named = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(source_col).cast("string"), F.lit(NO_SOURCE)).alias("_m_source"))
-    u = uniform(F.lit(seed), F.lit("count"), F.col(id_col), F.col("_m_source"))
-    counted = named.join(rates, "_m_source").withColumn("_m_u", u)
-    count = F.col("_m_low") + F.size(F.filter("_m_cdf", lambda c: c < F.col("_m_u")))
-    copies = counted.withColumn("_m_count", count).where("_m_count > 0")
-    copies = copies.select(*[f"`{c}`" for c in keep], F.explode(F.sequence(F.lit(0), F.col("_m_count") - 1)).alias("copy"))
+    m = unused(docs, "_m")
+    rates = materialise(mix_rates(docs, source_col, weights, alpha, epochs).select(F.col("source").alias(f"{m}_source"), F.col("low").alias(f"{m}_low"), F.col("cdf").alias(f"{m}_cdf")), "mix-rates")
+    keep = [quoted(c) for c in others(docs, "copy", "shuffle_key")]
+    named = docs.select(*keep, F.coalesce(F.col(source_col).cast("string"), F.lit(NO_SOURCE)).alias(f"{m}_source"))
+    own = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    u = uniform(F.lit(seed), F.lit("count"), own, F.col(f"{m}_source"))
+    counted = named.join(rates, f"{m}_source").withColumn(f"{m}_u", u)
+    count = F.col(f"{m}_low") + F.size(F.filter(f"{m}_cdf", lambda c: c < F.col(f"{m}_u")))
+    copies = counted.withColumn(f"{m}_count", count).where(F.col(f"{m}_count") > 0)
+    copies = copies.select(*keep, F.explode(F.sequence(F.lit(0), F.col(f"{m}_count") - 1)).alias("copy"))
     keyed = copies.withColumn("shuffle_key", hashed(15, F.lit(seed), F.lit("order"), F.col(id_col), F.col("copy"), F.md5(F.coalesce(F.col(text_col), F.lit("")))))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return keyed.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key")

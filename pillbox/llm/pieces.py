@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pillbox.llm.common import slices
+from pillbox.llm.common import numbered_columns, numbered_types, others, quoted, slices
 
 META = "▁"
 NONE = np.iinfo(np.int64).max
@@ -288,39 +288,46 @@ def compile_model(path: str) -> Machine:
 def encode(docs: DataFrame, machine: Machine, text_col: str = "text", ids_col: str = "ids", same_col: str | None = None) -> DataFrame:
     """The input columns plus ``ids_col``: the array of piece ids of the whole text, empty for a null or empty one.
 
+    Input columns with the name of a result column (in any case) are replaced; repeated rows are encoded alike; an empty
+    table gives an empty result.  Long texts are encoded whole, word by word; a word without a place to cut is one lattice, some
+    hundred bytes for each of its characters.
+
     With ``same_col`` the ids are decoded at once, in the same Python worker, and the column says whether that gives
     the text back (it does not where the text itself holds U+2581, the sign for a space).
     """
-    kept = [c for c in docs.columns if c not in (ids_col, same_col)]
-    src = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text_col).alias("_s_text"))
+    kept = others(docs, ids_col, same_col or ids_col)
+    src = docs.select(*numbered_columns(docs, kept), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # its size is that of the vocabulary
 
     def run(batches):
         machine = shared.value  # one object a worker, with the words of all its tasks
         for b in slices(batches, 256):
-            texts = b.column("_s_text").to_pylist()
+            texts = b.column("text").to_pylist()
             found = machine.encode_texts(texts, machine.known)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*found, np.zeros(0, np.int32)])))
-            columns, names = [*(b.column(c) for c in kept), ids], [*kept, ids_col]
+            columns = [*b.columns[: len(kept)], ids]
             if same_col:
                 columns.append(pa.array([machine.decode(x.tolist()) == (t or "") for x, t in zip(found, texts)]))
-                names.append(same_col)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_s_text"]
-    return src.mapInArrow(run, ", ".join([*fields, f"`{ids_col}` array<int>", *([f"`{same_col}` boolean"] if same_col else [])]))
+    fields = [*numbered_types(docs, kept), "ids array<int>", *(["same boolean"] if same_col else [])]
+    names = [f.split(" ", 1)[0] for f in fields]
+    return src.mapInArrow(run, ", ".join(fields)).toDF(*kept, ids_col, *([same_col] if same_col else []))
 
 
 def decode(df: DataFrame, machine: Machine, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """The input columns plus ``out_col``: the text that the ids stand for; null and empty ids give empty text."""
-    kept = [c for c in df.columns if c != out_col]
+    """The input columns plus ``out_col``: the text that the ids stand for; null and empty ids give empty text.
+
+    An input column with the name of the result (in any case) is replaced; an empty table gives an empty result.
+    """
+    kept = others(df, out_col)
     shared = df.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches):
         for b in slices(batches, 256):
-            texts = [shared.value.decode(x or ()) for x in b.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(texts, pa.string())], names=[*kept, out_col])
+            texts = [shared.value.decode(x or ()) for x in b.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], pa.array(texts, pa.string())], names=[*b.schema.names[: len(kept)], "decoded"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != out_col]
-    return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, ", ".join([*fields, f"`{out_col}` string"]))
+    src = df.select(*numbered_columns(df, kept), F.col(quoted(ids_col)).alias("ids"))
+    return src.mapInArrow(run, ", ".join([*numbered_types(df, kept), "decoded string"])).toDF(*kept, out_col)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pillbox.llm.common import let
+from pillbox.llm.common import let, others, quoted, unused
 
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -173,9 +173,10 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     verdict = let(text, lambda t: let(words_of(t), lambda w: judged(t, w, F.size(w))))
-    out = docs.withColumn("_q", verdict)
-    far = ((F.col("_q.word_chars") >= CHAR_GUARD) & (F.col("_q.char_distance") > CHAR_LIMIT)) | ((F.col("_q.n_words") >= WORD_GUARD) & (F.col("_q.word_distance") > WORD_LIMIT))
+    q = unused(docs, "_q")
+    out = docs.withColumn(q, verdict)
+    far = ((F.col(f"{q}.word_chars") >= CHAR_GUARD) & (F.col(f"{q}.char_distance") > CHAR_LIMIT)) | ((F.col(f"{q}.n_words") >= WORD_GUARD) & (F.col(f"{q}.word_distance") > WORD_LIMIT))
     far &= F.coalesce(F.col(lang_col).isin(list(refs)), F.lit(False))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance")
-    keep = [f"`{c}`" for c in docs.columns if c not in (*counts, "kept", "_q")]
-    return out.select(*keep, *[f"_q.{c}" for c in counts], (~(F.col("_q.base_failed") | far)).alias("kept"))
+    keep = [quoted(c) for c in others(docs, *counts, "kept")]
+    return out.select(*keep, *[f"{q}.{c}" for c in counts], (~(F.col(f"{q}.base_failed") | far)).alias("kept"))
