@@ -233,8 +233,9 @@ def medications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
          "l_returnflag", "l_linestatus", "l_shipdate"],
     )
-    o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
-    p = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"])
+    # casts of a dimension's values stand before the joins: once for each of its rows, not of the lines
+    o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]).withColumn("o_totalprice", C("o_totalprice").cast(D2))
+    p = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"]).withColumn("p_retailprice", C("p_retailprice").cast(D2).cast(RAW_DEC))
     x = l.join(o, l.l_orderkey == o.o_orderkey, "left").join(p, l.l_partkey == p.p_partkey, "left")
     flag = C("l_returnflag")
     out = x.select(
@@ -246,8 +247,8 @@ def medications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _id("E", C("l_orderkey")).alias("ENCOUNTER"),
         C("l_partkey").cast(S).alias("CODE"),
         C("p_name").alias("DESCRIPTION"),
-        C("p_retailprice").cast(D2).alias("BASE_COST"),
-        (C("o_totalprice").cast(D2) * C("l_discount").cast("decimal(4,2)")).alias("PAYER_COVERAGE"),
+        C("p_retailprice").alias("BASE_COST"),
+        (C("o_totalprice") * C("l_discount").cast("decimal(4,2)")).alias("PAYER_COVERAGE"),
         C("l_quantity").alias("DISPENSES"),
         C("l_extendedprice").cast(D2).alias("TOTALCOST"),
         F.when(flag == "N", F.lit("")).otherwise(flag).alias("REASONCODE"),
