@@ -3,11 +3,11 @@
 
 All three joins are equi LEFT OUTER joins on keys that are unique on the
 right side, so the fact has exactly one row per staged medication.  No
-broadcast hints: dimension sizes grow with the data, so AQE chooses a
-broadcast only when the *measured* right side is below
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` and a shuffle join
-otherwise; its skew handling splits a hot key's partition on the
-medication side.
+broadcast hints: dimension sizes grow with the data.  Spark broadcasts a side
+by its estimated size at planning (``autoBroadcastJoinThreshold``) or by its
+measured size at run time, shuffles otherwise, and splits a hot key's
+partition on the medication side; ``hotjoin`` has a join that salts hot keys
+beforehand.
 """
 
 from __future__ import annotations
