@@ -841,7 +841,7 @@ def q_join_hot_organization(spark, sf_dir):
 @register(
     "clustered_by_any_key",
     O.with_all(
-        "SELECT *, CAST(start_timestamp AS DATE) AS start_date FROM fact WHERE city = 'KENYA' "
+        "SELECT *, CAST(start_timestamp AS DATE) AS start_date FROM fact WHERE city = 'NATION_11' "
         "UNION ALL SELECT *, CAST(start_timestamp AS DATE) AS start_date FROM fact WHERE patient_id = (SELECT min(patient_id) FROM fact)",
         fact=True,
     ),
@@ -852,7 +852,7 @@ def q_clustered_by_any_key(spark, sf_dir):
     write_fact(_model(spark, sf_dir).fact, path, space_filling=True)
     fact = read_fact(spark, path)
     least = read_fact(spark, path).agg(F.min("patient_id").alias("least"))
-    return fact.where(F.col("city") == "KENYA").unionByName(fact.join(F.broadcast(least), F.col("patient_id") == F.col("least")).drop("least"))
+    return fact.where(F.col("city") == "NATION_11").unionByName(fact.join(F.broadcast(least), F.col("patient_id") == F.col("least")).drop("least"))
 
 
 @register("inputs_by_name", O.with_all("SELECT * FROM organizations_clean", tables=["organizations"]))
