@@ -12,7 +12,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,8 +32,11 @@ class ConcurrentMergeError(RuntimeError):
     """Another merge has made the next version first; nothing of this one is visible, and it can be run again."""
 
 
-def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
-    w = df.write.mode("overwrite")
+SMALL = {"compression": "zstd"}  # of tables that hold every input row, every key or scratch rows: smaller than the default, hardly slower
+
+
+def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, **options) -> None:
+    w = df.write.mode("overwrite").options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -169,17 +173,38 @@ def _big(sizes: dict[dt.date | None, int], pack_rows: int) -> list[dt.date]:
 
 
 def write_fact(
-    fact: DataFrame, path: str, cluster_cols: Sequence[str] = CLUSTER_COLS, pack_rows: int | None = None, space_filling: bool = False, **options
+    fact: DataFrame,
+    path: str,
+    cluster_cols: Sequence[str] = CLUSTER_COLS,
+    pack_rows: int | Callable[[dict[dt.date | None, int]], int] | None = None,
+    space_filling: bool = False,
+    **options,
 ) -> None:
     """Write a table partitioned by day, small days by month, clustered linearly or along a space-filling curve.
 
-    The sizes of the days are counted first; that plan reads the time column only, so Catalyst drops the joins.
-    ``options`` go to the Parquet writer.
+    The rows are written once to the shared scratch folder, which is emptied of them afterwards: the sizes of the days, the cut
+    points and the ranges of the curve come from there, so that what makes the rows runs once.
+    ``pack_rows`` may be a function of the sizes of the days; ``options`` go to the Parquet writer.
     """
-    dated = with_partition(fact)
-    days = placed(dated, _big(day_sizes(dated.select(DAY)), PACK_ROWS if pack_rows is None else pack_rows))
-    cuts = cut_points(fact, cluster_cols) if space_filling else None
-    clustered(days, cluster_cols, cuts).write.mode("overwrite").options(**options).partitionBy(PACKED, PARTITION_COL).parquet(path)
+    from pillbox.session import scratch_path
+
+    spark = fact.sparkSession
+    staged_path = scratch_path(spark, "fact-rows")
+    try:
+        dated = with_partition(fact)
+        _stage(dated, staged_path)
+        dated = spark.read.schema(dated.schema).parquet(staged_path)
+        sizes = day_sizes(dated)
+        least = pack_rows(sizes) if callable(pack_rows) else PACK_ROWS if pack_rows is None else pack_rows
+        cuts = cut_points(dated, cluster_cols) if space_filling else None
+        clustered(placed(dated, _big(sizes, least)), cluster_cols, cuts).write.mode("overwrite").options(**options).partitionBy(PACKED, PARTITION_COL).parquet(path)
+    finally:
+        _delete(spark, staged_path)
+
+
+def _stage(rows: DataFrame, path: str) -> None:
+    """Rows that are read again a few times and then deleted."""
+    overwrite(rows, path, **SMALL)
 
 
 def partition_range(first: Column | None, last: Column | None) -> Column:
@@ -318,6 +343,25 @@ def _publish(spark: SparkSession, path: str, version: int, rows: list[tuple], ta
         raise
 
 
+def _rows_of(spark: SparkSession, path: str, schema: StructType, parts: set[tuple]) -> DataFrame | None:
+    """The stored rows of these (packed, partition, commit), none if there are no such."""
+    if not parts:
+        return None
+    live = spark.createDataFrame(sorted(parts, key=str), f"{PACKED} boolean, {PARTITION_COL} date, {COMMIT_COL} string")
+    stored = _commits(spark, path, schema).where(F.col(COMMIT_COL).isin(sorted({c for _, _, c in parts})))
+    return _live(stored, live, (PACKED, PARTITION_COL)).drop(PACKED, PARTITION_COL, COMMIT_COL)
+
+
+def _has_duplicates(rows: DataFrame, key: str) -> bool:
+    """Does a key come twice?  Hashes are counted, a fraction of the keys' bytes; only keys whose hash comes twice are compared."""
+    h = F.xxhash64(key)
+    twice = rows.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_h")
+    if not twice.limit(1).count():
+        return False
+    some = rows.select(key, h.alias("_h")).join(twice, "_h", "left_semi")
+    return some.groupBy(key).count().filter(F.col("count") > 1).limit(1).count() > 0
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -350,9 +394,9 @@ def upsert(
     root, commit = path.rstrip("/"), f"{new}-{uuid.uuid4().hex[:12]}"
     staged_path = scratch_path(spark, "upsert-batch")
     try:
-        with_partition(updates).write.mode("overwrite").parquet(staged_path)
+        _stage(with_partition(updates), staged_path)
         batch = spark.read.schema(with_partition(updates).schema).parquet(staged_path)
-        if batch.groupBy(key).count().filter(F.col("count") > 1).limit(1).count():
+        if _has_duplicates(batch, key):
             raise ValueError(f"duplicate {key} values in the update set")
         sizes = day_sizes(batch)
         if not known:
@@ -370,19 +414,25 @@ def upsert(
             days = [r for r in manifest if r[BUCKET_COL] is None]
             # the partitions of the touched days, and the shared ones of their months, which a day may leave or enter
             anew = {(r[PACKED], r[PARTITION_COL], r[COMMIT_COL]) for r in days if r[DAY] in touched_days or (r[PACKED] and r[PARTITION_COL] in months)}
+            before, gone = dict.fromkeys(anew, 0), dict.fromkeys(anew, 0)
             for r in days:
-                if (r[PACKED], r[PARTITION_COL], r[COMMIT_COL]) in anew:
+                part = (r[PACKED], r[PARTITION_COL], r[COMMIT_COL])
+                if part in anew:
+                    before[part] += r.n_rows
+                    gone[part] += leaving.get(r[DAY], 0)
                     sizes[r[DAY]] = sizes.get(r[DAY], 0) + r.n_rows - leaving.get(r[DAY], 0)
                 else:
                     kept_manifest.append(tuple(r))
             kept_manifest += [tuple(r) for r in manifest if r[BUCKET_COL] is not None and r[BUCKET_COL] not in touched_buckets]
-            parts = spark.createDataFrame([(p, d, c) for p, d, c in anew], f"{PACKED} boolean, {PARTITION_COL} date, {COMMIT_COL} string")
-            old = _live(_commits(spark, path, table["schema"]), parts, (PACKED, PARTITION_COL)).drop(PACKED, PARTITION_COL, COMMIT_COL)
-            rows = old.join(batch.select(key), key, "left_anti").unionByName(batch)
+            # the counts are exact: a partition that all rows leave is not read, one that no row leaves needs no join
+            whole = _rows_of(spark, path, table["schema"], {p for p in anew if not gone[p]})
+            part_of = _rows_of(spark, path, table["schema"], {p for p in anew if 0 < gone[p] < before[p]})
+            stay = [whole, None if part_of is None else part_of.join(batch.select(key), key, "left_anti")]
+            rows = reduce(DataFrame.unionByName, [df for df in stay if df is not None], batch)
             keys = stored_keys.join(batch.select(key), key, "left_anti").unionByName(batch_keys)
         big = _big(sizes, pack_rows)
-        clustered(placed(rows, big), cluster_cols).write.partitionBy(PACKED, PARTITION_COL).parquet(f"{root}/{DATA}/{COMMIT_COL}={commit}")
-        keys.hint("rebalance", BUCKET_COL).sortWithinPartitions(BUCKET_COL, key).write.partitionBy(BUCKET_COL).parquet(f"{root}/{KEYS}/{COMMIT_COL}={commit}")
+        clustered(placed(rows, big), cluster_cols).write.options(**SMALL).partitionBy(PACKED, PARTITION_COL).parquet(f"{root}/{DATA}/{COMMIT_COL}={commit}")
+        keys.hint("rebalance", BUCKET_COL).sortWithinPartitions(BUCKET_COL, key).write.options(**SMALL).partitionBy(BUCKET_COL).parquet(f"{root}/{KEYS}/{COMMIT_COL}={commit}")
         if not known:
             touched_buckets = sorted(r[0] for r in batch_keys.select(BUCKET_COL).distinct().collect())
         large = set(big)

@@ -26,19 +26,18 @@ from pillbox.operators.sinks import (
     DAY,
     PACKED,
     PARTITION_COL,
+    SMALL,
     SchemaChangeError,
     append,
     changed_rows,
     check_schema,
     copy_table,
-    day_sizes,
     land,
     overwrite,
     read_merged,
     schema_diff_frame,
     upsert,
     with_docs,
-    with_partition,
     write_fact,
 )
 from pillbox.operators.stage import project, stage
@@ -688,8 +687,12 @@ def q_packed_days(spark, sf_dir):
     """Days of at least the mean size in partitions of their own, smaller ones by month; a range that begins and ends within months."""
     fact = _model(spark, sf_dir).fact
     path = scratch_path(spark, "fact-packed")
-    sizes = {d: n for d, n in day_sizes(with_partition(fact).select(DAY)).items() if d is not None}
-    write_fact(fact, path, pack_rows=-(-sum(sizes.values()) // max(1, len(sizes))))
+
+    def mean_rows(sizes):
+        known = [n for d, n in sizes.items() if d is not None]
+        return -(-sum(known) // max(1, len(known)))
+
+    write_fact(fact, path, pack_rows=mean_rows)
     own = spark.read.parquet(path).where(~F.col(PACKED)).select(F.col(PARTITION_COL).alias("own_day")).distinct()
     days = read_fact(spark, path, "1996-02-10", "1996-11-20").groupBy(PARTITION_COL).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("total_cost").cast("decimal(38,9)").alias("total_cost_sum")
