@@ -583,11 +583,10 @@ UPSERT_CUTOFF = "1997-01-01"  # rows starting on/after it are re-delivered, one
 def q_upsert_merge(spark, sf_dir):
     """First load: the whole fact.  Second load: every row from the cutoff
     on, revised and moved one day later; matched keys are replaced (and
-    leave their old day), the rest is kept."""
-    fact = _model(spark, sf_dir).fact
+    leave their old day), the rest is kept.  The revised rows come from the stored table, so the fact is made once."""
     path = scratch_path(spark, "fact-upsert")
-    upsert(spark, path, fact)
-    late = fact.filter(F.col("start_timestamp") >= F.lit(UPSERT_CUTOFF).cast("timestamp")).withColumns(
+    upsert(spark, path, _model(spark, sf_dir).fact)
+    late = read_fact(spark, path, UPSERT_CUTOFF).drop(PARTITION_COL).withColumns(
         {
             "start_timestamp": F.col("start_timestamp") + F.expr("INTERVAL 1 DAY"),
             "reason_description": F.lit("revised"),
