@@ -629,10 +629,11 @@ def q_upsert_small_batch(spark, sf_dir):
     ),
 )
 def q_upsert_null_day(spark, sf_dir):
-    """A first batch of rows without a day, then all others."""
-    fact = _model(spark, sf_dir).fact
+    """A first batch of rows without a day, then all others, both from the stored fact."""
+    stored, path = scratch_path(spark, "fact-rows"), scratch_path(spark, "fact-null-day")
+    overwrite(_model(spark, sf_dir).fact, stored, **SMALL)
+    fact = read_table(spark, stored)
     early = F.col("medication_code") < "5"
-    path = scratch_path(spark, "fact-null-day")
     upsert(spark, path, fact.filter(early).withColumn("start_timestamp", F.lit(None).cast("timestamp")))
     upsert(spark, path, fact.filter(~early))
     return read_merged(spark, path)
