@@ -527,10 +527,15 @@ def q_pipeline_rejects(spark, sf_dir):
     clean_tables(spark, raw_tables(spark, sf_dir), out)
     parts = []
     for t in TABLES:
-        kept = read_rejects(spark, f"{out}/{t}").drop(WRITTEN_COUNT).distinct()
-        texts = [F.coalesce(F.col(f.name), F.lit("~")) for f in SPECS[t].schema.fields if f.dataType.simpleString() == "string"]
-        digest = F.md5(F.concat_ws("|", *texts)).alias("texts_md5")
-        parts.append(kept.groupBy(F.lit(t).alias("table_name"), "rule", digest).agg(F.count(F.lit(1)).alias("n_rows")))
+        kept = read_rejects(spark, f"{out}/{t}").drop(WRITTEN_COUNT)
+        texts = F.concat_ws("|", *[F.coalesce(F.col(f.name), F.lit("~")) for f in SPECS[t].schema.fields if f.dataType.simpleString() == "string"])
+        if SPECS[t].split_rules()[1] is None:
+            # rows of equal texts meet once: distinct rows and their groups are then both made where the rows lie
+            kept = kept.withColumn("_at", F.pmod(F.xxhash64(texts), F.lit(1 << 30)).cast("int")).repartition("_at").distinct()
+        else:
+            kept = kept.withColumn("_at", F.lit(None).cast("int"))  # the outcome table has equal rows of these tables once
+        counted = kept.groupBy("_at", "rule", F.unhex(F.md5(texts)).alias("md5")).agg(F.count(F.lit(1)).alias("n_rows"))
+        parts.append(counted.select(F.lit(t).alias("table_name"), "rule", F.lower(F.hex("md5")).alias("texts_md5"), "n_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 
