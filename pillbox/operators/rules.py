@@ -18,7 +18,7 @@ source.
 
 A result reads its input once: ``clean`` by one aggregation on the key,
 ``audit`` and ``summary`` by one on (key, status), ``rejects`` by one on
-the whole row, whose result is joined with its survivors.  They are
+the whole row, in which the rows of a key lie together.  They are
 separate plans; a run that wants all of them stores ``resolved`` and derives
 them from it (``outcome_table``).
 """
@@ -28,8 +28,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pillbox.functions.strings import normalise_strings
 from pillbox.operators.dedupe import dedupe
@@ -37,6 +39,7 @@ from pillbox.plans.spec import Rule, TableSpec
 
 STATUS = "_pb_status"
 ONCE = "_pb_once"
+PLACE, PLACES = "_pb_place", 1 << 30  # where rows that must meet do
 OUTCOME = "outcome"
 KEEP = "keep"
 NULL_STEP = "required_not_null"
@@ -83,6 +86,19 @@ def _status(spec: TableSpec, pre: list[Rule]) -> Column:
     return out
 
 
+def _on_numbers(df: DataFrame, spec: TableSpec, pre: list[Rule]) -> list[Column]:
+    """The required fields and rules that name no text column, which would have to be trimmed once more to be looked at."""
+    numbers = df.select(*[f.name for f in df.schema.fields if not isinstance(f.dataType, StringType)])
+    out = [F.col(c).isNotNull() for c in spec.required if c in numbers.columns]
+    for rule in pre:
+        try:
+            numbers.select(rule.keep())
+        except AnalysisException:
+            continue
+        out.append(rule.keep())
+    return out
+
+
 def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool = False) -> Cleaned:
     """Clean ``df`` (raw columns of ``spec``).
 
@@ -97,9 +113,14 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
     # The partition number is not a function of the row, so Catalyst does not push a filter on it below the projection
     # that makes it.  All columns are thus worked out once a row, and the rules read them; pushed further down, each rule
     # would repeat the making of every column it names.
-    tagged = base.withColumn(ONCE, F.spark_partition_id()).withColumn(STATUS, _status(spec, pre))
+    def tag(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(ONCE, F.spark_partition_id()).withColumn(STATUS, _status(spec, pre))
+
+    tagged = tag(base)
     passed = status.isNull() & (F.col(ONCE) >= 0)
-    eligible = tagged.filter(passed).drop(STATUS, ONCE)
+    # Where only clean rows go on, what the rules say of numbers and times is a filter of its own as well, which Catalyst
+    # takes apart and pushes below the joins that made the input: rejected rows are then not shuffled there.
+    eligible = tag(reduce(DataFrame.filter, _on_numbers(base, spec, pre), base)).filter(passed).drop(STATUS, ONCE)
     if dd is None:
         # every row once: outcome of the post rules for rows that passed so far
         per_row = tagged.withColumn("_n", F.lit(1)).withColumn(
@@ -125,10 +146,7 @@ def apply_rules(df: DataFrame, spec: TableSpec, level: int = 2, prepared: bool =
         # and drop joins whose dimension columns a query never uses.  Each
         # query runs one of the two aggregations, never both.
         survivors = dedupe(eligible, key)
-    if dd is None:
-        outcomes = per_row.filter(passed).select(*cols, OUTCOME)
-    else:
-        outcomes = survivors.withColumn(OUTCOME, F.coalesce(first_failure(post), F.lit(KEEP)))
+    outcomes = survivors.withColumn(OUTCOME, F.coalesce(first_failure(post), F.lit(KEEP)))
     clean = outcomes.filter(F.col(OUTCOME) == KEEP).drop(OUTCOME)
     result = Cleaned(clean=clean, outcomes=outcomes, tagged=tagged, per_row=per_row)
     if level >= 1:
@@ -144,25 +162,24 @@ def _resolve(tagged: DataFrame, cols: list[str], dd: Rule | None, post: list[Rul
     """Every input row with its outcome; equal rows of a table with a dedupe rule are one row with their number.
 
     Of equal rows one may survive, and the copies show nothing that it does
-    not, so rows are first grouped whole (first shuffle).  The smallest
-    row of each key comes from the grouped rows, and goes back to
-    them by key (second shuffle): what is not the survivor fell to the dedupe rule.
+    not, so rows are grouped whole; what is not the smallest row of its key fell to the dedupe rule.  Rows move once: the
+    place of a row that may survive is a hash of its key, that of any other a hash of the whole row (nulls in the key do not
+    meet in one task), and both groupings keep to these places.  A window's rows of one key spill if they are many.
     """
     status = F.col(STATUS)
     passed = F.coalesce(first_failure(post), F.lit(KEEP))
     if dd is None:
         return tagged.select(*cols, F.coalesce(status, passed).alias(OUTCOME), F.lit(1).cast("bigint").alias(WRITTEN_COUNT))
     key = list(dd.unique_key)
-    rest = F.struct(*[F.col(c) for c in cols if c not in key])
-    whole = tagged.groupBy(*cols, STATUS).agg(F.count(F.lit(1)).alias(WRITTEN_COUNT))
-    # no filter and no column less than ``whole`` has: both uses of it are then the same plan, and Spark runs it once
-    best = whole.groupBy(*key).agg(
-        F.min(F.when(status.isNull(), rest)).alias("_best"), F.sum(F.when(status.isNull(), F.col(WRITTEN_COUNT))).alias("_of_key")
-    )
-    joined = whole.join(best, key, "left")
-    survives = (F.col("_of_key") == F.col(WRITTEN_COUNT)) | rest.eqNullSafe(F.col("_best"))  # the only row of its key, or the smallest
-    outcome = F.coalesce(status, F.when(survives, passed).otherwise(F.lit(dd.name)))
-    return joined.select(*cols, outcome.alias(OUTCOME), WRITTEN_COUNT)
+    rest = [c for c in cols if c not in key]
+    place = F.when(status.isNull(), F.xxhash64(*key)).otherwise(F.xxhash64(*cols))
+    placed = tagged.withColumn(PLACE, F.pmod(place, F.lit(PLACES)).cast("int")).repartition(PLACE)
+    whole = placed.groupBy(PLACE, *cols, STATUS).agg(F.count(F.lit(1)).alias(WRITTEN_COUNT))
+    # rows with a status sort behind the others of their key and place, and never come first
+    order = [status.asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in rest]]
+    first = F.row_number().over(Window.partitionBy(PLACE, *key).orderBy(*order)) == 1
+    outcome = F.coalesce(status, F.when(first, passed).otherwise(F.lit(dd.name)))
+    return whole.select(*cols, outcome.alias(OUTCOME), WRITTEN_COUNT)
 
 
 def _one_pass_counts(spec: TableSpec, per_row: DataFrame) -> DataFrame:
@@ -253,8 +270,6 @@ def _audit_summary(spec: TableSpec, wide: DataFrame) -> tuple[DataFrame, DataFra
 
 def rejects_sample(cleaned: Cleaned, n: int = 5) -> DataFrame:
     """First ``n`` rejected rows per rule (the level-2 display), ordered."""
-    from pyspark.sql import Window
-
     cols = [c for c in cleaned.rejects.columns if c != "rule"]
     w = Window.partitionBy("rule").orderBy(*[F.col(c).asc_nulls_first() for c in cols])
     return cleaned.rejects.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")

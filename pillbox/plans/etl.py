@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pillbox.operators.fact import FACT_DOC, build_fact, enc_org, fact_docs
 from pillbox.operators.quality import run_tests
 from pillbox.operators.rules import OUTCOME, Cleaned, apply_rules, audit_from_outcome_table, outcome_table
-from pillbox.operators.sinks import overwrite, upsert, with_docs
+from pillbox.operators.sinks import SMALL, overwrite, upsert, with_docs
 from pillbox.operators.stage import cleaned_key_unique, stage
 from pillbox.plans.specs import SPECS
 from pillbox.session import own_session
@@ -75,7 +75,7 @@ def testdata_model(spark: SparkSession, sf_dir: str, test_run: bool = False, lev
     plans = _MODELS.setdefault(spark, {})
     key, state = (sf_dir, test_run, level), _state(spark, sf_dir)
     if key not in plans or plans[key][0] != state:
-        plans[key] = state, build_model(raw_tables(spark, sf_dir), test_run=test_run, level=level)
+        plans[key] = state, build_model(raw_tables(spark, sf_dir, part_first=True), test_run=test_run, level=level)
     return plans[key][1]
 
 
@@ -83,7 +83,7 @@ def clean_to(spark: SparkSession, raw: DataFrame, table: str, path: str) -> tupl
     """Write one cleaned outcome table; return its (audit, summary)."""
     spec = SPECS[table]
     cleaned = apply_rules(raw, spec, level=0)
-    overwrite(outcome_table(cleaned), path, partition_by=[OUTCOME])
+    overwrite(outcome_table(cleaned), path, partition_by=[OUTCOME], **SMALL)
     return audit_from_outcome_table(spec, spark.read.parquet(path))
 
 

@@ -227,21 +227,29 @@ def encounters_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(out, "encounters", C("_k"))
 
 
-def medications_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def medications_raw(spark: SparkSession, sf_dir: str, part_first: bool = False) -> DataFrame:
+    """The same rows in both orders of the joins.
+
+    Where only rows that meet the rules go on, the part first: what the rules say of price and quantity then holds before
+    the lines are shuffled again.  Where every row goes on, the orders first: their columns are narrower than the part's.
+    """
     l = _read(
         spark, sf_dir, "lineitem",
         ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount",
          "l_returnflag", "l_linestatus", "l_shipdate"],
     )
+    # before the joins, for what the lines take through their shuffles
+    l = l.withColumn("stop", F.when(C("l_linestatus") == "O", F.lit(None)).otherwise(C("l_shipdate"))).drop("l_linestatus", "l_shipdate")
     # casts of a dimension's values stand before the joins: once for each of its rows, not of the lines
     o = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]).withColumn("o_totalprice", C("o_totalprice").cast(D2))
     p = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"]).withColumn("p_retailprice", C("p_retailprice").cast(D2).cast(RAW_DEC))
-    x = l.join(o, l.l_orderkey == o.o_orderkey, "left").join(p, l.l_partkey == p.p_partkey, "left")
+    by_order, by_part = (o, l.l_orderkey == o.o_orderkey, "left"), (p, l.l_partkey == p.p_partkey, "left")
+    x = l.join(*by_part).join(*by_order) if part_first else l.join(*by_order).join(*by_part)
     flag = C("l_returnflag")
     out = x.select(
         C("l_orderkey").alias("_k"),
         C("o_orderdate").alias("START"),
-        F.when(C("l_linestatus") == "O", F.lit(None)).otherwise(C("l_shipdate")).alias("STOP"),
+        C("stop").alias("STOP"),
         _id("P", C("o_custkey")).alias("PATIENT"),
         _id("Y", C("o_custkey") % 10).alias("PAYER"),
         _id("E", C("l_orderkey")).alias("ENCOUNTER"),
@@ -295,5 +303,5 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return BUILDERS[table](spark, sf_dir)
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: raw_table(spark, sf_dir, t) for t in BUILDERS}
+def raw_tables(spark: SparkSession, sf_dir: str, part_first: bool = False) -> dict[str, DataFrame]:
+    return {t: medications_raw(spark, sf_dir, part_first) if t == "medications" else raw_table(spark, sf_dir, t) for t in BUILDERS}
