@@ -23,7 +23,7 @@ import base64
 import math
 from array import array
 from collections import Counter
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -36,13 +36,14 @@ from pillbox.llm.common import materialise, slices
 VOCAB, CLASS = 4096, 64  # subwords; members of an output class
 CLASSES = VOCAB // CLASS + 1  # the last class holds the end of a text
 END, START = VOCAB, VOCAB + 1
+LAST_OF_TEXT, FIRST = (array("h", [i]).tobytes() for i in (END, START))  # as in Paths
 BLOCK = 16
 CONTEXT = 2 * BLOCK
 WIDTH = 16
 FREQUENT = 1 << 18  # words with counts sent to all tasks
 RUN = 32  # words
 ROUNDS, STEP_TOKENS, RATE = 2, 1024, 0.01  # the rounds share the runs of words among them: one epoch
-SCORE_BLOCKS = 1024
+SCORE_BLOCKS = 256
 TOP = 80.0  # logits are cut here, in training as in scoring, so that no exponential overflows
 SEED = 11
 LAST = (1 << 63) - 1
@@ -93,7 +94,13 @@ class Subwords:
             return cls([(a, int(b)) for a, b in pairs if int(b) < VOCAB])
 
     def __reduce__(self):
-        return Subwords, (self.lines,)
+        return known_subwords, (tuple(self.lines),)
+
+
+@lru_cache(maxsize=1)
+def known_subwords(lines: tuple[tuple[str, int], ...]) -> Subwords:
+    """The same for all passes of a Python worker: paths found in one serve the next."""
+    return Subwords(list(lines))
 
 
 Pair = tuple[np.ndarray, np.ndarray]
@@ -108,7 +115,7 @@ def blocks_of(pairs: list[Pair]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     """(inputs, targets, first, number): the blocks of all pairs; targets are padded with -1, first marks a pair's start."""
     counts = np.array([(len(t) + BLOCK - 1) // BLOCK for _, t in pairs], np.int64)
     total = int(counts.sum())
-    x, y = np.zeros((total, BLOCK), np.int32), np.full((total, BLOCK), -1, np.int32)
+    x, y = np.zeros((total, BLOCK), np.intp), np.full((total, BLOCK), -1, np.intp)
     fx, fy = x.ravel(), y.ravel()
     first = np.zeros(total, bool)
     first[np.cumsum(counts) - counts] = True
@@ -144,8 +151,8 @@ def initial(unigrams: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def attend(w, x, first):
-    """(queries, keys, values, unnormalised weights, their sums, hidden state); keys and values of a block and the one before."""
-    z = w["table"][np.concatenate([x[-1:], x])]
+    """(queries, keys, values, unnormalised weights, their sums, mixed values, hidden state); keys and values of a block and the one before."""
+    z = w["table"].take(np.concatenate([x[-1:], x]), axis=0)
     step, row, item = z.strides
     pairs = (len(x), CONTEXT, WIDTH)  # block b with block b + 1: overlapping views, no copy
     k2, v2 = (np.lib.stride_tricks.as_strided(z[0, 0, i * WIDTH :], pairs, (step, row, item), writeable=False) for i in (1, 2))
@@ -155,124 +162,173 @@ def attend(w, x, first):
     s[first] += _mask_first
     np.exp(np.minimum(s, TOP, out=s), out=s)
     total = (s.reshape(-1, CONTEXT) @ np.ones(CONTEXT, s.dtype)).reshape(len(x), BLOCK, 1)  # a token sees itself: not 0
-    h = np.matmul(s, v2)
-    h /= total
-    h += z[1:, :, 3 * WIDTH :]
-    return q, k2, v2, s, total, np.maximum(h, 0, out=h)
+    mixed = np.matmul(s, v2)
+    mixed /= total
+    h = mixed + z[1:, :, 3 * WIDTH :]
+    return q, k2, v2, s, total, mixed, np.maximum(h, 0, out=h)
 
 
-def log_softmax(z):
-    np.minimum(z, TOP, out=z)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def with_biases(w) -> Pair:
+    """Weights of the classes and of the members, their biases behind them: they ride in the products."""
+    return np.vstack([w["to_class"], w["class_bias"]]), np.concatenate([w["to_member"], w["member_bias"][:, None, :]], axis=1)
+
 
+def by_class(h, y):
+    """The real targets, class by class.
 
-def picked(z, k):
-    """log softmax of the rows at the columns k; overwrites z."""
+    (their places, their hidden states with a one behind, class of each, member of each, (class, from, to) of every
+    class present.)
+    """
+    y = y.ravel()
+    real = np.flatnonzero(y >= 0)
+    order = real[np.argsort((y[real] // CLASS).astype(np.int16), kind="stable")]
+    y = y[order]
+    groups = y // CLASS
+    hidden = np.ones((len(order), WIDTH + 1), h.dtype)
+    hidden[:, :WIDTH] = h.reshape(-1, WIDTH).take(order, axis=0)
+    bounds = np.searchsorted(groups, np.arange(CLASSES + 1)).tolist()
+    spans = [(c, i, j) for c, (i, j) in enumerate(zip(bounds, bounds[1:])) if i < j]
+    return order, hidden, groups, y - groups * CLASS, spans
+
+
+def exps(z, k):
+    """(logits at the columns k, sums of a row's exponentials); z becomes the exponentials."""
     np.minimum(z, TOP, out=z)
     own = z[np.arange(len(z)), k]
     np.exp(z, out=z)
-    return own - np.log(z @ np.ones(z.shape[1], z.dtype))
+    return own, z @ np.ones(z.shape[1], z.dtype)
+
+
+def member_logits(hidden, to_member, spans):
+    z = np.empty((len(hidden), CLASS), hidden.dtype)
+    for c, i, j in spans:
+        np.dot(hidden[i:j], to_member[c], out=z[i:j])
+    return z
 
 
 def score_blocks(w, x, y, first) -> np.ndarray:
     """Natural-log probability of every target; 0 for padding."""
-    h = attend(w, x, first)[-1].reshape(-1, WIDTH)
-    y = y.ravel()
-    out = np.zeros(len(y), np.float64)
-    real = np.flatnonzero(y >= 0)
-    order = real[np.argsort((y[real] // CLASS).astype(np.int16), kind="stable")]
-    y = y[order]
-    with_one = np.ones((len(order), WIDTH + 1), h.dtype)  # the biases ride in the products
-    with_one[:, :WIDTH] = h[order]
-    to_class = np.vstack([w["to_class"], w["class_bias"]])
-    to_member = np.concatenate([w["to_member"], w["member_bias"][:, None, :]], axis=1)
-    groups = y // CLASS
-    scores = picked(with_one @ to_class, groups)
-    bounds = np.searchsorted(groups, np.arange(CLASSES + 1))
-    for g in np.flatnonzero(np.diff(bounds)):
-        a, b = bounds[g], bounds[g + 1]
-        scores[a:b] += picked(with_one[a:b] @ to_member[g], y[a:b] - g * CLASS)
-    out[order] = scores
+    order, hidden, groups, members, spans = by_class(attend(w, x, first)[-1], y)
+    to_class, to_member = with_biases(w)
+    own, sums = exps(hidden @ to_class, groups)
+    own_member, member_sums = exps(member_logits(hidden, to_member, spans), members)
+    out = np.zeros(y.size, np.float64)
+    out[order] = own - np.log(sums) + (own_member - np.log(member_sums))
     return out
 
 
+def row_gradients(w, to_class, to_member, x, y, first):
+    """(gradients of the table's rows in use, their ids, gradients of near, to_class and to_member with biases, loss), as means."""
+    q, k2, v2, s, total, mixed, h = attend(w, x, first)
+    order, hidden, groups, members, spans = by_class(h, y)
+    n, at = max(1, len(order)), np.arange(len(order))
+    # both softmaxes stay unnormalised: what their sums divide is the narrow side of each product
+    e = hidden @ to_class
+    own, sums = exps(e, groups)
+    loss = np.log(sums).sum(dtype=float) - own.sum(dtype=float)
+    e[at, groups] -= sums
+    part = (1 / (sums * n)).astype(h.dtype)[:, None]
+    g_class = (hidden * part).T @ e
+    dh = e @ to_class[:WIDTH].T
+    dh *= part
+    e = member_logits(hidden, to_member, spans)
+    own, sums = exps(e, members)
+    loss += np.log(sums).sum(dtype=float) - own.sum(dtype=float)
+    e[at, members] -= sums
+    part = (1 / (sums * n)).astype(h.dtype)[:, None]
+    hidden *= part
+    g_member, dm = np.zeros_like(to_member), np.empty_like(dh)
+    for c, i, j in spans:
+        np.dot(hidden[i:j].T, e[i:j], out=g_member[c])
+        np.dot(e[i:j], to_member[c, :WIDTH].T, out=dm[i:j])
+    dm *= part
+    dh += dm
+    dz = np.zeros_like(h)
+    dz.reshape(-1, WIDTH)[order] = dh
+    dz *= h > 0
+    dt = dz / total
+    ds = np.matmul(dt, v2.transpose(0, 2, 1))
+    ds -= np.einsum("btw,btw->bt", dt, mixed)[:, :, None]
+    ds *= s
+    near = np.bincount(_distance.ravel(), weights=ds.sum(axis=0).ravel(), minlength=CONTEXT).astype(h.dtype)
+    d2 = np.empty((len(x), CONTEXT, 2 * WIDTH), h.dtype)  # of keys and values
+    np.matmul(ds.transpose(0, 2, 1), q, out=d2[:, :, :WIDTH])  # q is scaled already
+    np.matmul(s.transpose(0, 2, 1), dt, out=d2[:, :, WIDTH:])
+    rows = np.empty((len(x), BLOCK, 4 * WIDTH), h.dtype)
+    np.matmul(ds, k2, out=rows[:, :, :WIDTH])
+    np.add(d2[:-1, BLOCK:], d2[1:, :BLOCK], out=rows[:-1, :, WIDTH : 3 * WIDTH])
+    np.add(d2[-1, BLOCK:], d2[0, :BLOCK], out=rows[-1, :, WIDTH : 3 * WIDTH])
+    rows[:, :, 3 * WIDTH :] = dz
+    ids = x.ravel()
+    order = np.argsort(ids.astype(np.int16), kind="stable")
+    ids = ids[order]
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    rows = rows.reshape(-1, 4 * WIDTH).take(order, axis=0)
+    twos = rows.view(np.result_type(rows, np.complex64))  # numpy adds up half as many numbers of two parts in under half the time
+    table = np.add.reduceat(twos, starts).view(rows.dtype)
+    table[:, :WIDTH] *= np.float32(WIDTH**-0.5)
+    return table, ids[starts], (near, g_class, g_member), loss / n
+
+
 def gradients(w, x, y, first) -> tuple[dict[str, np.ndarray], float]:
     """Mean gradients of the negative log likelihood of the targets, and its mean."""
-    q, k2, v2, a, total, h3 = attend(w, x, first)
-    a /= total
-    h, y = h3.reshape(-1, WIDTH), y.ravel()
-    real = np.flatnonzero(y >= 0)
-    hr, yr = h[real], y[real]
-    groups, n = yr // CLASS, len(real)
-    lc = log_softmax(hr @ w["to_class"] + w["class_bias"])
-    loss = -lc[np.arange(n), groups].sum()
-    d = np.exp(lc)
-    d[np.arange(n), groups] -= 1
-    g = {"to_class": hr.T @ d, "class_bias": d.sum(axis=0), "to_member": np.zeros_like(w["to_member"]), "member_bias": np.zeros_like(w["member_bias"])}
-    dh = d @ w["to_class"].T
-    for c in np.unique(groups):
-        idx = np.flatnonzero(groups == c)
-        lw = log_softmax(hr[idx] @ w["to_member"][c] + w["member_bias"][c])
-        m = yr[idx] - c * CLASS
-        loss -= lw[np.arange(len(idx)), m].sum()
-        d = np.exp(lw)
-        d[np.arange(len(idx)), m] -= 1
-        g["to_member"][c], g["member_bias"][c] = hr[idx].T @ d, d.sum(axis=0)
-        dh[idx] += d @ w["to_member"][c].T
-    full = np.zeros_like(h)
-    full[real] = dh
-    full *= h > 0
-    dz = full.reshape(h3.shape)
-    da = np.matmul(dz, v2.transpose(0, 2, 1))
-    dv2 = np.matmul(a.transpose(0, 2, 1), dz)
-    ds = a * (da - (a * da).sum(axis=2, keepdims=True))
-    g["near"] = np.bincount(_distance.ravel(), weights=ds.sum(axis=0).ravel(), minlength=CONTEXT).astype(np.float32)
-    dk2 = np.matmul(ds.transpose(0, 2, 1), q)  # q is scaled already
-    dq = np.matmul(ds, k2) * np.float32(WIDTH**-0.5)
-    back = lambda t: t[:, BLOCK:] + np.concatenate([t[1:, :BLOCK], t[:1, :BLOCK]])
-    rows = np.concatenate([dq, back(dk2), back(dv2), dz], axis=2).reshape(-1, 4 * WIDTH)
-    flat = x.ravel()
-    order = np.argsort(flat, kind="stable")
-    ids, starts = np.unique(flat[order], return_index=True)
-    g["table"] = np.zeros_like(w["table"])
-    g["table"][ids] = np.add.reduceat(rows[order], starts)
-    return {k: v / np.float32(max(1, n)) for k, v in g.items()}, loss / max(1, n)
+    rows, ids, (near, g_class, g_member), loss = row_gradients(w, *with_biases(w), x, y, first)
+    table = np.zeros_like(w["table"])
+    table[ids] = rows
+    return {"table": table, **parts(near, g_class, g_member)}, loss
+
+
+def parts(near, to_class, to_member) -> dict[str, np.ndarray]:
+    return {"near": near, "to_class": to_class[:WIDTH], "class_bias": to_class[WIDTH], "to_member": to_member[:, :WIDTH], "member_bias": to_member[:, WIDTH]}
 
 
 class Adam:
-    """Adam; of the table only the rows of the tokens at hand move."""
+    """Adam; of the table only the rows of the tokens at hand move.  All other weights lie in one array and move together."""
 
     def __init__(self, w):
-        self.w, self.t = w, 0
-        self.m, self.v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
+        dense = w["near"], *with_biases(w)
+        values = np.concatenate([a.ravel() for a in dense])
+        near, to_class, to_member = (v.reshape(a.shape) for v, a in zip(np.split(values, np.cumsum([a.size for a in dense])[:-1]), dense))
+        self.w, self.joined, self.t = {"table": w["table"], **parts(near, to_class, to_member)}, (to_class, to_member), 0
+        self.dense, self.table = ([a, np.zeros_like(a), np.zeros_like(a)] for a in (values, w["table"]))  # values, means, squares
 
     def step(self, x, y, first) -> float:
-        g, loss = gradients(self.w, x, y, first)
+        table, ids, dense, loss = row_gradients(self.w, *self.joined, x, y, first)
         self.t += 1
-        rate, scale = np.float32(RATE / (1 - 0.9**self.t)), np.float32(1 - 0.99**self.t)
-        rows = np.unique(x)
-        for k, d in g.items():
-            at = rows if k == "table" else ...
-            d = d[at]
-            m = self.m[k][at] + np.float32(0.1) * (d - self.m[k][at])
-            v = self.v[k][at] + np.float32(0.01) * (d * d - self.v[k][at])
-            self.m[k][at], self.v[k][at] = m, v
-            self.w[k][at] -= rate * m / (np.sqrt(v / scale) + np.float32(1e-6))
+        self.move(*self.dense, np.concatenate([d.ravel() for d in dense]))
+        rows = [a.take(ids, axis=0) for a in self.table]
+        self.move(*rows, table)
+        for a, r in zip(self.table, rows):
+            a[ids] = r
         return loss
 
+    def move(self, w, m, v, d):
+        """In place; d is used up."""
+        scale = math.sqrt(1 - 0.99**self.t)
+        d *= np.float32(0.1)
+        m *= np.float32(0.9)
+        m += d
+        d *= d
+        v *= np.float32(0.99)
+        v += d
+        np.sqrt(v, out=d)
+        d += np.float32(1e-6 * scale)
+        np.divide(m, d, out=d)
+        d *= np.float32(RATE * scale / (1 - 0.9**self.t))
+        w -= d
+
 
 def lesson(data: bytes, subwords: Subwords, seen: int, round_: int) -> tuple[list[Pair], int]:
     """The text's runs of ``RUN`` words, counted on from ``seen``, that the round takes: their subwords as pairs."""
     words = data.lower().split()
     n = len(words) // RUN + 1
     pairs = []
+    path = subwords.cache.__getitem__
     for r in range((round_ - seen) % ROUNDS, n, ROUNDS):
         a, b = r * RUN, min((r + 1) * RUN, len(words))
-        before = np.frombuffer(subwords.word(words[a - 1]), np.int16)[-1:] if a else [START]
-        targets = np.frombuffer(b"".join([subwords.word(w) for w in words[a:b]]), np.int16).astype(np.int32)
-        if r == n - 1:
-            targets = np.append(targets, END)
-        pairs.append((np.concatenate([before, targets[:-1]]), targets))
+        before = path(words[a - 1])[-2:] if a else FIRST
+        ids = np.frombuffer(b"".join([before, *map(path, words[a:b]), LAST_OF_TEXT if r == n - 1 else b""]), np.int16)
+        pairs.append((ids[:-1], ids[1:]))
     return pairs, seen + n
 
 
@@ -323,12 +379,10 @@ def subword_counts(counts: DataFrame, subwords: Subwords) -> np.ndarray:
 
     def count(batches):
         sums = np.zeros(VOCAB + 2, np.int64)
-        for b in batches:
-            for word, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist()):
-                if word:
-                    np.add.at(sums, np.frombuffer(subwords.word(word), np.int16), n)
-                else:
-                    sums[END] += n
+        for b in slices(batches):
+            paths = [subwords.word(word) if word else LAST_OF_TEXT for word in b.column("word").to_pylist()]
+            n = np.repeat(b.column("n").to_numpy(), [len(p) // 2 for p in paths])
+            np.add.at(sums, np.frombuffer(b"".join(paths), np.int16), n)
         ids = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sums[ids])], names=["id", "n"])
 
@@ -363,7 +417,7 @@ def train_round(train: DataFrame, weights: dict[str, np.ndarray], subwords: Subw
         given, pieces = shared.value
         adam = Adam({k: v.copy() for k, v in given.items()})
         held: list[Pair] = []
-        seen, tokens = 0, 0
+        seen, tokens, waiting = 0, 0, 0
 
         def step():
             x, y, first, _ = blocks_of(held)
@@ -376,8 +430,10 @@ def train_round(train: DataFrame, weights: dict[str, np.ndarray], subwords: Subw
                 pairs, seen = lesson(t, pieces, seen, round_)
                 for pair in pairs:
                     held.append(pair)
-                    if sum(len(t) for _, t in held) >= STEP_TOKENS:
+                    waiting += len(pair[1])
+                    if waiting >= STEP_TOKENS:
                         tokens += step()
+                        waiting = 0
         if held:
             tokens += step()
         if tokens:

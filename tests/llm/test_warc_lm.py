@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import zlib
 from collections import Counter
 
@@ -176,3 +177,37 @@ def test_frequent_words_are_bounded(spark, monkeypatch):
         n = counts.where(f"n >= {lm.frequent_from(counts)}").count()
         assert n <= most and (n == 30 if most >= 30 else n > most - 3)
     assert lm.frequent_from(counts.where("n < 0")) == lm.LAST
+
+
+def some_blocks(subwords, tokens):
+    rng = np.random.default_rng(3)
+    words = [b"".join(rng.choice([b"an", b"the", b"er", b"tion", b"x", b"ou"], 3)) for _ in range(500)]
+    pairs = []
+    while sum(len(t) for _, t in pairs) < tokens:
+        pairs.append(lm.whole(lm.subword_ids(b" ".join(rng.choice(words, 32)), subwords)))
+    return lm.blocks_of(pairs)[:3]
+
+
+def test_step_moves_what_the_formula_moves(subwords):
+    x, y, first = some_blocks(subwords, 300)
+    w = {k: v.astype(float) for k, v in lm.initial(np.arange(lm.VOCAB + 2)).items()}
+    adam = lm.Adam({k: v.copy() for k, v in w.items()})
+    m, v = ({k: np.zeros_like(a) for k, a in w.items()} for _ in range(2))
+    rows = np.unique(x)
+    for t in (1, 2, 3):
+        g, loss = lm.gradients(w, x, y, first)
+        assert adam.step(x, y, first) == pytest.approx(loss)
+        for k, d in g.items():
+            m[k], v[k] = 0.9 * m[k] + 0.1 * d, 0.99 * v[k] + 0.01 * d * d
+            move = lm.RATE / (1 - 0.9**t) * m[k] / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-6)
+            at = rows if k == "table" else ...
+            w[k][at] -= move[at]
+    for k in w:
+        assert np.allclose(adam.w[k], w[k], rtol=1e-4, atol=1e-6)
+
+
+def test_paths_are_found_once_a_worker(subwords):
+    data = pickle.dumps(subwords)
+    first = pickle.loads(data)
+    first.word(b"foundbefore")
+    assert b"foundbefore" in pickle.loads(data).cache
