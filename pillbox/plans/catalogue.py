@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType, StringType, StructField
 
 from pillbox.functions.casts import payment_type_description, rename, safe_cast, surrogate_key
 from pillbox.functions.strings import first_phone, normalise
@@ -21,7 +22,7 @@ from pillbox.operators.dedupe import dedupe
 from pillbox.operators.fact import build_fact, enc_org, fact_docs
 from pillbox.operators.hotjoin import salted_left_join
 from pillbox.operators.quality import run_tests
-from pillbox.operators.rules import WRITTEN_COUNT, apply_rules, prepare, rejects_sample
+from pillbox.operators.rules import apply_rules, prepare, rejects_sample
 from pillbox.operators.sinks import (
     DAY,
     PACKED,
@@ -520,6 +521,35 @@ def _rejects_digest_sql(t: str) -> str:
     return f"SELECT '{t}' AS table_name, rule, md5(concat_ws('|', {texts})) AS texts_md5, count(*) AS n_rows FROM ({O.rejects_select(t)}) GROUP BY ALL"
 
 
+def _digests(fields: list[StructField]) -> tuple[Column, Column]:
+    """(md5 of the joined texts, md5 of all else that tells rows of such texts apart), 16 bytes each.
+
+    All else is the values that are no text, and the lengths of the texts where the joined ones are unclear: that takes
+    a text with the separator in it, or one that looks like a null.
+    """
+    texts = [F.col(f.name) for f in fields if isinstance(f.dataType, StringType)]
+    # equal values are equal texts: the two zeros of a float become one
+    values = [F.col(f.name) + F.lit(0.0) if isinstance(f.dataType, FractionalType) and not isinstance(f.dataType, DecimalType) else F.col(f.name) for f in fields if not isinstance(f.dataType, StringType)]
+    joined = lambda columns: F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in columns])
+    unclear = reduce(lambda a, b: a | b, [F.coalesce(c.contains("|") | (c == "~"), F.lit(False)) for c in texts])
+    lengths = F.when(unclear, joined([F.length(c) for c in texts]))
+    return tuple(F.unhex(F.md5(c)) for c in (joined(texts), joined([lengths, *values])))
+
+
+def _counted_by_texts(kept: DataFrame, fields: list[StructField], distinct: bool) -> DataFrame:
+    """rule, md5 of the joined texts, n_rows: how many rows, or ``distinct`` ones, a rule has of such texts.
+
+    Two digests go in place of a row, which is several times as wide.  Equal rows meet by them, so that distinct rows and
+    their groups are both made where these lie.
+    """
+    md5, rest = _digests(fields)
+    if distinct:
+        rows = kept.select(md5.alias("md5"), rest.alias("rest"), "rule").repartition("md5").distinct()
+    else:
+        rows = kept.select(md5.alias("md5"), "rule")
+    return rows.groupBy("rule", "md5").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @register("pipeline_rejects", O.with_all(" UNION ALL ".join(_rejects_digest_sql(t) for t in TABLES)))
 def q_pipeline_rejects(spark, sf_dir):
     """The rejected rows that a written run keeps: the union of what rejects_* return, by a digest of their texts."""
@@ -527,14 +557,9 @@ def q_pipeline_rejects(spark, sf_dir):
     clean_tables(spark, raw_tables(spark, sf_dir), out)
     parts = []
     for t in TABLES:
-        kept = read_rejects(spark, f"{out}/{t}").drop(WRITTEN_COUNT)
-        texts = F.concat_ws("|", *[F.coalesce(F.col(f.name), F.lit("~")) for f in SPECS[t].schema.fields if f.dataType.simpleString() == "string"])
-        if SPECS[t].split_rules()[1] is None:
-            # rows of equal texts meet once: distinct rows and their groups are then both made where the rows lie
-            kept = kept.withColumn("_at", F.pmod(F.xxhash64(texts), F.lit(1 << 30)).cast("int")).repartition("_at").distinct()
-        else:
-            kept = kept.withColumn("_at", F.lit(None).cast("int"))  # the outcome table has equal rows of these tables once
-        counted = kept.groupBy("_at", "rule", F.unhex(F.md5(texts)).alias("md5")).agg(F.count(F.lit(1)).alias("n_rows"))
+        kept = read_rejects(spark, f"{out}/{t}")
+        # the outcome tables of the others have equal rows once
+        counted = _counted_by_texts(kept, SPECS[t].schema.fields, distinct=SPECS[t].split_rules()[1] is None)
         parts.append(counted.select(F.lit(t).alias("table_name"), "rule", F.lower(F.hex("md5")).alias("texts_md5"), "n_rows"))
     return reduce(DataFrame.unionByName, parts)
 

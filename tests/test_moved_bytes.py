@@ -3,13 +3,16 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
 from pillbox.operators import sinks
 from pillbox.operators.rules import KEEP, OUTCOME, WRITTEN_COUNT, apply_rules
 from pillbox.operators.sinks import read_merged, upsert, write_fact
+from pillbox.plans.catalogue import QUERIES, _counted_by_texts
 from pillbox.plans.spec import Rule, TableSpec
+from pillbox.session import own_session
 from pillbox.sources.tables import read_fact
+from tests.conftest import SF_SMALL
 
 SCHEMA = "medication_id string, medication_code string, patient_id string, city string, start_timestamp timestamp, v int"
 
@@ -93,3 +96,33 @@ def test_outcomes_of_a_key_after_one_shuffle_of_the_rows(spark):
     }
     plan = resolved._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def _shuffled_on_demand(plan):
+    """The column names of every repartition of a plan."""
+    children = plan.children()
+    out = [i for k in range(children.size()) for i in _shuffled_on_demand(children.apply(k))]
+    if plan.nodeName() == "RepartitionByExpression":
+        out.append([plan.output().apply(k).name() for k in range(plan.output().size())])
+    return out
+
+
+def test_rejected_rows_are_shuffled_by_digest(spark):
+    counted = QUERIES["pipeline_rejects"](own_session(spark), SF_SMALL)
+    assert _shuffled_on_demand(counted._jdf.queryExecution().optimizedPlan()) == [["md5", "rest", "rule"]]
+
+
+def test_distinct_rows_of_equal_texts_are_told_apart(spark):
+    """Against distinct rows compared whole, among them texts that join to the same and values of several types."""
+    kinds = {"a": StringType(), "b": StringType(), "c": StringType(), "i": IntegerType(), "x": DecimalType(38, 18), "d": DoubleType(), "t": TimestampType()}
+    fields = [StructField(n, k) for n, k in kinds.items()]
+    at = dt.datetime(2020, 1, 1, 10)
+    texts = [("p", "q", "r"), ("p|q", "r", None), ("p", "q|r", None), ("p", "q|r", "~"), ("p|q", "r", "~"), ("~", None, "~"), (None, "~", "~"), (None, None, None), ("", "", ""), ("é|", "", ""), ("", "|é", "")]
+    values = [(1, 1, 0.0, at), (1, 1, -0.0, at), (1, 1, 1.5, at), (2, 1, 0.0, at), (None, 1, 0.0, at), (1, None, 0.0, at), (1, 1, 0.0, None), (None, None, None, None), (1, 1, 0.0, at + dt.timedelta(microseconds=1))]
+    rows = [(rule, *t, *v) for rule in ("one", "two") for t in texts for v in values] * 2
+    kept = spark.createDataFrame(rows, "rule string, a string, b string, c string, i int, x int, d double, t timestamp").withColumn("x", F.col("x").cast("decimal(38,18)"))
+    joined = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("~")) for c in "abc"])).alias("md5")
+    for distinct, whole in ((True, kept.distinct()), (False, kept)):
+        want = {(r.rule, r.md5): r.n for r in whole.groupBy("rule", joined).agg(F.count(F.lit(1)).alias("n")).collect()}
+        got = {(r.rule, r.md5.hex()): r.n_rows for r in _counted_by_texts(kept, fields, distinct).collect()}
+        assert got == want and len(want) < 2 * len(texts)
