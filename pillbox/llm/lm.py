@@ -150,17 +150,21 @@ def initial(unigrams: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
+def cut(z):
+    """Nothing over ``TOP``.  To see that there is nothing takes a seventh of the time that cutting does."""
+    return z if z.max(initial=0) <= TOP else np.minimum(z, TOP, out=z)
+
+
 def attend(w, x, first):
     """(queries, keys, values, unnormalised weights, their sums, mixed values, hidden state); keys and values of a block and the one before."""
     z = w["table"].take(np.concatenate([x[-1:], x]), axis=0)
-    step, row, item = z.strides
-    pairs = (len(x), CONTEXT, WIDTH)  # block b with block b + 1: overlapping views, no copy
-    k2, v2 = (np.lib.stride_tricks.as_strided(z[0, 0, i * WIDTH :], pairs, (step, row, item), writeable=False) for i in (1, 2))
+    # block b with block b + 1: overlapping views, no copy
+    k2, v2 = (np.ndarray((len(x), CONTEXT, WIDTH), z.dtype, z, i * WIDTH * z.itemsize, z.strides) for i in (1, 2))
     q = z[1:, :, :WIDTH] * np.float32(WIDTH**-0.5)
     s = np.matmul(q, k2.transpose(0, 2, 1))
     s += (w["near"][_distance] + _mask).astype(s.dtype)
     s[first] += _mask_first
-    np.exp(np.minimum(s, TOP, out=s), out=s)
+    np.exp(cut(s), out=s)
     total = (s.reshape(-1, CONTEXT) @ np.ones(CONTEXT, s.dtype)).reshape(len(x), BLOCK, 1)  # a token sees itself: not 0
     mixed = np.matmul(s, v2)
     mixed /= total
@@ -176,8 +180,8 @@ def with_biases(w) -> Pair:
 def by_class(h, y):
     """The real targets, class by class.
 
-    (their places, their hidden states with a one behind, class of each, member of each, (class, from, to) of every
-    class present.)
+    (their places, their hidden states with a one behind, class of each, member of each, room for the logits of members,
+    (class, its hidden states, its room, from, to) of every class present.)
     """
     y = y.ravel()
     real = np.flatnonzero(y >= 0)
@@ -187,40 +191,51 @@ def by_class(h, y):
     hidden = np.ones((len(order), WIDTH + 1), h.dtype)
     hidden[:, :WIDTH] = h.reshape(-1, WIDTH).take(order, axis=0)
     bounds = np.searchsorted(groups, np.arange(CLASSES + 1)).tolist()
-    spans = [(c, i, j) for c, (i, j) in enumerate(zip(bounds, bounds[1:])) if i < j]
-    return order, hidden, groups, y - groups * CLASS, spans
+    room = np.empty((len(order), CLASS), h.dtype)
+    spans = [(c, hidden[i:j], room[i:j], i, j) for c, (i, j) in enumerate(zip(bounds, bounds[1:])) if i < j]
+    return order, hidden, groups, y - groups * CLASS, room, spans
 
 
 def exps(z, k):
     """(logits at the columns k, sums of a row's exponentials); z becomes the exponentials."""
-    np.minimum(z, TOP, out=z)
-    own = z[np.arange(len(z)), k]
+    own = cut(z)[np.arange(len(z)), k]
     np.exp(z, out=z)
     return own, z @ np.ones(z.shape[1], z.dtype)
 
 
-def member_logits(hidden, to_member, spans):
-    z = np.empty((len(hidden), CLASS), hidden.dtype)
-    for c, i, j in spans:
-        np.dot(hidden[i:j], to_member[c], out=z[i:j])
-    return z
+def member_logits(to_member, room, spans):
+    for c, hidden, z, _, _ in spans:
+        np.dot(hidden, to_member[c], out=z)
+    return room
 
 
-def score_blocks(w, x, y, first) -> np.ndarray:
-    """Natural-log probability of every target; 0 for padding."""
-    order, hidden, groups, members, spans = by_class(attend(w, x, first)[-1], y)
-    to_class, to_member = with_biases(w)
+def score_blocks(w, x, y, first, biased: Pair | None = None) -> np.ndarray:
+    """Natural-log probability of every target; 0 for padding.  ``biased`` is ``with_biases(w)``, if at hand."""
+    to_class, to_member = biased or with_biases(w)
+    order, hidden, groups, members, room, spans = by_class(attend(w, x, first)[-1], y)
     own, sums = exps(hidden @ to_class, groups)
-    own_member, member_sums = exps(member_logits(hidden, to_member, spans), members)
+    own_member, member_sums = exps(member_logits(to_member, room, spans), members)
     out = np.zeros(y.size, np.float64)
     out[order] = own - np.log(sums) + (own_member - np.log(member_sums))
     return out
 
 
-def row_gradients(w, to_class, to_member, x, y, first):
-    """(gradients of the table's rows in use, their ids, gradients of near, to_class and to_member with biases, loss), as means."""
+class Dense:
+    """One array for the arrays given, of their shapes, and the arrays as parts of it."""
+
+    def __init__(self, near, to_class, to_member):
+        self.flat = np.concatenate([a.ravel() for a in (near, to_class, to_member)])
+        cuts = np.cumsum([near.size, to_class.size])
+        self.near, self.to_class, self.to_member = (v.reshape(a.shape) for v, a in zip(np.split(self.flat, cuts), (near, to_class, to_member)))
+        self.members = list(self.to_member)  # views, made once
+        self.without_biases = [m[:WIDTH].T for m in self.members]
+
+
+def row_gradients(w, dense: Dense, into: Dense, x, y, first):
+    """(gradients of the table's rows in use, their ids, loss), as means; those of near, to_class and to_member with biases go to ``into``."""
+    to_class = dense.to_class
     q, k2, v2, s, total, mixed, h = attend(w, x, first)
-    order, hidden, groups, members, spans = by_class(h, y)
+    order, hidden, groups, members, room, spans = by_class(h, y)
     n, at = max(1, len(order)), np.arange(len(order))
     # both softmaxes stay unnormalised: what their sums divide is the narrow side of each product
     e = hidden @ to_class
@@ -228,19 +243,20 @@ def row_gradients(w, to_class, to_member, x, y, first):
     loss = np.log(sums).sum(dtype=float) - own.sum(dtype=float)
     e[at, groups] -= sums
     part = (1 / (sums * n)).astype(h.dtype)[:, None]
-    g_class = (hidden * part).T @ e
+    np.matmul((hidden * part).T, e, out=into.to_class)
     dh = e @ to_class[:WIDTH].T
     dh *= part
-    e = member_logits(hidden, to_member, spans)
+    e = member_logits(dense.members, room, spans)
     own, sums = exps(e, members)
     loss += np.log(sums).sum(dtype=float) - own.sum(dtype=float)
     e[at, members] -= sums
     part = (1 / (sums * n)).astype(h.dtype)[:, None]
     hidden *= part
-    g_member, dm = np.zeros_like(to_member), np.empty_like(dh)
-    for c, i, j in spans:
-        np.dot(hidden[i:j].T, e[i:j], out=g_member[c])
-        np.dot(e[i:j], to_member[c, :WIDTH].T, out=dm[i:j])
+    dm = np.empty_like(dh)
+    into.to_member.fill(0)
+    for c, own_hidden, own_e, i, j in spans:
+        np.dot(own_hidden.T, own_e, out=into.members[c])
+        np.dot(own_e, dense.without_biases[c], out=dm[i:j])
     dm *= part
     dh += dm
     dz = np.zeros_like(h)
@@ -250,7 +266,7 @@ def row_gradients(w, to_class, to_member, x, y, first):
     ds = np.matmul(dt, v2.transpose(0, 2, 1))
     ds -= np.einsum("btw,btw->bt", dt, mixed)[:, :, None]
     ds *= s
-    near = np.bincount(_distance.ravel(), weights=ds.sum(axis=0).ravel(), minlength=CONTEXT).astype(h.dtype)
+    into.near[:] = np.bincount(_distance.ravel(), weights=ds.sum(axis=0).ravel(), minlength=CONTEXT)
     d2 = np.empty((len(x), CONTEXT, 2 * WIDTH), h.dtype)  # of keys and values
     np.matmul(ds.transpose(0, 2, 1), q, out=d2[:, :, :WIDTH])  # q is scaled already
     np.matmul(s.transpose(0, 2, 1), dt, out=d2[:, :, WIDTH:])
@@ -267,35 +283,37 @@ def row_gradients(w, to_class, to_member, x, y, first):
     twos = rows.view(np.result_type(rows, np.complex64))  # numpy adds up half as many numbers of two parts in under half the time
     table = np.add.reduceat(twos, starts).view(rows.dtype)
     table[:, :WIDTH] *= np.float32(WIDTH**-0.5)
-    return table, ids[starts], (near, g_class, g_member), loss / n
+    return table, ids[starts], loss / n
 
 
 def gradients(w, x, y, first) -> tuple[dict[str, np.ndarray], float]:
     """Mean gradients of the negative log likelihood of the targets, and its mean."""
-    rows, ids, (near, g_class, g_member), loss = row_gradients(w, *with_biases(w), x, y, first)
+    dense = Dense(w["near"], *with_biases(w))
+    into = Dense(dense.near, dense.to_class, dense.to_member)
+    rows, ids, loss = row_gradients(w, dense, into, x, y, first)
     table = np.zeros_like(w["table"])
     table[ids] = rows
-    return {"table": table, **parts(near, g_class, g_member)}, loss
+    return {"table": table, **parts(into)}, loss
 
 
-def parts(near, to_class, to_member) -> dict[str, np.ndarray]:
-    return {"near": near, "to_class": to_class[:WIDTH], "class_bias": to_class[WIDTH], "to_member": to_member[:, :WIDTH], "member_bias": to_member[:, WIDTH]}
+def parts(d: Dense) -> dict[str, np.ndarray]:
+    return {"near": d.near, "to_class": d.to_class[:WIDTH], "class_bias": d.to_class[WIDTH], "to_member": d.to_member[:, :WIDTH], "member_bias": d.to_member[:, WIDTH]}
 
 
 class Adam:
     """Adam; of the table only the rows of the tokens at hand move.  All other weights lie in one array and move together."""
 
     def __init__(self, w):
-        dense = w["near"], *with_biases(w)
-        values = np.concatenate([a.ravel() for a in dense])
-        near, to_class, to_member = (v.reshape(a.shape) for v, a in zip(np.split(values, np.cumsum([a.size for a in dense])[:-1]), dense))
-        self.w, self.joined, self.t = {"table": w["table"], **parts(near, to_class, to_member)}, (to_class, to_member), 0
-        self.dense, self.table = ([a, np.zeros_like(a), np.zeros_like(a)] for a in (values, w["table"]))  # values, means, squares
+        self.dense = Dense(w["near"], *with_biases(w))
+        self.found = Dense(self.dense.near, self.dense.to_class, self.dense.to_member)  # gradients
+        self.w, self.t = {"table": w["table"], **parts(self.dense)}, 0
+        # values, means, squares
+        self.moving, self.table = ([a, np.zeros_like(a), np.zeros_like(a)] for a in (self.dense.flat, w["table"]))
 
     def step(self, x, y, first) -> float:
-        table, ids, dense, loss = row_gradients(self.w, *self.joined, x, y, first)
+        table, ids, loss = row_gradients(self.w, self.dense, self.found, x, y, first)
         self.t += 1
-        self.move(*self.dense, np.concatenate([d.ravel() for d in dense]))
+        self.move(*self.moving, self.found.flat)
         rows = [a.take(ids, axis=0) for a in self.table]
         self.move(*rows, table)
         for a, r in zip(self.table, rows):
@@ -426,14 +444,16 @@ def train_round(train: DataFrame, weights: dict[str, np.ndarray], subwords: Subw
             return int((y >= 0).sum())
 
         for b in slices(batches, 64):
+            pairs = []  # of all texts first: words are looked up faster while the steps' arrays are not in between
             for t in texts_of(b):
-                pairs, seen = lesson(t, pieces, seen, round_)
-                for pair in pairs:
-                    held.append(pair)
-                    waiting += len(pair[1])
-                    if waiting >= STEP_TOKENS:
-                        tokens += step()
-                        waiting = 0
+                found, seen = lesson(t, pieces, seen, round_)
+                pairs += found
+            for pair in pairs:
+                held.append(pair)
+                waiting += len(pair[1])
+                if waiting >= STEP_TOKENS:
+                    tokens += step()
+                    waiting = 0
         if held:
             tokens += step()
         if tokens:
@@ -473,6 +493,7 @@ def score_texts(shared):
         from pyspark import TaskContext
 
         weights, pieces, frequent = shared.value
+        biased = with_biases(weights)
         row = TaskContext.get().partitionId() << 40
         for b in slices(batches, 128):
             texts = texts_of(b)
@@ -494,7 +515,7 @@ def score_texts(shared):
             for i in range(0, len(x), SCORE_BLOCKS):
                 lo = max(0, i - 1)  # the block before is context
                 s = slice(lo, i + SCORE_BLOCKS)
-                p = score_blocks(weights, x[s], np.where((np.arange(lo, min(i + SCORE_BLOCKS, len(x))) < i)[:, None], -1, y[s]), first[s])
+                p = score_blocks(weights, x[s], np.where((np.arange(lo, min(i + SCORE_BLOCKS, len(x))) < i)[:, None], -1, y[s]), first[s], biased)
                 score += np.bincount(np.repeat(text[s], BLOCK), weights=p, minlength=len(texts))
             number, tokens, known, base = zip(*heads)
             none = [None] * len(heads)

@@ -211,3 +211,41 @@ def test_paths_are_found_once_a_worker(subwords):
     first = pickle.loads(data)
     first.word(b"foundbefore")
     assert b"foundbefore" in pickle.loads(data).cache
+
+
+def test_logits_are_cut_where_they_must_be_and_looked_at_elsewhere(monkeypatch):
+    rng = np.random.default_rng(5)
+    k = np.array([1, 0, 4])
+    for dtype in (np.float32, np.float64):
+        high = rng.standard_normal((3, 5)).astype(dtype) * 100
+        high[0, 1], high[2, 4] = 300, np.nan
+        own, sums = lm.exps(high.copy(), k)
+        cut = np.minimum(high, lm.TOP)
+        assert np.array_equal(own, cut[np.arange(3), k], equal_nan=True) and np.allclose(sums, np.exp(cut).sum(axis=1), equal_nan=True)
+        assert np.isfinite(own[0]) and np.isfinite(sums[0]) and np.isnan(sums[2])
+        low = np.minimum(rng.standard_normal((3, 5)).astype(dtype), 1)
+        with monkeypatch.context() as m:
+            m.setattr(lm.np, "minimum", None)
+            own, sums = lm.exps(low.copy(), k)
+            assert [len(a) for a in lm.exps(low[:0].copy(), k[:0])] == [0, 0]
+        assert np.array_equal(own, low[np.arange(3), k]) and np.allclose(sums, np.exp(low).sum(axis=1))
+
+
+def test_gradients_of_a_step_do_not_reach_the_next(subwords):
+    """The steps share the room for their gradients; here each has classes that the others have not."""
+    ids = [np.arange(a, a + 3 * lm.CLASS, 3, dtype=np.int16) for a in (0, 1000, 300, 3000)]
+    w = {k: v.astype(float) for k, v in lm.initial(np.arange(lm.VOCAB + 2)).items()}
+    adam = lm.Adam({k: v.copy() for k, v in w.items()})
+    room = adam.found.flat
+    m, v = ({k: np.zeros_like(a) for k, a in w.items()} for _ in range(2))
+    for t, i in enumerate(ids, 1):
+        x, y, first, _ = lm.blocks_of([lm.whole(i)])
+        g, _ = lm.gradients(w, x, y, first)
+        adam.step(x, y, first)
+        for k, d in g.items():
+            at = np.unique(x) if k == "table" else ...
+            m[k][at], v[k][at] = 0.9 * m[k][at] + 0.1 * d[at], 0.99 * v[k][at] + 0.01 * d[at] ** 2
+            w[k][at] -= (lm.RATE / (1 - 0.9**t) * m[k] / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-6))[at]
+        for k in w:
+            assert np.allclose(adam.w[k], w[k], rtol=1e-4, atol=1e-6)
+    assert adam.found.flat is room
