@@ -124,5 +124,7 @@ def test_distinct_rows_of_equal_texts_are_told_apart(spark):
     joined = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("~")) for c in "abc"])).alias("md5")
     for distinct, whole in ((True, kept.distinct()), (False, kept)):
         want = {(r.rule, r.md5): r.n for r in whole.groupBy("rule", joined).agg(F.count(F.lit(1)).alias("n")).collect()}
-        got = {(r.rule, r.md5.hex()): r.n_rows for r in _counted_by_texts(kept, fields, distinct).collect()}
+        counted = _counted_by_texts(kept, fields, distinct)
+        assert _shuffled_on_demand(counted._jdf.queryExecution().optimizedPlan()) == [["md5", "rest", "rule"]] * distinct
+        got = {(r.rule, r.md5.hex()): r.n_rows for r in counted.collect()}
         assert got == want and len(want) < 2 * len(texts)
